@@ -141,3 +141,180 @@ def q_submission_parse(spark, sf_dir):
     t = standin.load(spark, sf_dir)
     return t.submission.select("id", F.to_date(text.id_date_text("id")).alias("visit_date"),
                                text.id_store("id").alias("air_store_id"))
+
+
+# --------------------------------------------------------------------------
+# Step 2-4: reservations, store x dow statistics, tokens, label codes
+# --------------------------------------------------------------------------
+
+from footfall.operators import assemble, reservations, store_dim  # noqa: E402
+from footfall.operators.encode import fit_label_codes  # noqa: E402
+
+N_TOKENS = 10
+
+
+def _res_sql(src: str, relation: bool) -> str:
+    join = " join store_relation using (hpg_store_id)" if relation else ""
+    return f"""
+        select air_store_id, visit_date,
+               cast(coalesce(sum(lead), 0) as bigint) as rs1,
+               cast(coalesce(sum(rv), 0) as bigint) as rv1,
+               avg(lead) as rs2, avg(rv) as rv2
+        from (select air_store_id, cast(visit_datetime as date) as visit_date,
+                     cast(datediff('day', cast(reserve_datetime as date),
+                                   cast(visit_datetime as date)) as integer) as lead,
+                     reserve_visitors as rv
+              from {src}{join})
+        where air_store_id is not null and visit_date is not null
+        group by 1, 2"""
+
+
+RES_CTES = [("ar", _res_sql("air_reserve", False)), ("hr", _res_sql("hpg_reserve", True))]
+
+
+def _res_select(spark_df):
+    return spark_df.select("air_store_id", "visit_date", "rs1", "rv1",
+                           rnd("rs2").alias("rs2"), rnd("rv2").alias("rv2"))
+
+
+_RES_OUT = f"select air_store_id, visit_date, rs1, rv1, round(rs2, {R}) as rs2, round(rv2, {R}) as rv2"
+
+
+@register("reservations_air", standin.oracle_with(*RES_CTES) + _RES_OUT + " from ar")
+def q_reservations_air(spark, sf_dir):
+    t = standin.load(spark, sf_dir)
+    return _res_select(reservations.reservation_features(t.air_reserve))
+
+
+@register("reservations_hpg", standin.oracle_with(*RES_CTES) + _RES_OUT + " from hr")
+def q_reservations_hpg(spark, sf_dir):
+    t = standin.load(spark, sf_dir)
+    return _res_select(reservations.reservation_features(t.hpg_reserve, t.store_relation))
+
+
+def store_ctes(n_tokens: int = N_TOKENS) -> list[tuple[str, str]]:
+    """grid / st / sd (stores with text and tokens) / stores (encoded)."""
+    gtok = ", ".join(f"coalesce(string_split(gtxt, ' ')[{i + 1}], '') as air_genre_name{i}"
+                     for i in range(n_tokens))
+    atok = ", ".join(f"coalesce(string_split(atxt, ' ')[{i + 1}], '') as air_area_name{i}"
+                     for i in range(n_tokens))
+    enc_cols = store_dim.token_columns(n_tokens)
+    codes = [(f"code_{c}", f"""select v, cast(row_number() over (order by v) - 1 as integer) as code
+                               from (select distinct {src} as v from sd where {src} is not null)""")
+             for c, src in [(c, c) for c in enc_cols] + [("air_genre_name", "gtxt"),
+                                                          ("air_area_name", "atxt")]]
+    joins = " ".join(f"left join code_{c} on code_{c}.v = sd.{src}"
+                     for c, src in [(c, c) for c in enc_cols] + [("air_genre_name", "gtxt"),
+                                                                  ("air_area_name", "atxt")])
+    sel = ", ".join(f"code_{c}.code as {c}" for c in enc_cols + ["air_genre_name", "air_area_name"])
+    return [
+        ("grid", """select air_store_id, cast(unnest(range(7)) as integer) as dow
+                    from (select distinct air_store_id from te0 where air_store_id is not null)"""),
+        ("st", """select air_store_id, dow, min(visitors) as min_visitors,
+                         avg(visitors) as mean_visitors, median(visitors) as median_visitors,
+                         max(visitors) as max_visitors, count(visitors) as count_observations
+                  from tr where air_store_id is not null and dow is not null group by 1, 2"""),
+        ("sd0", """select g.air_store_id, g.dow, st.min_visitors, st.mean_visitors,
+                          st.median_visitors, st.max_visitors, st.count_observations,
+                          si.latitude, si.longitude,
+                          replace(coalesce(si.air_genre_name, 'nan'), '/', ' ') as gtxt,
+                          replace(coalesce(si.air_area_name, 'nan'), '-', ' ') as atxt
+                   from grid g left join st on st.air_store_id = g.air_store_id and st.dow = g.dow
+                   left join store_info si on si.air_store_id = g.air_store_id"""),
+        ("sd", f"select *, {gtok}, {atok} from sd0"),
+        *codes,
+        ("stores", f"""select sd.air_store_id, sd.dow, min_visitors, mean_visitors, median_visitors,
+                              max_visitors, count_observations, latitude, longitude, {sel}
+                       from sd {joins}"""),
+    ]
+
+
+def all_ctes(**kw) -> str:
+    return standin.oracle_with(*panel_ctes(**kw), *RES_CTES, *store_ctes())
+
+
+STATS_SPARK = ["min_visitors", rnd("mean_visitors").alias("mean_visitors"),
+               rnd("median_visitors").alias("median_visitors"), "max_visitors",
+               "count_observations"]
+STATS_SQL = (f"min_visitors, round(mean_visitors, {R}) as mean_visitors, "
+             f"round(median_visitors, {R}) as median_visitors, max_visitors, count_observations")
+
+
+def _train_test_rows(spark, sf_dir):
+    t = standin.load(spark, sf_dir)
+    tr, te = series.split(series.build_panel(t.visits, t.submission))
+    return t, tr, te
+
+
+@register("store_dow_grid", all_ctes() + "select air_store_id, dow from grid")
+def q_store_dow_grid(spark, sf_dir):
+    _, _, te = _train_test_rows(spark, sf_dir)
+    return store_dim.store_dow_grid(te)
+
+
+@register("store_dow_stats", all_ctes() + f"""
+    select g.air_store_id, g.dow, {STATS_SQL}
+    from grid g left join st on st.air_store_id = g.air_store_id and st.dow = g.dow""")
+def q_store_dow_stats(spark, sf_dir):
+    _, tr, te = _train_test_rows(spark, sf_dir)
+    s = store_dim.attach_stats(store_dim.store_dow_grid(te), store_dim.store_dow_stats(tr))
+    return s.select("air_store_id", "dow", *STATS_SPARK)
+
+
+_STORE_CODE_COLS = store_dim.token_columns(N_TOKENS) + ["air_genre_name", "air_area_name"]
+
+
+@register("store_dim", all_ctes() + f"""
+    select air_store_id, dow, {STATS_SQL}, latitude, longitude, {', '.join(_STORE_CODE_COLS)}
+    from stores""")
+def q_store_dim(spark, sf_dir):
+    t, tr, te = _train_test_rows(spark, sf_dir)
+    s = store_dim.build_stores(tr, te, t.store_info, N_TOKENS)
+    return s.select("air_store_id", "dow", *STATS_SPARK, "latitude", "longitude",
+                    *_STORE_CODE_COLS)
+
+
+_TOK_SQL_G = ", ".join(f"coalesce(string_split(gtxt, ' ')[{i + 1}], '') as air_genre_name{i}"
+                       for i in range(N_TOKENS))
+_TOK_SQL_A = ", ".join(f"coalesce(string_split(atxt, ' ')[{i + 1}], '') as air_area_name{i}"
+                       for i in range(N_TOKENS))
+_TOK_BASE = """select air_store_id,
+                      replace(coalesce(air_genre_name, 'nan'), '/', ' ') as gtxt,
+                      replace(coalesce(air_area_name, 'nan'), '-', ' ') as atxt
+               from store_info"""
+
+
+@register("genre_area_tokens", standin.oracle_with(("tok0", _TOK_BASE)) + f"""
+    select air_store_id, gtxt as air_genre_name, atxt as air_area_name, {_TOK_SQL_G}, {_TOK_SQL_A}
+    from tok0""")
+def q_genre_area_tokens(spark, sf_dir):
+    t = standin.load(spark, sf_dir)
+    df = store_dim.genre_area_tokens(t.store_info, N_TOKENS)
+    return df.select("air_store_id", "air_genre_name", "air_area_name",
+                     *store_dim.token_columns(N_TOKENS))
+
+
+@register("label_encode", standin.oracle_with(
+    ("tok0", _TOK_BASE), ("tok", f"select *, {_TOK_SQL_G}, {_TOK_SQL_A} from tok0"),
+    ("pairs", " union ".join(
+        [f"select '{c}' as column_name, {c} as value from tok" for c in store_dim.token_columns(N_TOKENS)]
+        + ["select 'air_genre_name' as column_name, gtxt as value from tok",
+           "select 'air_area_name' as column_name, atxt as value from tok"]))) + """
+    select column_name, value,
+           cast(row_number() over (partition by column_name order by value) - 1 as integer) as code
+    from pairs where value is not null""")
+def q_label_encode(spark, sf_dir):
+    t = standin.load(spark, sf_dir)
+    df = store_dim.genre_area_tokens(t.store_info, N_TOKENS)
+    codes = fit_label_codes(df, store_dim.token_columns(N_TOKENS) + ["air_genre_name", "air_area_name"])
+    return codes.table.select(F.col("column").alias("column_name"), "value", "code")
+
+
+@register("holiday_encode", standin.oracle_with() + """
+    select calendar_date as visit_date,
+           cast(dense_rank() over (order by day_of_week) - 1 as integer) as day_of_week,
+           holiday_flg
+    from date_info""")
+def q_holiday_encode(spark, sf_dir):
+    t = standin.load(spark, sf_dir)
+    return assemble.holiday_table(t.date_info)
