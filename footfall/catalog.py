@@ -318,3 +318,102 @@ def q_label_encode(spark, sf_dir):
 def q_holiday_encode(spark, sf_dir):
     t = standin.load(spark, sf_dir)
     return assemble.holiday_table(t.date_info)
+
+
+# --------------------------------------------------------------------------
+# Step 5: wide train/test tables, totals, geo, id/date_int, clean, fill
+# --------------------------------------------------------------------------
+
+from footfall.functions import numeric as num  # noqa: E402
+from footfall.plans import features as feat  # noqa: E402
+
+LAG_COLS = [f"visitors_{k}{i}" for i in LAGS for k in ("lag", "diff")]
+WIDE_COLS = (["air_store_id", "visit_date", "id", "visitors", "log_visitors", *CAL_COLS,
+              "large_party", *LAG_COLS, "day_of_week", "holiday_flg",
+              "min_visitors", "mean_visitors", "median_visitors", "max_visitors",
+              "count_observations", "latitude", "longitude", *_STORE_CODE_COLS,
+              "rs1_x", "rv1_x", "rs2_x", "rv2_x", "rs1_y", "rv1_y", "rs2_y", "rv2_y",
+              "total_reserv_sum", "total_reserv_mean", "total_reserv_dt_diff_mean",
+              "date_int", "var_max_lat", "var_max_long", "lon_plus_lat", "air_store_id2"])
+_TEXT_COLS = {"air_store_id", "visit_date", "id"}
+_DOUBLE_COLS = {"log_visitors", "large_party", *LAG_COLS, "mean_visitors", "median_visitors",
+                "latitude", "longitude", "rs2_x", "rv2_x", "rs2_y", "rv2_y",
+                "total_reserv_mean", "total_reserv_dt_diff_mean", "var_max_lat",
+                "var_max_long", "lon_plus_lat"}
+
+HOL_CTE = ("hol", """select calendar_date as visit_date,
+                     cast(dense_rank() over (order by day_of_week) - 1 as integer) as day_of_week,
+                     holiday_flg from date_info""")
+
+
+def _wide_ctes() -> list[tuple[str, str]]:
+    lagsel = ", ".join(f"p.{c}" for c in LAG_COLS)
+    storesel = ", ".join(f"s.{c}" for c in _STORE_CODE_COLS)
+    w0 = f"""
+        select p.air_store_id, p.visit_date, p.id, p.subset, p.visitors, p.log_visitors,
+               p.dow, p.wom, p.year, p.month, p.day, p.large_party, {lagsel},
+               h.day_of_week, h.holiday_flg, s.min_visitors, s.mean_visitors,
+               s.median_visitors, s.max_visitors, s.count_observations, s.latitude,
+               s.longitude, {storesel},
+               ax.rs1 as rs1_x, ax.rv1 as rv1_x, ax.rs2 as rs2_x, ax.rv2 as rv2_x,
+               hy.rs1 as rs1_y, hy.rv1 as rv1_y, hy.rs2 as rs2_y, hy.rv2 as rv2_y
+        from panel p
+        left join hol h on h.visit_date = p.visit_date
+        left join stores s on s.air_store_id = p.air_store_id and s.dow = p.dow
+        left join ar ax on ax.air_store_id = p.air_store_id and ax.visit_date = p.visit_date
+        left join hr hy on hy.air_store_id = p.air_store_id and hy.visit_date = p.visit_date"""
+
+    def derived(src: str) -> str:
+        return f"""
+        select *, rv1_x + rv1_y as total_reserv_sum,
+               (rv2_x + rv2_y) / 2 as total_reserv_mean,
+               (rs2_x + rs2_y) / 2 as total_reserv_dt_diff_mean,
+               cast(strftime(visit_date, '%Y%m%d') as integer) as date_int,
+               (select max(latitude) from {src}) - latitude as var_max_lat,
+               (select max(longitude) from {src}) - longitude as var_max_long,
+               longitude + latitude as lon_plus_lat
+        from {src}"""
+    return [
+        HOL_CTE, ("w0", w0),
+        ("trw", """select * replace (air_store_id || '_' || cast(visit_date as varchar) as id)
+                   from w0 where subset = 'train'"""),
+        ("tew", "select * from w0 where subset = 'test'"),
+        ("trd", derived("trw")), ("ted", derived("tew")),
+        ("sid", """select v, cast(row_number() over (order by v) - 1 as integer) as code
+                   from (select distinct air_store_id as v from trw)"""),
+        ("trf", "select trd.*, sid.code as air_store_id2 from trd left join sid on sid.v = trd.air_store_id"),
+        ("tef", "select ted.*, sid.code as air_store_id2 from ted left join sid on sid.v = ted.air_store_id"),
+    ]
+
+
+def _wide_select_sql(fill: bool) -> str:
+    out = []
+    for c in WIDE_COLS:
+        e = c if (c in _TEXT_COLS or not fill) else f"coalesce({c}, -1)"
+        if c in _DOUBLE_COLS:
+            e = f"round({e}, {R})"
+        out.append(f"{e} as {c}")
+    return ", ".join(out)
+
+
+def _wide_select_spark(df):
+    return df.select(*[rnd(c).alias(c) if c in _DOUBLE_COLS else F.col(c) for c in WIDE_COLS])
+
+
+WIDE_SQL = all_ctes() + ", " + ",\n".join(f"{n} as ({s})" for n, s in _wide_ctes()) + "\n"
+
+
+def _wide(spark, sf_dir, clean=False):
+    t = standin.load(spark, sf_dir)
+    fs = feat.import_data(t)
+    return feat.create_train_test(fs, clean=clean)
+
+
+@register("train_wide", WIDE_SQL + f"select {_wide_select_sql(True)} from trf")
+def q_train_wide(spark, sf_dir):
+    return _wide_select_spark(_wide(spark, sf_dir)[0])
+
+
+@register("test_wide", WIDE_SQL + f"select {_wide_select_sql(True)} from tef")
+def q_test_wide(spark, sf_dir):
+    return _wide_select_spark(_wide(spark, sf_dir)[1])
