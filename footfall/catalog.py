@@ -417,3 +417,93 @@ def q_train_wide(spark, sf_dir):
 @register("test_wide", WIDE_SQL + f"select {_wide_select_sql(True)} from tef")
 def q_test_wide(spark, sf_dir):
     return _wide_select_spark(_wide(spark, sf_dir)[1])
+
+
+def _train_rows_with(spark, sf_dir):
+    t, tr, te = _train_test_rows(spark, sf_dir)
+    return t, tr, te
+
+
+@register("reservation_totals", all_ctes() + f"""
+    select p.air_store_id, p.visit_date,
+           ax.rv1 + hy.rv1 as total_reserv_sum,
+           round((ax.rv2 + hy.rv2) / 2, {R}) as total_reserv_mean,
+           round((ax.rs2 + hy.rs2) / 2, {R}) as total_reserv_dt_diff_mean
+    from tr p
+    left join ar ax on ax.air_store_id = p.air_store_id and ax.visit_date = p.visit_date
+    left join hr hy on hy.air_store_id = p.air_store_id and hy.visit_date = p.visit_date""")
+def q_reservation_totals(spark, sf_dir):
+    t = standin.load(spark, sf_dir)
+    tr = series.visit_features(t.visits)
+    ar = reservations.reservation_features(t.air_reserve)
+    hr = reservations.reservation_features(t.hpg_reserve, t.store_relation)
+    df = (tr.join(assemble._suffixed(ar, "_x"), ["air_store_id", "visit_date"], "left")
+            .join(assemble._suffixed(hr, "_y"), ["air_store_id", "visit_date"], "left"))
+    return df.select("air_store_id", "visit_date",
+                     (F.col("rv1_x") + F.col("rv1_y")).alias("total_reserv_sum"),
+                     rnd((F.col("rv2_x") + F.col("rv2_y")) / 2).alias("total_reserv_mean"),
+                     rnd((F.col("rs2_x") + F.col("rs2_y")) / 2).alias("total_reserv_dt_diff_mean"))
+
+
+@register("geo_features", all_ctes() + f"""
+    , g as (select p.air_store_id, p.visit_date, si.latitude, si.longitude
+            from tr p left join store_info si on si.air_store_id = p.air_store_id)
+    select air_store_id, visit_date,
+           round((select max(latitude) from g) - latitude, {R}) as var_max_lat,
+           round((select max(longitude) from g) - longitude, {R}) as var_max_long,
+           round(longitude + latitude, {R}) as lon_plus_lat
+    from g""")
+def q_geo_features(spark, sf_dir):
+    t = standin.load(spark, sf_dir)
+    g = (series.visit_features(t.visits).select("air_store_id", "visit_date")
+         .join(t.store_info.select("air_store_id", "latitude", "longitude"), "air_store_id", "left"))
+    max_lat = g.select(F.max("latitude")).scalar()
+    max_lon = g.select(F.max("longitude")).scalar()
+    return g.select("air_store_id", "visit_date",
+                    rnd(max_lat - F.col("latitude")).alias("var_max_lat"),
+                    rnd(max_lon - F.col("longitude")).alias("var_max_long"),
+                    rnd(F.col("longitude") + F.col("latitude")).alias("lon_plus_lat"))
+
+
+@register("id_date_int", all_ctes() + """
+    select air_store_id || '_' || cast(visit_date as varchar) as id,
+           cast(strftime(visit_date, '%Y%m%d') as integer) as date_int
+    from tr""")
+def q_id_date_int(spark, sf_dir):
+    from footfall.functions import calendar as cal
+    from footfall.functions import text
+    t = standin.load(spark, sf_dir)
+    tr = series.visit_features(t.visits)
+    return tr.select(text.make_id("air_store_id", "visit_date").alias("id"),
+                     cal.date_int("visit_date").alias("date_int"))
+
+
+_CLEAN_SEL = "air_store_id, visit_date, air_genre_name, air_area_name, air_store_id2"
+
+
+@register("train_clean_semi", WIDE_SQL + f"""
+    select {_CLEAN_SEL} from trf
+    where exists (select 1 from tef where tef.air_genre_name is not distinct from trf.air_genre_name)
+      and exists (select 1 from tef where tef.air_area_name is not distinct from trf.air_area_name)
+      and exists (select 1 from tef where tef.air_store_id2 is not distinct from trf.air_store_id2)""")
+def q_train_clean_semi(spark, sf_dir):
+    t = standin.load(spark, sf_dir)
+    fs = feat.import_data(t)
+    train, _ = feat.create_train_test(fs, clean=True)
+    return train.select(*_CLEAN_SEL.split(", "))
+
+
+@register("fill_missing", all_ctes() + f"""
+    , g as (select air_store_id, cast(unnest(range(7)) as integer) as dow
+            from (select distinct air_store_id from tr where air_store_id is not null))
+    select g.air_store_id, g.dow, coalesce(min_visitors, -1) as min_visitors,
+           round(coalesce(mean_visitors, -1), {R}) as mean_visitors,
+           round(coalesce(median_visitors, -1), {R}) as median_visitors,
+           coalesce(max_visitors, -1) as max_visitors,
+           coalesce(count_observations, -1) as count_observations
+    from g left join st on st.air_store_id = g.air_store_id and st.dow = g.dow""")
+def q_fill_missing(spark, sf_dir):
+    _, tr, _ = _train_test_rows(spark, sf_dir)
+    grid = store_dim.store_dow_grid(tr)
+    s = num.fill_missing(store_dim.attach_stats(grid, store_dim.store_dow_stats(tr)))
+    return s.select("air_store_id", "dow", *STATS_SPARK)
