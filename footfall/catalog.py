@@ -507,3 +507,90 @@ def q_fill_missing(spark, sf_dir):
     grid = store_dim.store_dow_grid(tr)
     s = num.fill_missing(store_dim.attach_stats(grid, store_dim.store_dow_stats(tr)))
     return s.select("air_store_id", "dow", *STATS_SPARK)
+
+
+@register("large_party_flag", standin.oracle_with() + """
+    select air_store_id,
+           cast(sum(case when visitors >= 120 then 1 else 0 end) as double) as n_large_120,
+           cast(sum(case when visitors >= 75 then 1 else 0 end) as double) as n_large_75
+    from visits group by 1""")
+def q_large_party_flag(spark, sf_dir):
+    t = standin.load(spark, sf_dir)
+    return (t.visits.groupBy("air_store_id")
+            .agg(F.sum(num.threshold_flag("visitors", 120)).alias("n_large_120"),
+                 F.sum(num.threshold_flag("visitors", 75)).alias("n_large_75")))
+
+
+# --------------------------------------------------------------------------
+# Step 6: ordered folds, metrics, clip/exp/score
+# --------------------------------------------------------------------------
+
+from footfall.operators import folds as fold_ops  # noqa: E402
+from footfall.operators import metrics  # noqa: E402
+from footfall.plans import scoring  # noqa: E402
+
+_FOLD_SQL = """case when ordinal < n - 5 * (n // 6) then 0
+                    else cast(1 + (ordinal - (n - 5 * (n // 6))) // (n // 6) as integer) end"""
+
+
+def _fold_cte(src: str, where: str = "") -> tuple[str, str]:
+    return ("o", f"""select *, {_FOLD_SQL} as fold from (
+                 select *, row_number() over (order by visit_date, air_store_id) - 1 as ordinal,
+                        count(*) over () as n
+                 from {src} {where})""")
+
+
+@register("ordered_folds", all_ctes() + ", " + "{} as ({})".format(*_fold_cte("tr")) + """
+    select air_store_id, visit_date, ordinal, fold from o""")
+def q_ordered_folds(spark, sf_dir):
+    t = standin.load(spark, sf_dir)
+    df, _ = fold_ops.assign_folds(series.visit_features(t.visits).select("air_store_id", "visit_date"))
+    return df.select("air_store_id", "visit_date", "ordinal", "fold")
+
+
+@register("fold_sizes", all_ctes() + ", " + "{} as ({})".format(*_fold_cte("tr")) + """
+    select fold, count(*) as n_rows from o group by fold""")
+def q_fold_sizes(spark, sf_dir):
+    t = standin.load(spark, sf_dir)
+    df, _ = fold_ops.assign_folds(series.visit_features(t.visits).select("air_store_id", "visit_date"))
+    return df.groupBy("fold").agg(F.count("*").alias("n_rows"))
+
+
+@register("rmsle", all_ctes() + ", " + "{} as ({})".format(*_fold_cte("panel", "where subset = 'train'"))
+          + f"""
+    select fold, round(sqrt(avg(power(log_visitors - visitors_lag1, 2))), {R}) as rmsle
+    from o where fold > 0 and visitors_lag1 is not null group by fold""")
+def q_rmsle(spark, sf_dir):
+    """Naive lag-1 forecast scored per ordered test fold (A12 per fold)."""
+    _, tr, _ = _train_test_rows(spark, sf_dir)
+    df, _ = fold_ops.assign_folds(tr.select("air_store_id", "visit_date", "log_visitors",
+                                            "visitors_lag1"))
+    scored = df.where((F.col("fold") > 0) & F.col("visitors_lag1").isNotNull())
+    return (metrics.rmse_by(scored, ["fold"], prediction="visitors_lag1")
+            .select("fold", rnd("rmsle").alias("rmsle")))
+
+
+_NAIVE_SQL = f"""
+    , pred as (select id, visitors_lag1 as prediction from panel where subset = 'test')
+"""
+
+
+@register("clip_exp_score", all_ctes() + _NAIVE_SQL + f"""
+    select s.id, round(exp(case when p.prediction < 0 then 0.0 else p.prediction end), {R}) as visitors
+    from submission s left join pred p on p.id = s.id""")
+def q_clip_exp_score(spark, sf_dir):
+    t, _, te = _train_test_rows(spark, sf_dir)
+    pred = te.select("id", F.col("visitors_lag1").alias("prediction"))
+    out = scoring.score_predictions(pred, t.submission)
+    return out.select("id", rnd("visitors").alias("visitors"))
+
+
+@register("submission_join", all_ctes() + _NAIVE_SQL + f"""
+    select s.id, round(exp(case when p.prediction < 0 then 0.0 else p.prediction end), {R}) as visitors
+    from submission s join pred p on p.id = s.id where p.prediction is not null""")
+def q_submission_join(spark, sf_dir):
+    t, _, te = _train_test_rows(spark, sf_dir)
+    pred = te.select("id", F.col("visitors_lag1").alias("prediction")).where(
+        F.col("prediction").isNotNull())
+    out = scoring.score_predictions(pred, t.submission, how="inner")
+    return out.select("id", rnd("visitors").alias("visitors"))
