@@ -594,3 +594,105 @@ def q_submission_join(spark, sf_dir):
         F.col("prediction").isNotNull())
     out = scoring.score_predictions(pred, t.submission, how="inner")
     return out.select("id", rnd("visitors").alias("visitors"))
+
+
+# --------------------------------------------------------------------------
+# Step 7: OLS, VIF, linear regression (1-2 feature oracles)
+# --------------------------------------------------------------------------
+
+from footfall.plans import diagnostics  # noqa: E402
+from footfall.plans import models as mdl  # noqa: E402
+
+_XY_CTE = ("xy", """select log_visitors as y, visitors_lag1 as x1, visitors_lag2 as x2
+                    from panel where subset = 'train' and visitors_lag1 is not null
+                      and visitors_lag2 is not null and log_visitors is not null""")
+
+
+def _xy_rows(spark, sf_dir):
+    _, tr, _ = _train_test_rows(spark, sf_dir)
+    return tr.where(F.col("visitors_lag1").isNotNull() & F.col("visitors_lag2").isNotNull()
+                    & F.col("log_visitors").isNotNull())
+
+
+@register("ols_single", all_ctes() + ", " + "{} as ({})".format(*_XY_CTE) + f"""
+    select 'visitors_lag1' as feature, round(sum(x1 * y) / sum(x1 * x1), {R}) as coef,
+           round(sum(x1 * y) * sum(x1 * y) / (sum(x1 * x1) * sum(y * y)), {R}) as r2
+    from xy""")
+def q_ols_single(spark, sf_dir):
+    """M3 with one feature and no constant: coefficient and uncentred R²."""
+    table, stats, _ = diagnostics.ols(_xy_rows(spark, sf_dir), ["visitors_lag1"], order="store")
+    return table.select("feature", rnd("coef").alias("coef"),
+                        rnd(F.lit(stats["r2"])).alias("r2"))
+
+
+@register("vif_pair", all_ctes() + ", " + "{} as ({})".format(*_XY_CTE) + f"""
+    , s as (select sum(x1 * x2) * sum(x1 * x2) / (sum(x1 * x1) * sum(x2 * x2)) as c from xy)
+    select f as features, round(1 / (1 - c), {R}) as vif_factor
+    from s, (values ('visitors_lag1'), ('visitors_lag2')) v(f)""")
+def q_vif_pair(spark, sf_dir):
+    v = diagnostics.vif(_xy_rows(spark, sf_dir), ["visitors_lag1", "visitors_lag2"])
+    return v.select("features", rnd("vif_factor").alias("vif_factor"))
+
+
+@register("linear_single", all_ctes() + ", " + "{} as ({})".format(*_XY_CTE) + f"""
+    select round(regr_slope(y, x1), {R}) as slope, round(regr_intercept(y, x1), {R}) as intercept
+    from xy""")
+def q_linear_single(spark, sf_dir):
+    """M5 with one feature: MLlib least squares with an intercept."""
+    df = _xy_rows(spark, sf_dir)
+    model = mdl.regression_pipeline(mdl.linear_regression(True), ["visitors_lag1"]).fit(df)
+    lr = model.stages[-1]
+    return spark.createDataFrame([(float(lr.coefficients[0]), float(lr.intercept))],
+                                 "slope double, intercept double").select(
+        rnd("slope").alias("slope"), rnd("intercept").alias("intercept"))
+
+
+# --------------------------------------------------------------------------
+# Step 8: recursive forecast with a fixed linear AR model
+# --------------------------------------------------------------------------
+
+from pyspark.ml.feature import SQLTransformer  # noqa: E402
+
+from footfall.plans import forecast  # noqa: E402
+
+# Fixed AR weights of the oracle check: intercept, then lags 1..3.
+AR_WEIGHTS = (0.2, 0.5, 0.3, 0.15)
+
+
+def ar_model(weights=AR_WEIGHTS) -> SQLTransformer:
+    c0, *ws = weights
+    terms = " + ".join(f"{w} * visitors_lag{k}" for k, w in enumerate(ws, start=1))
+    return SQLTransformer(statement=f"SELECT *, {c0} + {terms} AS prediction FROM __THIS__")
+
+
+def _ar_sql(weights=AR_WEIGHTS) -> str:
+    c0, w1, w2, w3 = weights
+
+    def clip(e):
+        return f"(case when ({e}) < 0 then 0.0 else ({e}) end)"
+    first = clip(f"{c0} + {w1} * visitors_lag1 + {w2} * visitors_lag2 + {w3} * visitors_lag3")
+    nxt = clip(f"{c0} + {w1} * r.p + {w2} * r.l1 + {w3} * r.l2")
+    return (standin.oracle_with(*panel_ctes(), ("steps", """
+        select id, air_store_id, visit_date, visitors_lag1, visitors_lag2, visitors_lag3,
+               row_number() over (partition by air_store_id order by visit_date) as step
+        from panel where subset = 'test'"""), recursive=True)
+        + f""", rec(air_store_id, step, p, l1, l2, l3) as (
+            select air_store_id, step, {first}, visitors_lag1, visitors_lag2, visitors_lag3
+            from steps where step = 1
+            union all
+            select t.air_store_id, t.step, {nxt}, r.p, r.l1, r.l2
+            from rec r join steps t on t.air_store_id = r.air_store_id and t.step = r.step + 1)
+        select s.id, s.air_store_id, s.visit_date, round(r.p, {R}) as log_visitors,
+               round(exp(r.p), {R}) as visitors,
+               round(r.l1, {R}) as visitors_lag1, round(r.l3, {R}) as visitors_lag3
+        from rec r join steps s on s.air_store_id = r.air_store_id and s.step = r.step""")
+
+
+@register("recursive_forecast_ar", _ar_sql())
+def q_recursive_forecast_ar(spark, sf_dir):
+    t = standin.load(spark, sf_dir)
+    _, te = series.split(series.build_panel(t.visits, t.submission))
+    out = forecast.recursive_forecast(te, ar_model(), n_lags=7, clip=True, fill_value=None)
+    return out.select("id", "air_store_id", "visit_date", rnd("log_visitors").alias("log_visitors"),
+                      rnd("visitors").alias("visitors"), rnd("visitors_lag1").alias("visitors_lag1"),
+                      rnd("visitors_lag3").alias("visitors_lag3"))

@@ -142,8 +142,8 @@ ORACLE_CTES = {
 }
 
 
-def oracle_with(*extra: tuple[str, str]) -> str:
+def oracle_with(*extra: tuple[str, str], recursive: bool = False) -> str:
     """``WITH`` clause holding all stand-in views plus ``extra`` (name, sql)."""
     parts = [f"{name} as ({sql})" for name, sql in ORACLE_CTES.items()]
     parts += [f"{name} as ({sql})" for name, sql in extra]
-    return "with " + ",\n".join(parts) + "\n"
+    return ("with recursive " if recursive else "with ") + ",\n".join(parts) + "\n"
