@@ -233,9 +233,10 @@ def all_ctes(**kw) -> str:
     return standin.oracle_with(*panel_ctes(**kw), *RES_CTES, *store_ctes())
 
 
-STATS_SPARK = ["min_visitors", rnd("mean_visitors").alias("mean_visitors"),
-               rnd("median_visitors").alias("median_visitors"), "max_visitors",
-               "count_observations"]
+def stats_spark() -> list:
+    return ["min_visitors", rnd("mean_visitors").alias("mean_visitors"),
+            rnd("median_visitors").alias("median_visitors"), "max_visitors",
+            "count_observations"]
 STATS_SQL = (f"min_visitors, round(mean_visitors, {R}) as mean_visitors, "
              f"round(median_visitors, {R}) as median_visitors, max_visitors, count_observations")
 
@@ -258,7 +259,7 @@ def q_store_dow_grid(spark, sf_dir):
 def q_store_dow_stats(spark, sf_dir):
     _, tr, te = _train_test_rows(spark, sf_dir)
     s = store_dim.attach_stats(store_dim.store_dow_grid(te), store_dim.store_dow_stats(tr))
-    return s.select("air_store_id", "dow", *STATS_SPARK)
+    return s.select("air_store_id", "dow", *stats_spark())
 
 
 _STORE_CODE_COLS = store_dim.token_columns(N_TOKENS) + ["air_genre_name", "air_area_name"]
@@ -270,7 +271,7 @@ _STORE_CODE_COLS = store_dim.token_columns(N_TOKENS) + ["air_genre_name", "air_a
 def q_store_dim(spark, sf_dir):
     t, tr, te = _train_test_rows(spark, sf_dir)
     s = store_dim.build_stores(tr, te, t.store_info, N_TOKENS)
-    return s.select("air_store_id", "dow", *STATS_SPARK, "latitude", "longitude",
+    return s.select("air_store_id", "dow", *stats_spark(), "latitude", "longitude",
                     *_STORE_CODE_COLS)
 
 
@@ -506,7 +507,7 @@ def q_fill_missing(spark, sf_dir):
     _, tr, _ = _train_test_rows(spark, sf_dir)
     grid = store_dim.store_dow_grid(tr)
     s = num.fill_missing(store_dim.attach_stats(grid, store_dim.store_dow_stats(tr)))
-    return s.select("air_store_id", "dow", *STATS_SPARK)
+    return s.select("air_store_id", "dow", *stats_spark())
 
 
 @register("large_party_flag", standin.oracle_with() + """
@@ -696,3 +697,70 @@ def q_recursive_forecast_ar(spark, sf_dir):
     return out.select("id", "air_store_id", "visit_date", rnd("log_visitors").alias("log_visitors"),
                       rnd("visitors").alias("visitors"), rnd("visitors_lag1").alias("visitors_lag1"),
                       rnd("visitors_lag3").alias("visitors_lag3"))
+
+
+# --------------------------------------------------------------------------
+# Step 9: model jobs (rows-only checks: no SQL equivalent)
+# --------------------------------------------------------------------------
+
+from footfall.plans import cluster as clu  # noqa: E402
+from footfall.plans import lasso as lso  # noqa: E402
+from footfall.plans import ordered_cv as ocv  # noqa: E402
+from footfall.plans import search  # noqa: E402
+
+# The stand-in data has few store-days at 120 visitors; FIXTURES: use 75.
+LARGE_PARTY_AT = 75
+
+
+@register("kmeans_cluster")
+def q_kmeans_cluster(spark, sf_dir):
+    """M1: 8 clusters of store locations, 25 restarts x 1000 iterations."""
+    t, tr, te = _train_test_rows(spark, sf_dir)
+    stores = store_dim.build_stores(tr, te, t.store_info, N_TOKENS)
+    out = clu.add_location_cluster(stores, k=8, restarts=25, max_iter=1000, seed=0)
+    return out.select("air_store_id", "cluster").distinct()
+
+
+def _wide_filled(spark, sf_dir, clean=True):
+    return _wide(spark, sf_dir, clean=clean)
+
+
+@register("logit_large_party")
+def q_logit_large_party(spark, sf_dir):
+    """M2: no-intercept logit on 27 features, P >= 0.5 flags the test rows."""
+    train, test = _wide_filled(spark, sf_dir)
+    train = train.withColumn("large_party", num.threshold_flag("visitors", LARGE_PARTY_AT))
+    feats = [c for c in feat.LARGE_PARTY_FEATURES if c in train.columns]
+    model = mdl.large_party_classifier(train, feats)
+    return model.flag(test).select("id", "large_party")
+
+
+@register("lasso_path")
+def q_lasso_path(spark, sf_dir):
+    """M7: 200 alphas x 5 ordered folds, mean test RMSE per alpha."""
+    train, _ = _wide_filled(spark, sf_dir)
+    return lso.lasso_path(train, mdl.model_features(train), alphas=lso.reference_alphas())
+
+
+@register("forest_cv")
+def q_forest_cv(spark, sf_dir):
+    """M8 + M11: 1000 trees of depth 3, sqrt features, seed 0."""
+    train, _ = _wide_filled(spark, sf_dir)
+    scores = ocv.time_series_cv(train, mdl.random_forest(), mdl.model_features(train))
+    return ocv.cv_table(spark, "random_forest", scores)
+
+
+@register("gbt_cv")
+def q_gbt_cv(spark, sf_dir):
+    """M9 + M11: 1000 boosting rounds at rate 0.01."""
+    train, _ = _wide_filled(spark, sf_dir)
+    scores = ocv.time_series_cv(train, mdl.gradient_boosting(), mdl.model_features(train))
+    return ocv.cv_table(spark, "gbt", scores)
+
+
+@register("model_leaderboard")
+def q_model_leaderboard(spark, sf_dir):
+    """M10 + O2: candidates scored by ordered CV, ranked."""
+    train, _ = _wide_filled(spark, sf_dir)
+    board, _ = search.model_search(train, mdl.model_features(train))
+    return board

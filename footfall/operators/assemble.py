@@ -90,7 +90,9 @@ def create_train_test(train_rows: DataFrame, test_rows: DataFrame, stores: DataF
     """C2 without the large-party model (see ``plans.features``)."""
     train = derive(attach(train_rows, hol, stores, ar, hr), make_id=True)
     test = derive(attach(test_rows, hol, stores, ar, hr), make_id=False)
-    codes = fit_label_codes(train, [STORE])
+    # fitted on the panel rows: the same distinct stores as the wide frame
+    # (left joins keep rows), without re-running its joins
+    codes = fit_label_codes(train_rows.select(STORE), [STORE])
     train = codes.apply(train, {STORE: "air_store_id2"})
     test = codes.apply(test, {STORE: "air_store_id2"}, handle_invalid="error")
     if clean:

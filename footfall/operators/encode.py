@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from footfall.operators.ordinal import global_ordinal
 
 # Dictionaries up to this many entries are inlined as a map literal.
-MAX_INLINE_CODES = 20_000
+MAX_INLINE_CODES = 5_000
 
 
 @dataclass
@@ -29,12 +29,16 @@ class LabelCodes:
     def codes_for(self, column: str) -> DataFrame:
         return self.table.where(F.col("column") == column).select("value", "code")
 
-    def _inline(self, column: str) -> Column:
-        pairs = self.codes_for(column).collect()  # size checked by the caller
-        flat = []
-        for r in pairs:
-            flat += [F.lit(r["value"]), F.lit(r["code"])]
-        return F.create_map(*flat) if flat else F.create_map().cast("map<string,int>")
+    def _inline_maps(self, columns: list[str]) -> dict[str, Column]:
+        """Literal maps for small dictionaries, fetched in one job."""
+        if not columns:
+            return {}
+        rows = self.table.where(F.col("column").isin(columns)).collect()  # size checked
+        flat: dict[str, list] = {c: [] for c in columns}
+        for r in rows:
+            flat[r["column"]] += [F.lit(r["value"]), F.lit(r["code"])]
+        return {c: (F.create_map(*v) if v else F.create_map().cast("map<string,int>"))
+                for c, v in flat.items()}
 
     def apply(self, df: DataFrame, columns: dict[str, str] | None = None,
               handle_invalid: str = "error") -> DataFrame:
@@ -45,11 +49,14 @@ class LabelCodes:
         ``raise_error`` inside the plan); ``"keep"`` yields null.
         """
         columns = columns or {c: c for c in self.sizes}
+        small = [c for c in columns if self.sizes.get(c, 0) <= MAX_INLINE_CODES]
+        maps = self._inline_maps(small)
+        inline = {}
         for src, dst in columns.items():
             value = F.col(src).cast("string")
-            if self.sizes.get(src, 0) <= MAX_INLINE_CODES:
-                code = F.try_element_at(self._inline(src), value)
-                df = df.withColumn(dst, self._guard(value, code, src, handle_invalid))
+            if src in maps:
+                code = F.try_element_at(maps[src], value)
+                inline[dst] = self._guard(value, code, src, handle_invalid)
             else:
                 tag = f"__code_{dst}"
                 codes = self.codes_for(src).select(F.col("value").alias(f"{tag}_v"),
@@ -57,7 +64,7 @@ class LabelCodes:
                 df = (df.join(codes, value == F.col(f"{tag}_v"), "left")
                         .withColumn(dst, self._guard(value, F.col(tag), src, handle_invalid))
                         .drop(tag, f"{tag}_v"))
-        return df
+        return df.withColumns(inline) if inline else df
 
     @staticmethod
     def _guard(value: Column, code: Column, name: str, handle_invalid: str) -> Column:
@@ -81,7 +88,8 @@ def fit_label_codes(df: DataFrame, columns: list[str]) -> LabelCodes:
     firsts = {r["column"]: (r["first"], r["n"]) for r in
               numbered.groupBy("column").agg(F.min("ordinal").alias("first"),
                                              F.count("*").alias("n")).collect()}
-    first = F.create_map(*[x for c, (f, _) in firsts.items() for x in (F.lit(c), F.lit(f))])
+    first = (F.create_map(*[x for c, (f, _) in firsts.items() for x in (F.lit(c), F.lit(f))])
+             if firsts else F.create_map().cast("map<string,bigint>"))
     table = numbered.select("column", "value",
                             (F.col("ordinal") - F.element_at(first, F.col("column")))
                             .cast("int").alias("code"))
