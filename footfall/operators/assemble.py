@@ -17,6 +17,7 @@ from footfall.functions import numeric as num
 from footfall.functions import text
 from footfall.operators.encode import fit_label_codes
 from footfall.operators.joins import bounded_broadcast, semi_join_null_safe
+from footfall.session import cut_lineage
 
 STORE = "air_store_id"
 DAY = "visit_date"
@@ -46,13 +47,30 @@ def attach(rows: DataFrame, hol: DataFrame, stores: DataFrame, ar: DataFrame,
                 .join(_suffixed(hr, "_y"), [STORE, DAY], "left"))
 
 
-def derive(df: DataFrame, make_id: bool) -> DataFrame:
+def frame_maxima(stores: DataFrame, rows: DataFrame):
+    """J11 helper: (max latitude, max longitude) over the rows of a frame.
+
+    Coordinates reach a row only through the (store, dow) join, so the maxima
+    over the frame equal the maxima over the store rows matched by the frame's
+    distinct (store, dow) keys — a small semi join instead of re-running the
+    whole wide join pipeline.  Both maxima come from one scalar subquery.
+    """
+    keys = rows.select(STORE, "dow").distinct()
+    m = (stores.join(keys, [STORE, "dow"], "left_semi")
+               .agg(F.struct(F.max("latitude").alias("lat"),
+                             F.max("longitude").alias("lon")).alias("m")))
+    return m.scalar()
+
+
+def derive(df: DataFrame, make_id: bool, maxima=None) -> DataFrame:
     """F3 (train only), totals (F16, T15), F13, J11, lon + lat."""
     if make_id:
         df = df.withColumn("id", text.make_id(STORE, DAY))
     # Column max minus column, per frame — an uncorrelated scalar subquery.
-    max_lat = df.select(F.max("latitude")).scalar()
-    max_lon = df.select(F.max("longitude")).scalar()
+    if maxima is None:
+        maxima = df.select(F.struct(F.max("latitude").alias("lat"),
+                                    F.max("longitude").alias("lon"))).scalar()
+    max_lat, max_lon = maxima.getField("lat"), maxima.getField("lon")
     return df.withColumns({
         "total_reserv_sum": F.col("rv1_x") + F.col("rv1_y"),
         "total_reserv_mean": (F.col("rv2_x") + F.col("rv2_y")) / 2,
@@ -88,13 +106,18 @@ def create_train_test(train_rows: DataFrame, test_rows: DataFrame, stores: DataF
                       clean_last_only: bool = False, fill: bool = True
                       ) -> tuple[DataFrame, DataFrame]:
     """C2 without the large-party model (see ``plans.features``)."""
-    train = derive(attach(train_rows, hol, stores, ar, hr), make_id=True)
-    test = derive(attach(test_rows, hol, stores, ar, hr), make_id=False)
+    train = derive(attach(train_rows, hol, stores, ar, hr), make_id=True,
+                   maxima=frame_maxima(stores, train_rows))
+    test = derive(attach(test_rows, hol, stores, ar, hr), make_id=False,
+                  maxima=frame_maxima(stores, test_rows))
     # fitted on the panel rows: the same distinct stores as the wide frame
     # (left joins keep rows), without re-running its joins
     codes = fit_label_codes(train_rows.select(STORE), [STORE])
     train = codes.apply(train, {STORE: "air_store_id2"})
     test = codes.apply(test, {STORE: "air_store_id2"}, handle_invalid="error")
+    # The test frame is the forecast horizon only (stores x horizon rows); it is
+    # read by the output and by every clean semi join, so materialise it once.
+    test = cut_lineage(test)
     if clean:
         train = train_clean(train, test, last_only=clean_last_only)
     if fill:

@@ -15,10 +15,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from footfall.operators.joins import DEFAULT_BROADCAST_ROWS
 from footfall.operators.ordinal import global_ordinal
 
-# Dictionaries up to this many entries are inlined as a map literal.
-MAX_INLINE_CODES = 5_000
+# Dictionaries up to this many entries are inlined as a map literal (a map
+# lookup scans its keys, so only tiny ones); larger ones are joined, broadcast
+# when the fitted size (an exact count) is within the broadcast bound.
+MAX_INLINE_CODES = 64
 
 
 @dataclass
@@ -61,6 +64,8 @@ class LabelCodes:
                 tag = f"__code_{dst}"
                 codes = self.codes_for(src).select(F.col("value").alias(f"{tag}_v"),
                                                    F.col("code").alias(tag))
+                if self.sizes.get(src, 0) <= DEFAULT_BROADCAST_ROWS:
+                    codes = F.broadcast(codes)
                 df = (df.join(codes, value == F.col(f"{tag}_v"), "left")
                         .withColumn(dst, self._guard(value, F.col(tag), src, handle_invalid))
                         .drop(tag, f"{tag}_v"))

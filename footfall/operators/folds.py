@@ -34,7 +34,7 @@ def assign_folds(df: DataFrame, order: str | list[str] = "time", n_splits: int =
                  out: str = "fold") -> tuple[DataFrame, int]:
     """Add ``ordinal`` and ``out``; returns (frame, n)."""
     cols = ORDERS[order] if isinstance(order, str) else list(order)
-    numbered, n = global_ordinal(df, cols)
+    numbered, n = global_ordinal(df, cols, materialize_input=True)
     return numbered.withColumn(out, fold_of(F.col("ordinal"), n, n_splits)), n
 
 

@@ -22,14 +22,20 @@ from footfall.session import cut_lineage
 
 
 def global_ordinal(df: DataFrame, order_cols: list[str], out: str = "ordinal",
-                   num_partitions: int | None = None) -> tuple[DataFrame, int]:
+                   num_partitions: int | None = None, materialize_input: bool = False
+                   ) -> tuple[DataFrame, int]:
     """Add ``out`` = 0-based position of each row in ``order_cols`` order.
 
     ``order_cols`` must identify rows uniquely (ties would be numbered in an
     arbitrary but fixed order).  Returns the frame and the total row count.
+    ``materialize_input`` checkpoints ``df`` first: range partitioning samples
+    its input in a separate job, which would otherwise recompute an expensive
+    lineage twice.
     """
     spark = df.sparkSession
     parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if materialize_input:
+        df = cut_lineage(df)
     ranged = cut_lineage(df.repartitionByRange(parts, *order_cols)
                            .sortWithinPartitions(*order_cols))
     numbered = ranged.withColumns({

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from footfall.operators import assemble, reservations, series, store_dim
+from footfall.session import cut_lineage
 from footfall.sources.tables import Tables
 
 
@@ -29,8 +30,11 @@ def import_data(t: Tables, test_value: float | None = 0.0, large_party_threshold
                 n_tokens: int = 10, cluster: bool = False, kmeans_restarts: int = 25,
                 kmeans_max_iter: int = 1000, seed: int = 0) -> FeatureSet:
     """C1 (RU 22-158).  ``cluster=True`` adds the KMeans location cluster (M1)."""
-    panel = series.build_panel(t.visits, t.submission, test_value=test_value,
-                               large_party_threshold=large_party_threshold)
+    # The panel, calendar and reservation aggregates feed several consumers
+    # (statistics, code fits, train and test assembly): materialise each once
+    # instead of re-aggregating the raw tables per consumer.
+    panel = cut_lineage(series.build_panel(t.visits, t.submission, test_value=test_value,
+                                           large_party_threshold=large_party_threshold))
     train_rows, test_rows = series.split(panel)
     stores = store_dim.build_stores(train_rows, test_rows, t.store_info, n_tokens)
     if cluster:
@@ -39,9 +43,9 @@ def import_data(t: Tables, test_value: float | None = 0.0, large_party_threshold
                                       max_iter=kmeans_max_iter, seed=seed)
     return FeatureSet(
         train_rows=train_rows, test_rows=test_rows, stores=stores,
-        hol=assemble.holiday_table(t.date_info),
-        ar=reservations.reservation_features(t.air_reserve),
-        hr=reservations.reservation_features(t.hpg_reserve, t.store_relation),
+        hol=assemble.holiday_table(cut_lineage(t.date_info)),
+        ar=cut_lineage(reservations.reservation_features(t.air_reserve)),
+        hr=cut_lineage(reservations.reservation_features(t.hpg_reserve, t.store_relation)),
     )
 
 
