@@ -746,7 +746,8 @@ def q_lasso_path(spark, sf_dir):
 def q_forest_cv(spark, sf_dir):
     """M8 + M11: 1000 trees of depth 3, sqrt features, seed 0."""
     train, _ = _wide_filled(spark, sf_dir)
-    scores = ocv.time_series_cv(train, mdl.random_forest(), mdl.model_features(train))
+    scores = ocv.time_series_cv(train, mdl.random_forest(), mdl.model_features(train),
+                                parallelism=5)
     return ocv.cv_table(spark, "random_forest", scores)
 
 
@@ -754,7 +755,8 @@ def q_forest_cv(spark, sf_dir):
 def q_gbt_cv(spark, sf_dir):
     """M9 + M11: 1000 boosting rounds at rate 0.01."""
     train, _ = _wide_filled(spark, sf_dir)
-    scores = ocv.time_series_cv(train, mdl.gradient_boosting(), mdl.model_features(train))
+    scores = ocv.time_series_cv(train, mdl.gradient_boosting(), mdl.model_features(train),
+                                parallelism=5)
     return ocv.cv_table(spark, "gbt", scores)
 
 
@@ -764,3 +766,55 @@ def q_model_leaderboard(spark, sf_dir):
     train, _ = _wide_filled(spark, sf_dir)
     board, _ = search.model_search(train, mdl.model_features(train))
     return board
+
+
+# --------------------------------------------------------------------------
+# Notebook and AutoML-script flows (rows-only)
+# --------------------------------------------------------------------------
+
+@register("ols_summary")
+def q_ols_summary(spark, sf_dir):
+    """M3: OLS without constant on the notebook's first predictor list."""
+    train, _ = _wide_filled(spark, sf_dir)
+    table, stats, _ = diagnostics.ols(train, mdl.OLS_FEATURES_1)
+    return table.withColumn("r2", F.lit(stats["r2"]))
+
+
+@register("vif_table")
+def q_vif_table(spark, sf_dir):
+    """M4 + P14: VIF of every predictor, rounded to one place for display."""
+    train, _ = _wide_filled(spark, sf_dir)
+    return diagnostics.rounded(diagnostics.vif(train, mdl.OLS_FEATURES_1))
+
+
+@register("linear_cv")
+def q_linear_cv(spark, sf_dir):
+    """M5 + M11: ordered CV of least squares on the second predictor list."""
+    train, _ = _wide_filled(spark, sf_dir)
+    scores = ocv.time_series_cv(train, mdl.linear_regression(True), mdl.OLS_FEATURES_2)
+    return ocv.cv_table(spark, "linear", scores)
+
+
+@register("lasso_score")
+def q_lasso_score(spark, sf_dir):
+    """M6 + M12: Lasso (alpha 0.001) fitted on train, scored on the test ids."""
+    t = standin.load(spark, sf_dir)
+    train, test = _wide_filled(spark, sf_dir)
+    feats = mdl.model_features(train)
+    model = lso.lasso_fit(train, feats, alpha=0.001)
+    pred = model.transform(test).select("id", "prediction")
+    return scoring.score_predictions(pred, t.submission)
+
+
+@register("forecast_leader")
+def q_forecast_leader(spark, sf_dir):
+    """M10 + M13 + J10: leader of a model search forecast step by step over
+    the test horizon, joined to the submission ids."""
+    t = standin.load(spark, sf_dir)
+    train, test = _wide_filled(spark, sf_dir)
+    feats = mdl.model_features(train)
+    cands = [("linear", mdl.linear_regression(True), [{}]),
+             ("lasso", mdl.lasso(0.001), [{"regParam": 0.001}, {"regParam": 0.01}])]
+    _, leader = search.model_search(train, feats, candidates=cands)
+    out = forecast.recursive_forecast(test, leader, n_lags=7, clip=True, fill_value=-1.0)
+    return t.submission.select("id").join(out.select("id", "visitors"), "id")

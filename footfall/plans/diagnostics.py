@@ -10,8 +10,6 @@ from __future__ import annotations
 import math
 
 import numpy as np
-from pyspark import StorageLevel
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,7 +17,6 @@ from pyspark.sql import types as T
 from footfall.operators.folds import ORDERS
 from footfall.operators.ordinal import global_ordinal
 from footfall.plans.gram import gram
-from footfall.plans.models import linear_regression
 
 
 def vif(df: DataFrame, features: list[str]) -> DataFrame:
@@ -39,49 +36,107 @@ def rounded(df: DataFrame, col: str = "vif_factor", digits: int = 1) -> DataFram
     return df.withColumn(col, F.bround(col, digits))
 
 
+def _betacf(a: float, b: float, x: float) -> float:
+    """Continued fraction of the incomplete beta function (modified Lentz)."""
+    tiny, qab, qap, qam = 1e-300, a + b, a + 1.0, a - 1.0
+    c, d = 1.0, 1.0 - qab * x / qap
+    d = 1.0 / (d if abs(d) > tiny else tiny)
+    h = d
+    for m in range(1, 10_000):
+        m2 = 2 * m
+        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
+        d = 1.0 + aa * d
+        d = 1.0 / (d if abs(d) > tiny else tiny)
+        c = 1.0 + aa / c
+        c = c if abs(c) > tiny else tiny
+        h *= d * c
+        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
+        d = 1.0 + aa * d
+        d = 1.0 / (d if abs(d) > tiny else tiny)
+        c = 1.0 + aa / c
+        c = c if abs(c) > tiny else tiny
+        de = d * c
+        h *= de
+        if abs(de - 1.0) < 1e-15:
+            break
+    return h
+
+
+def _betainc(a: float, b: float, x: float) -> float:
+    """Regularised incomplete beta I_x(a, b)."""
+    if x <= 0.0:
+        return 0.0
+    if x >= 1.0:
+        return 1.0
+    lbeta = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b)
+    front = math.exp(lbeta + a * math.log(x) + b * math.log1p(-x))
+    if x < (a + 1.0) / (a + b + 2.0):
+        return front * _betacf(a, b, x) / a
+    return 1.0 - front * _betacf(b, a, 1.0 - x) / b
+
+
+def t_two_sided_p(t: float, dof: float) -> float:
+    """P(|T| >= |t|) for Student's t with ``dof`` degrees of freedom."""
+    if not math.isfinite(t):
+        return 0.0 if not math.isnan(t) else float("nan")
+    return _betainc(dof / 2.0, 0.5, dof / (dof + t * t))
+
+
 def ols(df: DataFrame, features: list[str], label: str = "log_visitors",
         fit_intercept: bool = False, order: str = "store"):
-    """M3: fit OLS (MLlib normal-equation solver) and return
-    ``(coefficient table, statistics dict, model)``.
+    """M3: least squares with the inference table of a regression summary.
 
-    The statistics are one aggregate over the residuals, plus Durbin-Watson,
-    whose lag is taken in row order (``order``) through a global ordinal and a
-    key join — no single-task window.
+    Returns ``(coefficient table, statistics dict, coefficients dict)``.
+    The fit is one Gram pass (exact normal equations; a pseudo-inverse for a
+    rank-deficient design, as the original's solver); residual moments are
+    one aggregate; Durbin-Watson takes the lag in row order (``order``)
+    through a global ordinal and a key join — no single-task window.
     """
-    data = VectorAssembler(inputCols=features, outputCol="features").transform(
-        df.dropna(subset=features + [label])).persist(StorageLevel.MEMORY_AND_DISK)
-    model = linear_regression(fit_intercept).setFeaturesCol("features").setLabelCol(label).fit(data)
-    s = model.summary
-    names = features + (["const"] if fit_intercept else [])
-    coefs = list(model.coefficients.toArray()) + ([model.intercept] if fit_intercept else [])
+    data = df.dropna(subset=features + [label])
+    g = gram(data, features, label)
+    n = g.n
+    if fit_intercept:
+        A = g.m[:-1, :-1]                       # [1, x] block
+        b = g.m[:-1, -1]
+        names = ["const"] + features
+    else:
+        A, b, names = g.xtx, g.xty, list(features)
+    inv = np.linalg.pinv(A)
+    beta = inv @ b
+    sse = float(g.yty - 2 * beta @ b + beta @ A @ beta)
+    rank = int(np.linalg.matrix_rank(A))
+    dof = n - rank
+    sigma2 = sse / dof if dof > 0 else float("nan")
+    se = np.sqrt(np.maximum(np.diag(inv), 0.0) * sigma2)
+    tv = np.divide(beta, se, out=np.full_like(beta, np.nan), where=se > 0)
+    pv = [t_two_sided_p(float(t), dof) for t in tv]
     table = df.sparkSession.createDataFrame(
-        [(n, float(c), float(se), float(t), float(p))
-         for n, c, se, t, p in zip(names, coefs, s.coefficientStandardErrors, s.tValues, s.pValues)],
+        [(nm, float(c), float(e), float(t), float(p))
+         for nm, c, e, t, p in zip(names, beta, se, tv, pv)],
         "feature string, coef double, std_err double, t_value double, p_value double")
 
-    resid = model.transform(data).withColumn("e", F.col(label) - F.col("prediction"))
-    a = resid.agg(F.count("e").alias("n"), F.sum(F.col("e") ** 2).alias("sse"),
-                  F.skewness("e").alias("skew"), F.kurtosis("e").alias("kurt"),
-                  F.sum(F.col(label) ** 2).alias("tss_u"),
-                  F.variance(label).alias("var_y")).first()
-    n, sse, k = int(a["n"]), float(a["sse"]), len(names)
-    tss = float(a["tss_u"]) if not fit_intercept else float(a["var_y"]) * (n - 1)
+    coefs = dict(zip(names, (float(x) for x in beta)))
+    fitted = F.lit(coefs.get("const", 0.0))
+    for c in features:
+        fitted = fitted + F.lit(coefs[c]) * F.col(c).cast("double")
+    resid = data.withColumn("e", F.col(label) - fitted)
+    a = resid.agg(F.skewness("e").alias("skew"), F.kurtosis("e").alias("kurt")).first()
+    tss = g.yty if not fit_intercept else g.yty - g.sy ** 2 / n
     r2 = 1.0 - sse / tss if tss else float("nan")
     loglik = -n / 2.0 * (math.log(2 * math.pi) + math.log(sse / n) + 1.0)
     kurt = float(a["kurt"]) + 3.0 if a["kurt"] is not None else float("nan")
     skew = float(a["skew"]) if a["skew"] is not None else float("nan")
-    df_model = k - (1 if fit_intercept else 0)
+    df_model = rank - (1 if fit_intercept else 0)
     stats = {
-        "n": n, "r2": r2,
-        "adj_r2": 1 - (1 - r2) * (n - (1 if fit_intercept else 0)) / (n - k),
-        "f_stat": (r2 / df_model) / ((1 - r2) / (n - k)) if df_model and r2 < 1 else float("nan"),
-        "loglik": loglik, "aic": -2 * loglik + 2 * k, "bic": -2 * loglik + k * math.log(n),
+        "n": int(n), "rank": rank, "r2": r2,
+        "adj_r2": 1 - (1 - r2) * (n - (1 if fit_intercept else 0)) / dof if dof > 0 else float("nan"),
+        "f_stat": (r2 / df_model) / ((1 - r2) / dof) if df_model and r2 < 1 and dof > 0 else float("nan"),
+        "loglik": loglik, "aic": -2 * loglik + 2 * rank, "bic": -2 * loglik + rank * math.log(n),
         "skew": skew, "kurtosis": kurt,
         "jarque_bera": n / 6.0 * (skew ** 2 + (kurt - 3.0) ** 2 / 4.0),
         "durbin_watson": durbin_watson(resid, order),
     }
-    data.unpersist()
-    return table, stats, model
+    return table, stats, coefs
 
 
 def durbin_watson(resid: DataFrame, order: str = "store") -> float:
