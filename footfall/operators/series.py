@@ -91,8 +91,16 @@ def split(combined: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def build_panel(visits: DataFrame, submission: DataFrame, test_value: float | None = 0.0,
                 large_party_threshold: float = 120, lags=range(1, 8),
-                diffs: bool = True) -> DataFrame:
-    """Combined panel with lags/diffs and the ``subset`` tag (RU 61-102)."""
+                diffs: bool = True, partitions: int | None = None) -> DataFrame:
+    """Combined panel with lags/diffs and the ``subset`` tag (RU 61-102).
+
+    ``partitions`` pins the store partitioning (``repartition(n, store)``)
+    that the window needs anyway, so later store-keyed joins and aggregates
+    can reuse it instead of shuffling the panel again.
+    """
     tr = visit_features(visits, large_party_threshold)
     te = submission_features(submission, test_value, large_party_threshold)
-    return add_lags(combine(tr, te), lags=lags, diffs=diffs)
+    both = combine(tr, te)
+    if partitions:
+        both = both.repartition(partitions, STORE)
+    return add_lags(both, lags=lags, diffs=diffs)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from footfall.functions import text
 from footfall.operators.encode import fit_label_codes
-from footfall.session import cut_lineage
+from footfall.session import cut_lineage, materialize_bucketed
 
 STORE = "air_store_id"
 STAT_COLS = ["min_visitors", "mean_visitors", "median_visitors", "max_visitors",
@@ -80,7 +80,8 @@ def encode_text(stores: DataFrame, n_tokens: int = 10) -> DataFrame:
 
 
 def build_stores(train_rows: DataFrame, test_rows: DataFrame, store_info: DataFrame,
-                 n_tokens: int = 10, encode: bool = True) -> DataFrame:
+                 n_tokens: int = 10, encode: bool = True, partitions: int | None = None
+                 ) -> DataFrame:
     """RU 111-147: grid + statistics + store info + tokens (+ codes)."""
     stores = attach_store_info(attach_stats(store_dow_grid(test_rows),
                                             store_dow_stats(train_rows)), store_info)
@@ -88,4 +89,7 @@ def build_stores(train_rows: DataFrame, test_rows: DataFrame, store_info: DataFr
     if not encode:
         return stores
     # Materialise the dimension once: the code fit and every later join read it.
+    if partitions:
+        # bucketed by store like the panel, so the (store, dow) join reuses it
+        return encode_text(materialize_bucketed(stores, STORE, "stores", partitions), n_tokens)
     return encode_text(cut_lineage(stores), n_tokens)

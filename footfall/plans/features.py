@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from footfall.operators import assemble, reservations, series, store_dim
-from footfall.session import cut_lineage
+from footfall.session import cut_lineage, materialize_bucketed
 from footfall.sources.tables import Tables
 
 
@@ -33,10 +33,20 @@ def import_data(t: Tables, test_value: float | None = 0.0, large_party_threshold
     # The panel, calendar and reservation aggregates feed several consumers
     # (statistics, code fits, train and test assembly): materialise each once
     # instead of re-aggregating the raw tables per consumer.
-    panel = cut_lineage(series.build_panel(t.visits, t.submission, test_value=test_value,
-                                           large_party_threshold=large_party_threshold))
+    #
+    # Every store-keyed intermediate is written as a table bucketed by store
+    # into the same number of buckets; with
+    # spark.sql.requireAllClusterKeysForCoPartition off (session default here)
+    # the (store, dow) and (store, day) joins of the assembly then run without
+    # shuffling the panel again.
+    parts = int(t.visits.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    panel = materialize_bucketed(
+        series.build_panel(t.visits, t.submission, test_value=test_value,
+                           large_party_threshold=large_party_threshold, partitions=parts),
+        "air_store_id", "panel", parts)
     train_rows, test_rows = series.split(panel)
-    stores = store_dim.build_stores(train_rows, test_rows, t.store_info, n_tokens)
+    stores = store_dim.build_stores(train_rows, test_rows, t.store_info, n_tokens,
+                                    partitions=parts)
     if cluster:
         from footfall.plans.cluster import add_location_cluster
         stores = add_location_cluster(stores, k=8, restarts=kmeans_restarts,
@@ -44,8 +54,11 @@ def import_data(t: Tables, test_value: float | None = 0.0, large_party_threshold
     return FeatureSet(
         train_rows=train_rows, test_rows=test_rows, stores=stores,
         hol=assemble.holiday_table(cut_lineage(t.date_info)),
-        ar=cut_lineage(reservations.reservation_features(t.air_reserve)),
-        hr=cut_lineage(reservations.reservation_features(t.hpg_reserve, t.store_relation)),
+        ar=materialize_bucketed(reservations.reservation_features(t.air_reserve),
+                                "air_store_id", "air_reservations", parts),
+        hr=materialize_bucketed(reservations.reservation_features(t.hpg_reserve,
+                                                                  t.store_relation),
+                                "air_store_id", "hpg_reservations", parts),
     )
 
 
