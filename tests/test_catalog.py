@@ -10,7 +10,8 @@ import oracle_check  # noqa: E402  (tests/ is on sys.path under pytest)
 import __spark_entry__ as E
 
 HEAVY = {"forest_cv", "gbt_cv", "model_leaderboard", "kmeans_cluster", "lasso_path",
-         "logit_large_party"}
+         "logit_large_party", "ols_summary", "vif_table", "linear_cv", "lasso_score",
+         "forecast_leader"}
 
 
 def test_entry_smoke(spark):
