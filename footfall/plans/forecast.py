@@ -17,9 +17,11 @@ the model, trap T1): N passes, each re-deriving lags/diffs with the window —
 but over the *frontier* only (test rows + the last ``n_lags`` train rows per
 store), never the whole history.
 
-Both keep state in DataFrames partitioned by store and cut lineage with a
-reliable checkpoint every step (``spark.checkpoint.dir``), so a lost executor
-re-reads the previous step.  Any MLlib ``Transformer`` works as the model.
+Both keep their state in tables bucketed by store under the checkpoint
+directory (``spark.checkpoint.dir``): every step is a reliable lineage cut (a
+lost executor re-reads the previous step), and the per-step join or window
+finds its input already partitioned by store, so no step shuffles.  Any MLlib
+``Transformer`` works as the model.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ from pyspark.sql import functions as F
 
 from footfall.functions import numeric as num
 from footfall.operators import series
-from footfall.session import cut_lineage
+from footfall.session import materialize_bucketed
 
 STORE, DAY, TARGET = "air_store_id", "visit_date", "log_visitors"
 
@@ -79,24 +81,29 @@ def recursive_forecast(test_rows: DataFrame, model, n_lags: int = 7, clip: bool
     diff_cols = [c for c in test_rows.columns if c.startswith(series.DIFF_PREFIX)]
     base = test_rows.drop(prediction, *diff_cols) if prediction in test_rows.columns \
         else test_rows.drop(*diff_cols)
-    steps = cut_lineage(
-        base.withColumn("__step", F.row_number().over(series.store_window()))
-            .repartition(parts, STORE))
+    # Step rows and the per-step state are tables bucketed by store with the
+    # same bucket count, so each step's join runs without a shuffle, and each
+    # step is a reliable lineage cut.
+    steps = materialize_bucketed(
+        base.withColumn("__step", F.row_number().over(series.store_window())),
+        STORE, "forecast_steps", parts)
     n_steps = steps.agg(F.max("__step")).first()[0] or 0
 
     # state after step 0: the true history of step 1, newest first
-    state = cut_lineage(steps.where(F.col("__step") == 1)
-                        .select(STORE, F.array(*lag_cols).alias("__state"))
-                        .repartition(parts, STORE))
+    state = materialize_bucketed(steps.where(F.col("__step") == 1)
+                                 .select(STORE, F.array(*lag_cols).alias("__state")),
+                                 STORE, "forecast_state", parts)
     outputs = []
     for j in range(1, n_steps + 1):
         rows = (steps.where(F.col("__step") == j).drop(*lag_cols)
                 .join(state, STORE, "left")
                 .withColumns({c: F.try_element_at(F.col("__state"), F.lit(k))
                               for k, c in enumerate(lag_cols, start=1)}))
-        done = cut_lineage(_predict(model, rows, fill_value, lag_cols, clip, prediction)
-                           .withColumn("__state", F.slice(F.concat(F.array("__p"),
-                                                                   F.col("__state")), 1, n_lags)))
+        done = materialize_bucketed(
+            _predict(model, rows, fill_value, lag_cols, clip, prediction)
+            .withColumn("__state", F.slice(F.concat(F.array("__p"), F.col("__state")),
+                                           1, n_lags)),
+            STORE, "forecast_step", parts)
         outputs.append(done)
         state = done.select(STORE, "__state")
     if not outputs:
@@ -129,7 +136,7 @@ def _fixed_point(train_rows, test_rows, model, n_lags, clip, fill_value, predict
     frontier = (tail.withColumn("__test", F.lit(False))
                 .unionByName(test_rows.withColumn("__test", F.lit(True)), allowMissingColumns=True)
                 .select(*[c for c in test_rows.columns if c not in (prediction,)], "__test"))
-    frontier = cut_lineage(frontier.repartition(parts, STORE))
+    frontier = materialize_bucketed(frontier, STORE, "forecast_frontier", parts)
     for _ in range(n_pass):
         lagged = series.add_lags(frontier.drop(*lag_cols, *diff_cols), lags=range(1, n_lags + 1),
                                  diffs=bool(diff_cols))
@@ -138,7 +145,7 @@ def _fixed_point(train_rows, test_rows, model, n_lags, clip, fill_value, predict
         keep = [c for c in lagged.columns]
         updated = (scored.withColumn(TARGET, F.col("__p")).select(*keep)
                    .unionByName(lagged.where(~is_test)))
-        frontier = cut_lineage(updated.repartition(parts, STORE))
+        frontier = materialize_bucketed(updated, STORE, "forecast_frontier", parts)
     final = series.add_lags(frontier.drop(*lag_cols, *diff_cols), lags=range(1, n_lags + 1),
                             diffs=bool(diff_cols))
     res = final.where(F.col("__test")).withColumn("visitors", F.exp(TARGET))
