@@ -169,3 +169,9 @@ def test_search_leaderboard_and_persistence(design, tmp_path):
     a = [r.prediction for r in leader.transform(design).orderBy("air_store_id", "visit_date").collect()]
     b = [r.prediction for r in again.transform(design).orderBy("air_store_id", "visit_date").collect()]
     assert np.allclose(a, b)
+
+
+def test_parallel_cv_equals_serial(design):
+    serial = ordered_cv.time_series_cv(design, models.linear_regression(True), FEATS)
+    par = ordered_cv.time_series_cv(design, models.linear_regression(True), FEATS, parallelism=3)
+    assert np.allclose(serial, par)
