@@ -102,7 +102,7 @@ def large_party_classifier(train: DataFrame, features: list[str], label: str = "
                            threshold: float = 0.5) -> LargePartyModel:
     """M2: maximum-likelihood logit without intercept (RU 224-240)."""
     lr = LogisticRegression(featuresCol="features", labelCol=label, fitIntercept=False,
-                            regParam=0.0, standardization=False, maxIter=200, tol=1e-10,
+                            regParam=0.0, standardization=True, maxIter=200, tol=1e-10,
                             family="binomial")
     pipe = Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="features",
                                             handleInvalid="keep"), lr])

@@ -115,3 +115,31 @@ def test_semi_join_null_matches_null(spark):
 def test_rmse_golden(spark):
     df = spark.createDataFrame([(1.0, 1.0), (2.0, 4.0)], "y double, p double")
     assert round(df.agg(rmse_expr("y", "p").alias("r")).first().r, 6) == 1.414214
+
+
+def test_best_arg_min(spark):
+    from footfall.operators.metrics import best, mean_over
+    df = spark.createDataFrame([(0.1, 1, 0.5), (0.1, 2, 0.7), (0.2, 1, 0.4), (0.2, 2, 0.6)],
+                               "lambda double, fold int, rmsle double")
+    m = mean_over(df, ["lambda"])
+    r = best(m, "lambda", "mean_rmsle").first()
+    assert r.best_lambda == 0.2 and abs(r.min_mean_rmsle - 0.5) < 1e-12
+
+
+def test_score_write_and_fitted(spark, tmp_path):
+    from footfall.plans.scoring import fitted_vs_actual, score_predictions, write_scores
+    pred = spark.createDataFrame([("a", -0.5), ("b", 1.0)], "id string, prediction double")
+    ids = spark.createDataFrame([("a",), ("b",), ("c",)], "id string")
+    scored = {r.id: r.visitors for r in score_predictions(pred, ids).collect()}
+    assert scored["a"] == 1.0 and abs(scored["b"] - 2.718281828) < 1e-8 and scored["c"] is None
+    path = write_scores(score_predictions(pred, ids), str(tmp_path), "scored_lasso.csv")
+    assert path.endswith("scored_lasso")
+    back = spark.read.option("header", True).csv(path)
+    assert back.columns == ["id", "visitors"] and back.count() == 3
+
+    class Ident:
+        def transform(self, df):
+            return df.withColumn("prediction", F.log("visitors"))
+    rows = spark.createDataFrame([("s", D(2017, 1, 1), 10)], "air_store_id string, visit_date date, visitors long")
+    r = fitted_vs_actual(Ident(), rows).first()
+    assert abs(r.predicted_visitors - 10) < 1e-9

@@ -175,3 +175,18 @@ def test_parallel_cv_equals_serial(design):
     serial = ordered_cv.time_series_cv(design, models.linear_regression(True), FEATS)
     par = ordered_cv.time_series_cv(design, models.linear_regression(True), FEATS, parallelism=3)
     assert np.allclose(serial, par)
+
+
+def test_create_train_test_with_classifier_and_clean(spark):
+    from footfall.plans import features
+    t = standin.load(spark, SF001)
+    fs = features.import_data(t)
+    train, test = features.create_train_test(fs, clean=True, predict_large_party=True,
+                                             large_party_threshold=75)
+    assert test.count() == t.submission.count()
+    assert {r.large_party for r in test.select("large_party").distinct().collect()} <= {0.0, 1.0}
+    full, _ = features.create_train_test(fs)
+    assert 0 < train.count() <= full.count()
+    # every kept train row's categories occur in test (conjunction clean)
+    for v in ("air_genre_name", "air_area_name", "air_store_id2"):
+        assert train.join(test.select(v).distinct(), v, "left_anti").count() == 0
