@@ -143,7 +143,9 @@ def _fixed_point(train_rows, test_rows, model, n_lags, clip, fill_value, predict
         is_test = F.col("__test")
         scored = _predict(model, lagged.where(is_test), fill_value, lag_cols, clip, prediction)
         keep = [c for c in lagged.columns]
-        updated = (scored.withColumn(TARGET, F.col("__p")).select(*keep)
+        # P10: the prediction replaces the target on test rows only
+        updated = (scored.withColumn(TARGET, num.masked_update(is_test, "__p", TARGET))
+                   .select(*keep)
                    .unionByName(lagged.where(~is_test)))
         frontier = materialize_bucketed(updated, STORE, "forecast_frontier", parts)
     final = series.add_lags(frontier.drop(*lag_cols, *diff_cols), lags=range(1, n_lags + 1),
