@@ -25,8 +25,17 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS
     return df, False
 
 
-def semi_join_null_safe(left: DataFrame, right: DataFrame, col: str) -> DataFrame:
+def semi_join_null_safe(left: DataFrame, right: DataFrame, col: str,
+                        broadcast_max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Keep ``left`` rows whose ``col`` occurs in ``right`` (null matches
-    null, as pandas ``isin`` does with NaN)."""
+    null, as pandas ``isin`` does with NaN).
+
+    Category columns have few values, so a shuffle join on them would pile a
+    hot category's rows into one task: the distinct keys are broadcast after a
+    size check.  Only a key set beyond the bound is shuffle-joined — in this
+    workload that is the store code, and a store holds at most one panel row
+    per day.
+    """
     keys = right.select(F.col(col).alias("__semi_key")).distinct()
+    keys, _ = bounded_broadcast(keys, broadcast_max_rows)
     return left.join(keys, left[col].eqNullSafe(keys["__semi_key"]), "left_semi")
