@@ -2,7 +2,7 @@
 
 VIF without a constant: regressing column i on the others gives the
 uncentred R²ᵢ, and 1/(1 - R²ᵢ) = (XᵀX)ᵢᵢ · ((XᵀX)⁻¹)ᵢᵢ — so all VIFs come from
-one Gram matrix (one distributed pass) and a p x p inverse.
+one Gram matrix (one distributed pass) and small p x p solves.
 """
 
 from __future__ import annotations
@@ -21,11 +21,26 @@ from footfall.plans.gram import gram
 
 def vif(df: DataFrame, features: list[str]) -> DataFrame:
     """(features, vif_factor) — statsmodels' ``variance_inflation_factor``
-    for every column of a design without an added constant."""
+    for every column of a design without an added constant.
+
+    VIFᵢ = xᵢᵀxᵢ / SSRᵢ, with SSRᵢ the residual sum of squares of xᵢ regressed
+    on the other columns, all read off one Gram matrix.  For a full-rank design
+    this equals (XᵀX)ᵢᵢ · ((XᵀX)⁻¹)ᵢᵢ; an exactly collinear column gets +inf,
+    as R²ᵢ = 1 does in the definition.
+    """
     g = gram(df, features, features[0])
     G = g.xtx
-    inv = np.linalg.pinv(G)
-    vals = [float(G[i, i] * inv[i, i]) for i in range(len(features))]
+    p = len(features)
+    vals = []
+    for i in range(p):
+        rest = [j for j in range(p) if j != i]
+        gii = float(G[i, i])
+        if rest:
+            gi = G[rest, i]
+            ssr = gii - float(gi @ np.linalg.pinv(G[np.ix_(rest, rest)]) @ gi)
+        else:
+            ssr = gii
+        vals.append(gii / ssr if ssr > 1e-12 * max(gii, 1e-300) else float("inf"))
     schema = T.StructType([T.StructField("features", T.StringType()),
                            T.StructField("vif_factor", T.DoubleType())])
     return df.sparkSession.createDataFrame(list(zip(features, vals)), schema)

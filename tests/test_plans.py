@@ -190,3 +190,10 @@ def test_create_train_test_with_classifier_and_clean(spark):
     # every kept train row's categories occur in test (conjunction clean)
     for v in ("air_genre_name", "air_area_name", "air_store_id2"):
         assert train.join(test.select(v).distinct(), v, "left_anti").count() == 0
+
+
+def test_vif_collinear_is_inf(design):
+    df = design.withColumn("twice", F.col("visitors_lag1") * 2)
+    v = {r.features: r.vif_factor for r in diagnostics.vif(df, ["visitors_lag1", "twice", "dow"]).collect()}
+    assert v["visitors_lag1"] == float("inf") and v["twice"] == float("inf")
+    assert 1.0 <= v["dow"] < float("inf")
