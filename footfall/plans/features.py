@@ -49,8 +49,10 @@ def import_data(t: Tables, test_value: float | None = 0.0, large_party_threshold
                                     partitions=parts)
     if cluster:
         from footfall.plans.cluster import add_location_cluster
-        stores = add_location_cluster(stores, k=8, restarts=kmeans_restarts,
-                                      max_iter=kmeans_max_iter, seed=seed)
+        stores = materialize_bucketed(
+            add_location_cluster(stores, k=8, restarts=kmeans_restarts,
+                                 max_iter=kmeans_max_iter, seed=seed),
+            "air_store_id", "stores_clustered", parts)
     return FeatureSet(
         train_rows=train_rows, test_rows=test_rows, stores=stores,
         hol=assemble.holiday_table(cut_lineage(t.date_info)),
