@@ -420,11 +420,6 @@ def q_test_wide(spark, sf_dir):
     return _wide_select_spark(_wide(spark, sf_dir)[1])
 
 
-def _train_rows_with(spark, sf_dir):
-    t, tr, te = _train_test_rows(spark, sf_dir)
-    return t, tr, te
-
-
 @register("reservation_totals", all_ctes() + f"""
     select p.air_store_id, p.visit_date,
            ax.rv1 + hy.rv1 as total_reserv_sum,
