@@ -818,3 +818,72 @@ def q_forecast_leader(spark, sf_dir):
 # The slowest model jobs run last, after every cheap and oracle-checked query.
 for _slow in ("model_leaderboard", "forest_cv", "gbt_cv"):
     QUERIES[_slow] = QUERIES.pop(_slow)
+
+
+# --------------------------------------------------------------------------
+# One-feature forms of the path and of ordered CV (closed form in SQL)
+# --------------------------------------------------------------------------
+
+_X1_CTE = ("x1", """select air_store_id, visit_date, log_visitors as y, visitors_lag1 as x
+                    from panel where subset = 'train' and visitors_lag1 is not null
+                      and log_visitors is not null""")
+_X1_FOLDS = ("o", f"""select *, {_FOLD_SQL} as fold from (
+                 select *, row_number() over (order by visit_date, air_store_id) - 1 as ordinal,
+                        count(*) over () as n
+                 from x1)""")
+_SPLITS = ("splits", "select cast(unnest(range(1, 6)) as integer) as split")
+_TRAIN_STATS = ("trs", """select s.split, count(*) as n, sum(x) as sx, sum(y) as sy,
+                                 sum(x * x) as sxx, sum(x * y) as sxy,
+                                 regr_slope(y, x) as slope, regr_intercept(y, x) as icpt
+                          from splits s join o on o.fold < s.split group by s.split""")
+_TEST_STATS = ("tes", """select s.split, count(*) as n, sum(x) as sx, sum(y) as sy, sum(x * x) as sxx,
+                                sum(x * y) as sxy, sum(y * y) as syy
+                         from splits s join o on o.fold = s.split group by s.split""")
+
+
+def _x1_rows(spark, sf_dir):
+    _, tr, _ = _train_test_rows(spark, sf_dir)
+    return tr.where(F.col("visitors_lag1").isNotNull() & F.col("log_visitors").isNotNull())
+
+
+@register("lasso_path_single", all_ctes() + ", " + ", ".join(
+    f"{n} as ({s})" for n, s in [_X1_CTE, _X1_FOLDS, _SPLITS, _TRAIN_STATS, _TEST_STATS]) + f"""
+    , alphas as (select cast(round(0.001 + 0.005 * k, 3) as double) as lam
+                 from (select unnest(range(200)) as k))
+    , fit as (
+        select a.lam, t.split,
+               (sxy - sx * sy / n) as c, (sxx - sx * sx / n) as cc, n, sx, sy
+        from alphas a, trs t)
+    , w as (
+        select lam, split,
+               sign(c) * greatest(abs(c) - n * lam, 0) / cc as w,
+               sy / n - (sign(c) * greatest(abs(c) - n * lam, 0) / cc) * sx / n as b
+        from fit)
+    , r as (
+        select w.lam, w.split,
+               sqrt(greatest(e.syy - 2 * w.b * e.sy - 2 * w.w * e.sxy + e.n * w.b * w.b
+                             + 2 * w.b * w.w * e.sx + w.w * w.w * e.sxx, 0) / e.n) as rmse
+        from w join tes e on e.split = w.split)
+    select lam as "lambda", round(avg(rmse), {R}) as rmsle from r group by lam""")
+def q_lasso_path_single(spark, sf_dir):
+    """M7 on one feature (lag 1): the full 200-alpha grid under ordered CV."""
+    path = lso.lasso_path(_x1_rows(spark, sf_dir), ["visitors_lag1"],
+                          alphas=lso.reference_alphas())
+    return path.select("lambda", rnd("rmsle").alias("rmsle"))
+
+
+@register("linear_cv_single", all_ctes() + ", " + ", ".join(
+    f"{n} as ({s})" for n, s in [_X1_CTE, _X1_FOLDS, _SPLITS, _TRAIN_STATS]) + f"""
+    select 'linear' as model, t.split as fold,
+           round(sqrt(avg(power(o.y - (t.icpt + t.slope * o.x), 2))), {R}) as rmsle
+    from trs t join o on o.fold = t.split group by t.split""")
+def q_linear_cv_single(spark, sf_dir):
+    """M11 + M5 on one feature: refit per expanding fold, RMSE on the next."""
+    scores = ocv.time_series_cv(_x1_rows(spark, sf_dir), mdl.linear_regression(True),
+                                ["visitors_lag1"])
+    return ocv.cv_table(spark, "linear", scores).select("model", "fold",
+                                                        rnd("rmsle").alias("rmsle"))
+
+
+for _slow in ("model_leaderboard", "forest_cv", "gbt_cv"):
+    QUERIES[_slow] = QUERIES.pop(_slow)
