@@ -616,7 +616,8 @@ def _xy_rows(spark, sf_dir):
     from xy""")
 def q_ols_single(spark, sf_dir):
     """M3 with one feature and no constant: coefficient and uncentred R²."""
-    table, stats, _ = diagnostics.ols(_xy_rows(spark, sf_dir), ["visitors_lag1"], order="store")
+    table, stats, _ = diagnostics.ols(_xy_rows(spark, sf_dir), ["visitors_lag1"],
+                                      residual_stats=False)
     return table.select("feature", rnd("coef").alias("coef"),
                         rnd(F.lit(stats["r2"])).alias("r2"))
 
@@ -887,3 +888,30 @@ def q_linear_cv_single(spark, sf_dir):
 
 for _slow in ("model_leaderboard", "forest_cv", "gbt_cv"):
     QUERIES[_slow] = QUERIES.pop(_slow)
+
+
+@register("ols_pair", all_ctes() + ", " + "{} as ({})".format(*_XY_CTE) + f"""
+    , s as (select count(*) as n, sum(x1 * x1) as s11, sum(x2 * x2) as s22, sum(x1 * x2) as s12,
+                   sum(x1 * y) as s1y, sum(x2 * y) as s2y, sum(y * y) as syy from xy)
+    , b as (select *, s11 * s22 - s12 * s12 as det,
+                   (s22 * s1y - s12 * s2y) / (s11 * s22 - s12 * s12) as b1,
+                   (s11 * s2y - s12 * s1y) / (s11 * s22 - s12 * s12) as b2 from s)
+    , e as (select *, (syy - 2 * (b1 * s1y + b2 * s2y)
+                       + b1 * b1 * s11 + 2 * b1 * b2 * s12 + b2 * b2 * s22) / (n - 2) as sigma2
+            from b)
+    select 'visitors_lag1' as feature, round(b1, {R}) as coef,
+           round(sqrt(s22 / det * sigma2), {R}) as std_err,
+           round(b1 / sqrt(s22 / det * sigma2), {R}) as t_value from e
+    union all
+    select 'visitors_lag2', round(b2, {R}), round(sqrt(s11 / det * sigma2), {R}),
+           round(b2 / sqrt(s11 / det * sigma2), {R}) from e""")
+def q_ols_pair(spark, sf_dir):
+    """M3 with two features, no constant: coefficients, standard errors, t."""
+    table, _, _ = diagnostics.ols(_xy_rows(spark, sf_dir), ["visitors_lag1", "visitors_lag2"],
+                                  residual_stats=False)
+    return table.select("feature", rnd("coef").alias("coef"), rnd("std_err").alias("std_err"),
+                        rnd("t_value").alias("t_value"))
+
+
+for _slow in ("model_leaderboard", "forest_cv", "gbt_cv"):
+    QUERIES[_slow] = QUERIES.pop(_slow)

@@ -98,7 +98,7 @@ def t_two_sided_p(t: float, dof: float) -> float:
 
 
 def ols(df: DataFrame, features: list[str], label: str = "log_visitors",
-        fit_intercept: bool = False, order: str = "store"):
+        fit_intercept: bool = False, order: str = "store", residual_stats: bool = True):
     """M3: least squares with the inference table of a regression summary.
 
     Returns ``(coefficient table, statistics dict, coefficients dict)``.
@@ -106,6 +106,7 @@ def ols(df: DataFrame, features: list[str], label: str = "log_visitors",
     rank-deficient design, as the original's solver); residual moments are
     one aggregate; Durbin-Watson takes the lag in row order (``order``)
     through a global ordinal and a key join — no single-task window.
+    ``residual_stats=False`` skips those two extra passes.
     """
     data = df.dropna(subset=features + [label])
     g = gram(data, features, label)
@@ -135,7 +136,8 @@ def ols(df: DataFrame, features: list[str], label: str = "log_visitors",
     for c in features:
         fitted = fitted + F.lit(coefs[c]) * F.col(c).cast("double")
     resid = data.withColumn("e", F.col(label) - fitted)
-    a = resid.agg(F.skewness("e").alias("skew"), F.kurtosis("e").alias("kurt")).first()
+    a = (resid.agg(F.skewness("e").alias("skew"), F.kurtosis("e").alias("kurt")).first()
+         if residual_stats else {"skew": None, "kurt": None})
     tss = g.yty if not fit_intercept else g.yty - g.sy ** 2 / n
     r2 = 1.0 - sse / tss if tss else float("nan")
     loglik = -n / 2.0 * (math.log(2 * math.pi) + math.log(sse / n) + 1.0)
@@ -149,7 +151,7 @@ def ols(df: DataFrame, features: list[str], label: str = "log_visitors",
         "loglik": loglik, "aic": -2 * loglik + 2 * rank, "bic": -2 * loglik + rank * math.log(n),
         "skew": skew, "kurtosis": kurt,
         "jarque_bera": n / 6.0 * (skew ** 2 + (kurt - 3.0) ** 2 / 4.0),
-        "durbin_watson": durbin_watson(resid, order),
+        "durbin_watson": durbin_watson(resid, order) if residual_stats else float("nan"),
     }
     return table, stats, coefs
 
