@@ -38,3 +38,22 @@ def test_wide_assembly_is_shuffle_free_without_broadcast(spark):
     main = plan.split("===== Subqueries =====")[0]
     assert "SortMergeJoin" in main
     assert "Exchange hashpartitioning" not in main.replace("\n", " ") and ") Exchange" not in main
+
+
+def test_forecast_step_join_is_shuffle_free(spark):
+    from footfall.plans import forecast
+    from footfall.session import materialize_bucketed
+    from pyspark.sql import functions as F
+    t = standin.load(spark, SF001)
+    _, te = series.split(series.build_panel(t.visits, t.submission))
+    steps = materialize_bucketed(te.select("air_store_id", "visit_date", "id"),
+                                 "air_store_id", "shape_steps", 8)
+    state = materialize_bucketed(te.select("air_store_id", F.array(F.lit(1.0)).alias("s"))
+                                 .dropDuplicates(["air_store_id"]), "air_store_id", "shape_state", 8)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(steps.join(state, "air_store_id", "left"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin" in plan and ") Exchange" not in plan
