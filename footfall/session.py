@@ -55,9 +55,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     machine-local folder would not survive the loss of that machine.
     """
     sc = spark.sparkContext
-    current = sc._jsc.sc().getCheckpointDir()
-    if current.isDefined():
-        return current.get()
+    current = sc.getCheckpointDir()
+    if current:
+        return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
@@ -76,7 +76,8 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
     Used at loop boundaries (recursive forecast, ordinal numbering) so a lost
     executor re-reads the checkpoint instead of replaying the whole lineage.
-    The returned frame keeps the output partitioning of ``df``.
+    Under AQE the checkpointed frame reports no partitioning; when a later
+    join should reuse a key layout, use ``materialize_bucketed`` instead.
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
@@ -95,7 +96,7 @@ def materialize_bucketed(df: DataFrame, key: str, name: str, buckets: int | None
 
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    root = spark.sparkContext._jsc.sc().getCheckpointDir().get()
+    root = spark.sparkContext.getCheckpointDir()
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     table = f"footfall_{name}_{uuid.uuid4().hex[:12]}"
     (df.repartition(n, key).write.bucketBy(n, key).mode("overwrite")
