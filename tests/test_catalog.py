@@ -8,6 +8,7 @@ from conftest import SF001
 import oracle_check  # noqa: E402  (tests/ is on sys.path under pytest)
 
 import __spark_entry__ as E
+from footfall import catalog
 
 HEAVY = {"forest_cv", "gbt_cv", "model_leaderboard", "kmeans_cluster", "lasso_path",
          "logit_large_party", "ols_summary", "vif_table", "linear_cv", "lasso_score",
@@ -21,9 +22,9 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_alias_match_candidates():
-    qs, sqls = E.queries(), E.oracle_sql()
-    assert set(sqls) <= set(qs)
-    assert set(qs) - set(sqls) == HEAVY
+    assert set(E.oracle_sql()) <= set(E.queries())
+    assert set(catalog.ORACLE) <= set(catalog.QUERIES)
+    assert set(catalog.QUERIES) - set(catalog.ORACLE) == HEAVY
 
 
 @pytest.fixture(scope="module")
@@ -31,7 +32,7 @@ def duck():
     return oracle_check.duck(SF001)
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(catalog.ORACLE))
 def test_oracle(spark, duck, name):
     spd = E.queries()[name](spark, SF001).toPandas()
     dpd = duck.execute(E.oracle_sql()[name]).df()
