@@ -52,7 +52,7 @@ def fingerprint(text, n=3):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
-def simhash(rows, radius=3):
+def simhash_roots(rows, radius=3):
     fps = [fingerprint(t) for _, t in rows]
     parent = list(range(len(rows)))
 
@@ -65,11 +65,16 @@ def simhash(rows, radius=3):
         for b in range(a):
             if (fps[a] ^ fps[b]).bit_count() <= radius:
                 parent[find(a)] = find(b)
+    return fps, [find(a) for a in range(len(rows))]
+
+
+def simhash(rows, radius=3):
+    fps, roots = simhash_roots(rows, radius)
     least = defaultdict(lambda: LAST)
-    for a, (i, _) in enumerate(rows):
-        least[find(a)] = min(least[find(a)], order(i))
-    return [(i, f"{fps[a]:016x}", None if i is None and least[find(a)] == LAST else least[find(a)])
-            for a, (i, _) in enumerate(rows)]
+    for (i, _), r in zip(rows, roots):
+        least[r] = min(least[r], order(i))
+    return [(i, f"{f:016x}", None if i is None and least[r] == LAST else least[r])
+            for (i, _), f, r in zip(rows, fps, roots)]
 
 
 def metrics(text):

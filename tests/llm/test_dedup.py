@@ -3,8 +3,8 @@
 import random
 
 import numpy as np
-from brute import fingerprint, repeated, simhash as brute_simhash, substring as brute_substring
-from conftest import SCHEMA  # noqa: F401
+from brute import (fingerprint, order, repeated, simhash as brute_simhash, simhash_roots,
+                   substring as brute_substring)
 from pyspark.sql import functions as F
 
 import footfall.llm.simhash as simhash
@@ -12,8 +12,6 @@ from footfall.llm import queries, substring, suffix
 from footfall.llm.common import minimisers, window_hashes, word_hashes
 from footfall.llm.components import components
 
-from brute import order
-
 
 def key(row):
     return tuple((x is None, str(x)) for x in row)
@@ -136,8 +134,8 @@ def test_components_of_a_long_chain(shipped):
 def test_keep_first_keeps_one_of_each_group(edge):
     rows = [(r["doc_id"], r["text"]) for r in edge.collect()]
     groups = {}
-    for i, f, c in brute_simhash(rows):
-        groups.setdefault(c, []).append(i)
+    for (i, _), r in zip(rows, simhash_roots(rows)[1]):
+        groups.setdefault(r, []).append(i)
     kept = simhash.keep_first(edge)
     assert kept.columns == edge.columns
     ids = [r["doc_id"] for r in kept.collect()]
