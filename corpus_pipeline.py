@@ -11,25 +11,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.llm import decontaminate, packing, quality, secrets, simhash
-from footfall.llm.common import materialize, ship, table
+from footfall.llm.common import materialize, table
 from footfall.llm.queries import tokenizer_path
+from footfall.session import ship_package
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
-    ship(spark)
+    ship_package(spark)
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays, that of the smallest id."""
-    ship(spark)
+    ship_package(spark)
     return simhash.keep_first(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents into which a benchmark item leaks go."""
-    ship(spark)
+    ship_package(spark)
     return decontaminate.drop_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
@@ -43,7 +44,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token pieces of what is left, with their places in the sequences."""
-    ship(spark)
+    ship_package(spark)
     return packing.pack(docs, tokenizer_path())
 
 

@@ -91,9 +91,9 @@ def train_clean(train: DataFrame, test: DataFrame, variables=None,
 
     Default is the documented intent (all variables, conjunction); the
     original loop only kept the last variable's filter (``last_only``, T2).
-    Variables absent from the frame are skipped.
+    A variable absent from the frame is an error.
     """
-    variables = [v for v in (variables or CLEAN_VARS) if v in train.columns]
+    variables = list(variables or CLEAN_VARS)
     if last_only:
         variables = variables[-1:]
     for v in variables:

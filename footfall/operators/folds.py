@@ -12,10 +12,11 @@ order the original actually produced (trap T8).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from footfall.operators.ordinal import global_ordinal
+from footfall.session import cut_lineage
 
 ORDERS = {"time": ["visit_date", "air_store_id"], "store": ["air_store_id", "visit_date"]}
 
@@ -38,6 +39,53 @@ def assign_folds(df: DataFrame, order: str | list[str] = "time", n_splits: int =
     return numbered.withColumn(out, fold_of(F.col("ordinal"), n, n_splits)), n
 
 
+def fold_starts(df: DataFrame, order: str | list[str] = "time", n_splits: int = 5
+                ) -> list[tuple]:
+    """The order keys of the first row of each test fold (fewer if folds are empty).
+
+    Rows are counted per leading key (a day, or a store); the leading key that holds a
+    fold's first position comes from the running counts, and only the rows of these
+    at most ``n_splits`` keys are numbered to find the row itself.
+    """
+    lead, then = ORDERS[order] if isinstance(order, str) else order
+    counts = df.groupBy(lead).agg(F.count(F.lit(1)).alias("n"))
+    # one row per day (or store), not per data row
+    running = cut_lineage(counts.withColumn("upto", F.sum("n").over(
+        Window.orderBy(F.col(lead).asc_nulls_first()))))
+    n = running.agg(F.max("upto")).first()[0] or 0
+    size = n // (n_splits + 1)
+    if not size:
+        return []
+    starts = [n - n_splits * size + i * size for i in range(n_splits)]
+    held = running.where(F.lit(False) if not starts else F.exists(
+        F.array(*[F.lit(s).cast("long") for s in starts]),
+        lambda s: (s >= F.col("upto") - F.col("n")) & (s < F.col("upto")))).collect()
+    rows = df.where(F.col(lead).isin([r[lead] for r in held])).select(lead, then)
+    place = Window.partitionBy(lead).orderBy(F.col(then).asc_nulls_first())
+    before = {r[lead]: r["upto"] - r["n"] for r in held}
+    wanted = F.lit(False)
+    for s in starts:
+        key = next(r[lead] for r in held if before[r[lead]] <= s < r["upto"])
+        wanted = wanted | ((F.col(lead) == F.lit(key)) & (F.col("i") == s - before[key]))
+    found = rows.withColumn("i", F.row_number().over(place) - 1).where(wanted).collect()
+    return sorted((r[lead], r[then]) for r in found)
+
+
+def with_fold(df: DataFrame, order: str | list[str] = "time", n_splits: int = 5,
+              out: str = "fold") -> DataFrame:
+    """Add ``out`` by comparing each row's order keys with the folds' first rows.
+
+    No shuffle and no copy of ``df``: the comparison is a narrow expression.  ``df`` is
+    read twice for the boundaries (its order keys only).
+    """
+    lead, then = ORDERS[order] if isinstance(order, str) else order
+    fold = F.lit(0)
+    for a, b in fold_starts(df, order, n_splits):
+        after = (F.col(lead) > F.lit(a)) | ((F.col(lead) == F.lit(a)) & (F.col(then) >= F.lit(b)))
+        fold = fold + F.coalesce(after, F.lit(False)).cast("int")
+    return df.withColumn(out, fold.cast("int"))
+
+
 def fold_bounds(n: int, n_splits: int = 5) -> list[tuple[int, int]]:
     """(train_end, test_end) positions of each split, for checks."""
     ts = n // (n_splits + 1)

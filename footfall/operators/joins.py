@@ -5,22 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A side is broadcast only after a row-count check against this bound;
-# beyond it the join stays a shuffle join (AQE may still convert it at
-# runtime from real shuffle statistics).
+# A side is broadcast only if it has been counted and holds at most so many rows
+# (a few narrow columns each); beyond, the join stays a shuffle join, which AQE may
+# still turn into a broadcast from measured shuffle bytes.
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS
                       ) -> tuple[DataFrame, bool]:
-    """Return ``(broadcast(df), True)`` if ``df`` has at most ``max_rows``
-    rows, else ``(df, False)``.
+    """Return ``(broadcast(df), True)`` if ``df`` has at most ``max_rows`` rows, else
+    ``(df, False)``.
 
-    The check is ``limit(max_rows + 1).count()``: every task stops after
-    ``max_rows + 1`` rows, so it never scans more than it must.
+    The rows are counted where they are: one number per task is shuffled.
     """
-    n = df.limit(max_rows + 1).count()
-    if n <= max_rows:
+    if df.count() <= max_rows:
         return F.broadcast(df), True
     return df, False
 

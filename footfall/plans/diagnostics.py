@@ -1,8 +1,12 @@
 """Regression diagnostics: OLS inference table (M3), VIF (M4).
 
-VIF without a constant: regressing column i on the others gives the
-uncentred R²ᵢ, and 1/(1 - R²ᵢ) = (XᵀX)ᵢᵢ · ((XᵀX)⁻¹)ᵢᵢ — so all VIFs come from
-one Gram matrix (one distributed pass) and small p x p solves.
+Both are solved from the triangular factor R of the design (``plans.qr``), one
+distributed pass.  R has the design's own condition number; the normal matrix
+would square it and lose the small directions beside a ``yyyymmdd`` column.
+
+Columns are scaled to unit length to tell exact collinearity from nearly
+collinear columns; the solution is then the one of least length in the original
+coordinates, as a pseudo-inverse of the design gives.
 """
 
 from __future__ import annotations
@@ -10,37 +14,54 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from footfall.operators.folds import ORDERS
-from footfall.operators.ordinal import global_ordinal
-from footfall.plans.gram import gram
+from footfall.plans.qr import triangular_factor
+from footfall.session import cut_lineage
+
+# Singular values of the unit-length design below this share of the largest are zero.
+RANK_TOLERANCE = 1e-10
+# A residual below this share of the column's length is zero: the column is collinear.
+COLLINEAR_TOLERANCE = 1e-7
+
+
+def pseudo_solve(r: np.ndarray, target: np.ndarray
+                 ) -> tuple[np.ndarray, np.ndarray, int]:
+    """Least-length solution of min ||r b - target||, pinv(rᵀr), and the rank."""
+    length = np.linalg.norm(r, axis=0)
+    scale = np.where(length > 0, length, 1.0)
+    u, sv, vt = np.linalg.svd(r / scale)
+    rank = int((sv > RANK_TOLERANCE * sv[0]).sum()) if len(sv) and sv[0] > 0 else 0
+    v = vt[:rank].T / scale[:, None]
+    beta = v @ ((u[:, :rank].T @ target) / sv[:rank])
+    inverse = (v / sv[:rank] ** 2) @ v.T
+    null = vt[rank:].T / scale[:, None]
+    if null.shape[1]:
+        basis, _ = np.linalg.qr(null)
+        inside = np.eye(len(scale)) - basis @ basis.T
+        beta, inverse = inside @ beta, inside @ inverse @ inside
+    return beta, inverse, rank
 
 
 def vif(df: DataFrame, features: list[str]) -> DataFrame:
-    """(features, vif_factor) — statsmodels' ``variance_inflation_factor``
-    for every column of a design without an added constant.
+    """(features, vif_factor): statsmodels' ``variance_inflation_factor`` for every column
+    of a design without an added constant.
 
-    VIFᵢ = xᵢᵀxᵢ / SSRᵢ, with SSRᵢ the residual sum of squares of xᵢ regressed
-    on the other columns, all read off one Gram matrix.  For a full-rank design
-    this equals (XᵀX)ᵢᵢ · ((XᵀX)⁻¹)ᵢᵢ; an exactly collinear column gets +inf,
-    as R²ᵢ = 1 does in the definition.
+    VIFᵢ = xᵢᵀxᵢ / SSRᵢ, with SSRᵢ the residual sum of squares of xᵢ regressed on the other
+    columns.  A column that the others give exactly has an infinite factor.
     """
-    g = gram(df, features, features[0])
-    G = g.xtx
-    p = len(features)
+    r = triangular_factor(df, features).r
     vals = []
-    for i in range(p):
-        rest = [j for j in range(p) if j != i]
-        gii = float(G[i, i])
-        if rest:
-            gi = G[rest, i]
-            ssr = gii - float(gi @ np.linalg.pinv(G[np.ix_(rest, rest)]) @ gi)
-        else:
-            ssr = gii
-        vals.append(gii / ssr if ssr > 1e-12 * max(gii, 1e-300) else float("inf"))
+    for i in range(len(features)):
+        rest = np.delete(r, i, axis=1)
+        left = r[:, i] - rest @ pseudo_solve(rest, r[:, i])[0] if rest.shape[1] else r[:, i]
+        share = np.linalg.norm(left) / max(np.linalg.norm(r[:, i]), 1e-300)
+        vals.append(float(share ** -2) if share > COLLINEAR_TOLERANCE else float("inf"))
     schema = T.StructType([T.StructField("features", T.StringType()),
                            T.StructField("vif_factor", T.DoubleType())])
     return df.sparkSession.createDataFrame(list(zip(features, vals)), schema)
@@ -101,26 +122,18 @@ def ols(df: DataFrame, features: list[str], label: str = "log_visitors",
         fit_intercept: bool = False, order: str = "store", residual_stats: bool = True):
     """M3: least squares with the inference table of a regression summary.
 
-    Returns ``(coefficient table, statistics dict, coefficients dict)``.
-    The fit is one Gram pass (exact normal equations; a pseudo-inverse for a
-    rank-deficient design, as the original's solver); residual moments are
-    one aggregate; Durbin-Watson takes the lag in row order (``order``)
-    through a global ordinal and a key join — no single-task window.
-    ``residual_stats=False`` skips those two extra passes.
+    Returns ``(coefficient table, statistics dict, coefficients dict)``.  The fit is one
+    pass for the triangular factor of [design, label]; residual moments are one
+    aggregate; Durbin-Watson takes the residuals in row order (``order``) from one
+    range sort.  ``residual_stats=False`` skips the last two.
     """
     data = df.dropna(subset=features + [label])
-    g = gram(data, features, label)
-    n = g.n
-    if fit_intercept:
-        A = g.m[:-1, :-1]                       # [1, x] block
-        b = g.m[:-1, -1]
-        names = ["const"] + features
-    else:
-        A, b, names = g.xtx, g.xty, list(features)
-    inv = np.linalg.pinv(A)
-    beta = inv @ b
-    sse = float(g.yty - 2 * beta @ b + beta @ A @ beta)
-    rank = int(np.linalg.matrix_rank(A))
+    names = (["const"] if fit_intercept else []) + list(features)
+    factor = triangular_factor(data, [*features, label], constant=fit_intercept)
+    p, n = len(names), factor.n
+    x, qty = factor.r[:, :p], factor.r[:, p]
+    beta, inv, rank = pseudo_solve(x, qty)
+    sse = float(np.sum((qty - x @ beta) ** 2))
     dof = n - rank
     sigma2 = sse / dof if dof > 0 else float("nan")
     se = np.sqrt(np.maximum(np.diag(inv), 0.0) * sigma2)
@@ -135,10 +148,14 @@ def ols(df: DataFrame, features: list[str], label: str = "log_visitors",
     fitted = F.lit(coefs.get("const", 0.0))
     for c in features:
         fitted = fitted + F.lit(coefs[c]) * F.col(c).cast("double")
-    resid = data.withColumn("e", F.col(label) - fitted)
+    resid = data.select(*ORDERS[order], (F.col(label) - fitted).alias("e"))
+    if residual_stats:
+        resid = cut_lineage(resid)
     a = (resid.agg(F.skewness("e").alias("skew"), F.kurtosis("e").alias("kurt")).first()
          if residual_stats else {"skew": None, "kurt": None})
-    tss = g.yty if not fit_intercept else g.yty - g.sy ** 2 / n
+    tss = float(qty @ qty)
+    if fit_intercept:       # the constant comes first: its row holds the mean's part
+        tss -= float(qty[0] ** 2)
     r2 = 1.0 - sse / tss if tss else float("nan")
     loglik = -n / 2.0 * (math.log(2 * math.pi) + math.log(sse / n) + 1.0)
     kurt = float(a["kurt"]) + 3.0 if a["kurt"] is not None else float("nan")
@@ -157,10 +174,34 @@ def ols(df: DataFrame, features: list[str], label: str = "log_visitors",
 
 
 def durbin_watson(resid: DataFrame, order: str = "store") -> float:
+    """Σ(eₜ - eₜ₋₁)² / Σeₜ² in row order: neighbours inside range partitions, then the borders
+    (one first and last residual per partition)."""
     cols = ORDERS[order]
-    numbered, _ = global_ordinal(resid.select(*cols, "e"), cols)
-    prev = numbered.select((F.col("ordinal") + 1).alias("ordinal"), F.col("e").alias("e_prev"))
-    a = (numbered.join(prev, "ordinal", "left")
-         .agg(F.sum((F.col("e") - F.col("e_prev")) ** 2).alias("num"),
-              F.sum(F.col("e") ** 2).alias("den")).first())
-    return float(a["num"] or 0.0) / float(a["den"]) if a["den"] else float("nan")
+
+    def run(batches):
+        first = last = None
+        num = den = 0.0
+        for batch in batches:
+            e = batch["e"].to_numpy(float)
+            if not len(e):
+                continue
+            if last is None:
+                first = e[0]
+                num += float(np.sum(np.diff(e) ** 2))
+            else:
+                num += float(np.sum(np.diff(np.r_[last, e]) ** 2))
+            den += float(np.sum(e ** 2))
+            last = e[-1]
+        if last is not None:
+            task = TaskContext.get().partitionId()
+            yield pd.DataFrame({"task": [task], "num": [num], "den": [den], "first": [first],
+                                "last": [last]})
+
+    parts = sorted(resid.select(*cols, "e").repartitionByRange(*cols)
+                        .sortWithinPartitions(*cols).select("e")
+                        .mapInPandas(run, "task int, num double, den double, first double, "
+                                          "last double").collect())
+    num = sum(p["num"] for p in parts) + sum(
+        (b["first"] - a["last"]) ** 2 for a, b in zip(parts, parts[1:]))
+    den = sum(p["den"] for p in parts)
+    return num / den if den else float("nan")

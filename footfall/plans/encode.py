@@ -1,45 +1,55 @@
 """Mark columns categorical.
 
-The original converted a list of columns to factors one by one, printing a
-message for a missing column and returning an error text for empty inputs.
 In MLlib a categorical feature is an indexed column with nominal attribute
-metadata, which tree learners read through ``VectorAssembler``:
-``StringIndexer`` provides exactly that (its fit collects each column's
-distinct values — bounded by the category count of these calendar/code
-columns).
+metadata, which tree learners read through ``VectorAssembler``; ``StringIndexer``
+provides it.  Its fit gathers each column's distinct values, which are bounded by
+the number of categories of these calendar and code columns.
 """
 
 from __future__ import annotations
 
-import logging
-
-from pyspark.ml.feature import StringIndexer
+from pyspark.ml.feature import StringIndexer, StringIndexerModel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# The columns that the AutoML script turns into factors (HT 38-46).
+FACTORS = ["dow", "wom", "year", "month", "day", "day_of_week", "holiday_flg",
+           "air_genre_name", "air_area_name", *(f"air_genre_name{i}" for i in range(10)),
+           *(f"air_area_name{i}" for i in range(10)), "cluster", "large_party"]
+
 
-log = logging.getLogger(__name__)
+def _as_text(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Numbers as text that sorts as the numbers do."""
+    kinds = dict(df.dtypes)
+    return df.withColumns({c: F.col(c) if kinds[c] == "string" else F.when(
+        F.col(c).isNotNull(), F.format_string("%020.3f", F.col(c).cast("double")))
+        for c in columns})
 
 
 def as_factors(df: DataFrame, columns: list[str], handle_invalid: str = "keep"
-               ) -> tuple[DataFrame, object]:
-    """Replace ``columns`` by nominal indexed versions; returns (frame, model).
+               ) -> tuple[DataFrame, StringIndexerModel]:
+    """``df`` with ``columns`` as nominal indices (in value order), and the fitted codes.
 
-    Raises ``ValueError`` when the column list or the frame is empty; skips
-    (and logs) names that are not in the frame.
+    No columns, or names that ``df`` lacks, raise ``ValueError``.
     """
     if not columns:
-        raise ValueError("Error: You don't have a list of binary columns.")
-    if not df.columns:
-        raise ValueError("Error: You don't have any columns in your data frame.")
-    present = [c for c in columns if c in df.columns]
-    for c in columns:
-        if c not in df.columns:
-            log.warning("Error: %s not found in the data frame.", c)
-    if not present:
-        return df, None
-    idx = StringIndexer(inputCols=[f"{c}" for c in present],
-                        outputCols=[f"__f_{c}" for c in present],
-                        stringOrderType="alphabetAsc", handleInvalid=handle_invalid)
-    model = idx.fit(df.select(*[df[c].cast("string").alias(c) for c in present]))
-    cast = df.withColumns({c: df[c].cast("string") for c in present})
-    out = model.transform(cast).drop(*present)
-    return out.withColumnsRenamed({f"__f_{c}": c for c in present}), model
+        raise ValueError("as_factors needs at least one column")
+    unknown = [c for c in columns if c not in df.columns]
+    if unknown:
+        raise ValueError(f"not in the frame: {', '.join(unknown)}")
+    indexer = StringIndexer(inputCols=list(columns), outputCols=[f"__f_{c}" for c in columns],
+                            stringOrderType="alphabetAsc", handleInvalid=handle_invalid)
+    codes = indexer.fit(_as_text(df.select(*columns), columns))
+    return apply_factors(df, codes), codes
+
+
+def apply_factors(df: DataFrame, codes: StringIndexerModel) -> DataFrame:
+    """Replace the columns of ``codes`` by their indices; unseen values get one of their own."""
+    columns = codes.getInputCols()
+    out = codes.transform(_as_text(df, columns)).drop(*columns)
+    return out.withColumnsRenamed({f"__f_{c}": c for c in columns})
+
+
+def largest_factor(codes: StringIndexerModel) -> int:
+    """Categories of the largest factor, with the one for unseen values."""
+    return max(map(len, codes.labelsArray)) + 1

@@ -6,12 +6,15 @@ codes, the location clusters, the large-party classifier).
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from collections.abc import Callable
+from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from footfall.operators import assemble, reservations, series, store_dim
+from footfall.plans.cluster import add_location_cluster
 from footfall.session import cut_lineage, materialize_bucketed
 from footfall.sources.tables import Tables
 
@@ -27,9 +30,11 @@ class FeatureSet:
 
 
 def import_data(t: Tables, test_value: float | None = 0.0, large_party_threshold: float = 120,
-                n_tokens: int = 10, cluster: bool = False, kmeans_restarts: int = 25,
-                kmeans_max_iter: int = 1000, seed: int = 0) -> FeatureSet:
-    """C1 (RU 22-158).  ``cluster=True`` adds the KMeans location cluster (M1)."""
+                n_tokens: int = 10, kmeans_restarts: int = 25, kmeans_max_iter: int = 1000,
+                seed: int = 0, cluster_rule: Callable[[DataFrame], DataFrame] | None = None
+                ) -> FeatureSet:
+    """C1 (RU 22-158).  The stores get their location cluster (M1): KMeans, or
+    ``cluster_rule``, which takes the stores and adds an int column ``cluster``."""
     # The panel, calendar and reservation aggregates feed several consumers
     # (statistics, code fits, train and test assembly): materialise each once
     # instead of re-aggregating the raw tables per consumer.
@@ -47,12 +52,9 @@ def import_data(t: Tables, test_value: float | None = 0.0, large_party_threshold
     train_rows, test_rows = series.split(panel)
     stores = store_dim.build_stores(train_rows, test_rows, t.store_info, n_tokens,
                                     partitions=parts)
-    if cluster:
-        from footfall.plans.cluster import add_location_cluster
-        stores = materialize_bucketed(
-            add_location_cluster(stores, k=8, restarts=kmeans_restarts,
-                                 max_iter=kmeans_max_iter, seed=seed),
-            "air_store_id", "stores_clustered", parts)
+    clustered = cluster_rule(stores) if cluster_rule else add_location_cluster(
+        stores, k=8, restarts=kmeans_restarts, max_iter=kmeans_max_iter, seed=seed)
+    stores = materialize_bucketed(clustered, "air_store_id", "stores_clustered", parts)
     return FeatureSet(
         train_rows=train_rows, test_rows=test_rows, stores=stores,
         hol=assemble.holiday_table(cut_lineage(t.date_info)),
@@ -64,6 +66,7 @@ def import_data(t: Tables, test_value: float | None = 0.0, large_party_threshold
     )
 
 
+# The classifier's input columns (RU 226-234).
 LARGE_PARTY_FEATURES = [
     "dow", "wom", "year", "month", "day", "day_of_week", "holiday_flg",
     "air_genre_name", "air_area_name", "air_store_id2", "cluster",
@@ -84,11 +87,10 @@ def create_train_test(fs: FeatureSet, clean: bool = False, predict_large_party:
         from footfall.plans.models import large_party_classifier
         train = train.withColumn("large_party", F.when(F.col("visitors") >= large_party_threshold,
                                                        1.0).otherwise(0.0))
-        feats = [c for c in LARGE_PARTY_FEATURES if c in train.columns]
-        model = large_party_classifier(train, feats)
+        # each step of the fit reads its rows again: keep them while it runs
+        rows = train.select(*LARGE_PARTY_FEATURES, "large_party").persist(
+            StorageLevel.MEMORY_AND_DISK)
+        model = large_party_classifier(rows, LARGE_PARTY_FEATURES)
+        rows.unpersist()
         test = model.flag(test)
     return train, test
-
-
-def with_stores(fs: FeatureSet, stores: DataFrame) -> FeatureSet:
-    return replace(fs, stores=stores)

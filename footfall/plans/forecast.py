@@ -31,8 +31,10 @@ from pyspark.sql import functions as F
 
 from footfall.functions import numeric as num
 from footfall.operators import series
-from footfall.session import materialize_bucketed
+from footfall.session import cut_lineage, materialize_bucketed
 
+# Bytes of one bucket of the forecast's tables (one row per store and step).
+BUCKET_BYTES = 64 << 20
 STORE, DAY, TARGET = "air_store_id", "visit_date", "log_visitors"
 
 
@@ -76,18 +78,21 @@ def recursive_forecast(test_rows: DataFrame, model, n_lags: int = 7, clip: bool
         return _fixed_point(train_rows, test_rows, model, n_lags, clip, fill_value,
                             prediction, num_partitions)
     spark = test_rows.sparkSession
-    parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     lag_cols = [_lag_name(k) for k in range(1, n_lags + 1)]
     diff_cols = [c for c in test_rows.columns if c.startswith(series.DIFF_PREFIX)]
     base = test_rows.drop(prediction, *diff_cols) if prediction in test_rows.columns \
         else test_rows.drop(*diff_cols)
     # Step rows and the per-step state are tables bucketed by store with the
     # same bucket count, so each step's join runs without a shuffle, and each
-    # step is a reliable lineage cut.
-    steps = materialize_bucketed(
-        base.withColumn("__step", F.row_number().over(series.store_window())),
-        STORE, "forecast_steps", parts)
-    n_steps = steps.agg(F.max("__step")).first()[0] or 0
+    # step is a reliable lineage cut.  The step rows lie in one directory per step, so
+    # that a step reads its own rows only.
+    numbered = cut_lineage(
+        base.withColumn("__step", F.row_number().over(series.store_window())))
+    n_rows, n_steps = numbered.agg(F.count(F.lit(1)), F.max("__step")).first()
+    n_steps = n_steps or 0
+    parts = num_partitions or _buckets(spark, n_rows // max(n_steps, 1), len(base.columns))
+    steps = materialize_bucketed(numbered, STORE, "forecast_steps", parts,
+                                 partition_by="__step")
 
     # state after step 0: the true history of step 1, newest first
     state = materialize_bucketed(steps.where(F.col("__step") == 1)
@@ -114,6 +119,13 @@ def recursive_forecast(test_rows: DataFrame, model, n_lags: int = 7, clip: bool
     return _finish(out, lag_cols, diff_cols, prediction)
 
 
+def _buckets(spark, rows: int, columns: int) -> int:
+    """Buckets of about ``BUCKET_BYTES``, at most one per shuffle partition."""
+    size = rows * columns * 16
+    return max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                      -(-size // BUCKET_BYTES)))
+
+
 def _finish(out: DataFrame, lag_cols, diff_cols, prediction) -> DataFrame:
     res = out.withColumns({TARGET: F.col("__p"), "visitors": F.exp("__p")})
     res = res.withColumns({d: F.col(TARGET) - F.col(_lag_name(int(d[len(series.DIFF_PREFIX):])))
@@ -126,7 +138,6 @@ def _finish(out: DataFrame, lag_cols, diff_cols, prediction) -> DataFrame:
 def _fixed_point(train_rows, test_rows, model, n_lags, clip, fill_value, prediction,
                  num_partitions) -> DataFrame:
     spark = test_rows.sparkSession
-    parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     lag_cols = [_lag_name(k) for k in range(1, n_lags + 1)]
     diff_cols = [c for c in test_rows.columns if c.startswith(series.DIFF_PREFIX)]
     w_desc = Window.partitionBy(STORE).orderBy(F.col(DAY).desc())
@@ -136,6 +147,8 @@ def _fixed_point(train_rows, test_rows, model, n_lags, clip, fill_value, predict
     frontier = (tail.withColumn("__test", F.lit(False))
                 .unionByName(test_rows.withColumn("__test", F.lit(True)), allowMissingColumns=True)
                 .select(*[c for c in test_rows.columns if c not in (prediction,)], "__test"))
+    frontier = cut_lineage(frontier)
+    parts = num_partitions or _buckets(spark, frontier.count(), len(frontier.columns))
     frontier = materialize_bucketed(frontier, STORE, "forecast_frontier", parts)
     for _ in range(n_pass):
         lagged = series.add_lags(frontier.drop(*lag_cols, *diff_cols), lags=range(1, n_lags + 1),

@@ -15,12 +15,17 @@ from the test block's statistics the same way.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import types as T
+from pyspark.sql import functions as F
 
-from footfall.operators.folds import assign_folds
+from footfall.operators.folds import ORDERS
 from footfall.plans.gram import Gram, first_row_shift, gram_by
+from footfall.plans.ordered_cv import with_folds
+from footfall.session import ship_package
 
 
 def reference_alphas() -> list[float]:
@@ -66,13 +71,16 @@ def coordinate_descent(C: np.ndarray, c: np.ndarray, n: float, alpha: float,
     def done(big):
         return big <= tol * scale * max(1.0, float(np.max(np.abs(w))) if p else 1.0)
 
-    for _ in range(max_sweeps):
-        if done(sweep(live)):                # full sweep: KKT over every coordinate
-            break
+    sweeps = 0
+    while not done(sweep(live)):             # full sweep: KKT over every coordinate
         active = [j for j in live if w[j] != 0.0]
-        for _ in range(max_sweeps):          # then settle the active set
-            if done(sweep(active)):
-                break
+        while not done(sweep(active)):       # then settle the active set
+            sweeps += 1
+            if sweeps > max_sweeps:
+                raise RuntimeError(f"no convergence in {max_sweeps} sweeps at alpha {alpha}")
+        sweeps += 1
+        if sweeps > max_sweeps:
+            raise RuntimeError(f"no convergence in {max_sweeps} sweeps at alpha {alpha}")
     return w
 
 
@@ -90,41 +98,81 @@ def sse_from_gram(g: Gram, w: np.ndarray, b: float) -> float:
 
 
 def lasso_path(df: DataFrame, features: list[str], label: str = "log_visitors",
-               alphas: list[float] | None = None, order: str = "time", n_splits: int = 5
-               ) -> DataFrame:
-    """M7: (lambda, rmsle) — mean test RMSE over the ordered folds per alpha."""
+               alphas: list[float] | None = None, order: str = "time", n_splits: int = 5,
+               folds: DataFrame | None = None) -> DataFrame:
+    """M7: (lambda, rmsle) — mean test RMSE over the ordered folds per alpha.
+
+    ``folds`` (from ``with_folds``) is used as it is and stays persisted.
+    """
+    own = folds is None
     alphas = alphas or reference_alphas()
-    folds, _ = assign_folds(df.select(*features, label, "air_store_id", "visit_date"),
-                            order, n_splits)
-    shift = first_row_shift(folds, features, label)
-    blocks = gram_by(folds, features, label, key="fold", shift=shift)
+    if own:
+        keys = [c for c in ORDERS[order] if c not in features]
+        folds = with_folds(df.select(*features, label, *keys), order, n_splits)
+    try:
+        shift = first_row_shift(folds, features, label)
+        blocks = gram_by(folds, features, label, key="fold", shift=shift)
+    finally:
+        if own:
+            folds.unpersist()
     zero = Gram(list(features), np.zeros((len(features) + 2,) * 2))
-    per_alpha = {a: [] for a in alphas}
+    splits = []
     for i in range(1, n_splits + 1):
         train = zero
         for k in range(i):
             train = train + blocks.get(str(k), zero)
         test = blocks.get(str(i), zero)
-        if train.n == 0 or test.n == 0:
-            continue
-        w = None
-        for a in sorted(alphas, reverse=True):     # warm start down the path
-            w, b = fit_from_gram(train, a, w)
-            per_alpha[a].append(np.sqrt(max(sse_from_gram(test, w, b), 0.0) / test.n))
-    rows = [(float(a), float(np.mean(v)) if v else None) for a, v in per_alpha.items()]
-    schema = T.StructType([T.StructField("lambda", T.DoubleType()),
-                           T.StructField("rmsle", T.DoubleType())])
-    return df.sparkSession.createDataFrame(rows, schema)
+        if train.n and test.n:
+            splits.append((i, train.m.tobytes(), test.m.tobytes()))
+    size, names = len(features) + 2, list(features)
+    grid = sorted(map(float, alphas), reverse=True)
+
+    def solve(batches):
+        """The whole path of each split, warm-started from the largest alpha down."""
+        for batch in batches:
+            for train, test in zip(batch["train"], batch["test"]):
+                train, test = (Gram(names, np.frombuffer(m).reshape(size, size))
+                               for m in (train, test))
+                w, rows = None, []
+                for a in grid:
+                    w, b = fit_from_gram(train, a, w)
+                    sse = max(sse_from_gram(test, w, b), 0.0)
+                    rows.append((a, float(np.sqrt(sse / test.n))))
+                yield pd.DataFrame(rows, columns=["lambda", "rmse"])
+
+    spark = df.sparkSession
+    ship_package(spark)
+    # one task per split, of p x p numbers each
+    statistics = spark.createDataFrame(splits, "split int, train binary, test binary")
+    paths = statistics.repartitionByRange(max(1, len(splits)), "split").mapInPandas(
+        solve, "lambda double, rmse double")
+    grid_rows = spark.createDataFrame([(a,) for a in grid], "lambda double")
+    return grid_rows.join(F.broadcast(paths.groupBy("lambda").agg(   # one row per alpha
+        F.avg("rmse").alias("rmsle"))), "lambda", "left")
+
+
+@dataclass
+class LinearScorer:
+    """A fitted line: ``transform`` adds ``prediction``."""
+    features: list[str]
+    coefficients: np.ndarray
+    intercept: float
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        terms = F.lit(self.intercept)
+        for c, w in zip(self.features, self.coefficients):
+            if w:
+                terms = terms + F.lit(float(w)) * F.col(c).cast("double")
+        return df.withColumn("prediction", terms)
 
 
 def lasso_fit(df: DataFrame, features: list[str], label: str = "log_visitors",
-              alpha: float = 0.001):
-    """M6 with MLlib: same objective, distributed solver."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import LinearRegression
-    return Pipeline(stages=[
-        VectorAssembler(inputCols=features, outputCol="features"),
-        LinearRegression(featuresCol="features", labelCol=label, elasticNetParam=1.0,
-                         regParam=alpha, standardization=False, maxIter=1000, tol=1e-9),
-    ]).fit(df)
+              alpha: float = 0.001) -> LinearScorer:
+    """M6: the objective above, solved exactly from one pass of sufficient statistics."""
+    shift = first_row_shift(df, features, label)
+    g = gram_by(df, features, label, shift=shift).get(None)
+    if g is None:
+        raise ValueError("no complete row to fit on")
+    w, b = fit_from_gram(g, alpha)
+    # back from the shifted coordinates
+    return LinearScorer(list(features), w, float(b + shift[-1] - w @ np.array(shift[:-1])))

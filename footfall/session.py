@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,6 +48,30 @@ def get_session(master: str | None = None, app_name: str = "footfall",
     return spark
 
 
+_shipped: dict[str, str] = {}
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package, as ``--py-files`` would, once per application.
+
+    The archive is made on the driver and served by Spark; Python tasks import it.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="footfall-")),
+                        "footfall-package.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, files in os.walk(package):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(package)))
+    spark.sparkContext.addPyFile(path)
+    _shipped[app] = path
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Make ``DataFrame.checkpoint`` usable and return the directory.
 
@@ -61,7 +87,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; point it at shared storage "
                 "(HDFS/S3/ABFS) before running iterative jobs")
@@ -83,14 +109,19 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def materialize_bucketed(df: DataFrame, key: str, name: str, buckets: int | None = None
-                         ) -> DataFrame:
-    """Write ``df`` as a table bucketed by ``key`` under the checkpoint dir.
+# Tables written below, dropped with their files by ``drop_intermediates``.
+_intermediate: dict[str, list[tuple[str, str]]] = {}
+
+
+def materialize_bucketed(df: DataFrame, key: str, name: str, buckets: int | None = None,
+                         partition_by: str | None = None) -> DataFrame:
+    """Write ``df`` as a table bucketed (and sorted) by ``key`` under the checkpoint dir.
 
     A reliable lineage cut that, unlike ``checkpoint``, keeps a known layout:
     reads report hash partitioning on ``key``, so joins and aggregates keyed
     on ``key`` between tables with the same bucket count need no shuffle.
     Rows are hash-partitioned by ``key`` first, so each task writes one file.
+    The table belongs to the session's flow: ``drop_intermediates`` removes it.
     """
     import uuid
 
@@ -99,6 +130,24 @@ def materialize_bucketed(df: DataFrame, key: str, name: str, buckets: int | None
     root = spark.sparkContext.getCheckpointDir()
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     table = f"footfall_{name}_{uuid.uuid4().hex[:12]}"
-    (df.repartition(n, key).write.bucketBy(n, key).mode("overwrite")
-       .option("path", f"{root.rstrip('/')}/tables/{table}").saveAsTable(table))
+    path = f"{root.rstrip('/')}/tables/{table}"
+    writer = df.repartition(n, key).write.bucketBy(n, key).sortBy(key)
+    if partition_by:
+        writer = writer.partitionBy(partition_by)
+    writer.mode("overwrite").option("path", path).saveAsTable(table)
+    _intermediate.setdefault(spark.sparkContext.applicationId, []).append((table, path))
     return spark.table(table)
+
+
+def drop_intermediates(spark: SparkSession) -> int:
+    """Drop every table of ``materialize_bucketed`` in this application, files included.
+
+    Call it when the frames built on them are no longer needed.  Returns their number.
+    """
+    sc = spark.sparkContext
+    gone = _intermediate.pop(sc.applicationId, [])
+    for table, path in gone:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        where = sc._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(sc._jsc.hadoopConfiguration()).delete(where, True)
+    return len(gone)

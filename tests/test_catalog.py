@@ -12,7 +12,7 @@ from footfall import catalog
 
 HEAVY = {"forest_cv", "gbt_cv", "model_leaderboard", "kmeans_cluster", "lasso_path",
          "logit_large_party", "ols_summary", "vif_table", "linear_cv", "lasso_score",
-         "forecast_leader"}
+         "forecast_leader", "training_frame", "scoring_frame"}
 
 
 def test_entry_smoke(spark):

@@ -4,6 +4,7 @@ import contextlib
 import io
 
 from conftest import SF001
+from footfall import catalog
 from footfall.operators import series
 from footfall.plans import features
 from footfall.sources import standin
@@ -27,7 +28,7 @@ def test_panel_scan_prunes_and_pushes_cut(spark):
 
 def test_wide_assembly_is_shuffle_free_without_broadcast(spark):
     t = standin.load(spark, SF001)
-    fs = features.import_data(t)
+    fs = features.import_data(t, cluster_rule=catalog.cluster_rule)
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
@@ -57,3 +58,27 @@ def test_forecast_step_join_is_shuffle_free(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert "SortMergeJoin" in plan and ") Exchange" not in plan
+
+
+def test_fold_frame_needs_no_shuffle_of_the_wide_rows(spark):
+    from footfall.operators.folds import with_fold
+    t = standin.load(spark, SF001)
+    rows = series.visit_features(t.visits).cache()
+    plan = plan_of(with_fold(rows))
+    above = plan.split("InMemoryTableScan")[0]
+    assert "Exchange" not in above
+    rows.unpersist()
+
+
+def test_size_check_moves_no_rows(spark):
+    """The count before a broadcast shuffles one number per task."""
+    df = spark.range(1000)
+    plan = plan_of(df.groupBy().count())
+    assert "Limit" not in plan and "partial_count" in plan
+
+
+def test_queries_leave_no_tables(spark):
+    from footfall.session import drop_intermediates
+    catalog.QUERIES["recursive_forecast_ar"](spark, SF001).count()
+    assert drop_intermediates(spark) > 0
+    assert not [x for x in spark.catalog.listTables() if x.name.startswith("footfall_")]

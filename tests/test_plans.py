@@ -47,7 +47,9 @@ def test_lasso_gram_matches_mllib(design, alpha):
     X, y = _np(design)
     g = gram(design, FEATS, "log_visitors")
     w, b = lasso.fit_from_gram(g, alpha)
-    m = lasso.lasso_fit(design, FEATS, alpha=alpha).stages[-1]
+    m = models.regression_pipeline(models.lasso(alpha), FEATS).fit(design).stages[-1]
+    one = lasso.lasso_fit(design, FEATS, alpha=alpha)
+    assert np.allclose(one.coefficients, w) and abs(one.intercept - b) < 1e-8
     ours = _cd_objective(X, y, w, b, alpha)
     theirs = _cd_objective(X, y, m.coefficients.toArray(), m.intercept, alpha)
     assert ours <= theirs + 1e-7  # exact optimum is never worse than MLlib's
@@ -180,15 +182,20 @@ def test_parallel_cv_equals_serial(design):
 def test_create_train_test_with_classifier_and_clean(spark):
     from footfall.plans import features
     t = standin.load(spark, SF001)
-    fs = features.import_data(t)
+    fs = features.import_data(t, kmeans_restarts=2, kmeans_max_iter=20)
     train, test = features.create_train_test(fs, clean=True, predict_large_party=True,
                                              large_party_threshold=75)
+    assert len(features.LARGE_PARTY_FEATURES) == 27
+    assert set(features.LARGE_PARTY_FEATURES) <= set(train.columns)
+    with pytest.raises(Exception, match="cluster"):
+        features.create_train_test(features.FeatureSet(**{**vars(fs), "stores":
+                                   fs.stores.drop("cluster")}), clean=True)
     assert test.count() == t.submission.count()
     assert {r.large_party for r in test.select("large_party").distinct().collect()} <= {0.0, 1.0}
     full, _ = features.create_train_test(fs)
     assert 0 < train.count() <= full.count()
     # every kept train row's categories occur in test (conjunction clean)
-    for v in ("air_genre_name", "air_area_name", "air_store_id2"):
+    for v in ("air_genre_name", "air_area_name", "air_store_id2", "cluster"):
         assert train.join(test.select(v).distinct(), v, "left_anti").count() == 0
 
 
@@ -197,3 +204,59 @@ def test_vif_collinear_is_inf(design):
     v = {r.features: r.vif_factor for r in diagnostics.vif(df, ["visitors_lag1", "twice", "dow"]).collect()}
     assert v["visitors_lag1"] == float("inf") and v["twice"] == float("inf")
     assert 1.0 <= v["dow"] < float("inf")
+
+
+@pytest.fixture(scope="module")
+def notebook_rows(spark):
+    from footfall.catalog import _wide
+    train, _ = _wide(spark, SF001)
+    return train.select(*set(models.OLS_FEATURES_1), "log_visitors", "air_store_id",
+                        "visit_date").cache()
+
+
+def test_ols_on_the_notebook_columns_equals_the_row_level_pseudo_inverse(notebook_rows):
+    feats = models.OLS_FEATURES_1
+    pdf = notebook_rows.dropna(subset=feats + ["log_visitors"]).toPandas()
+    X, y = pdf[feats].to_numpy(float), pdf["log_visitors"].to_numpy(float)
+    beta = np.linalg.pinv(X) @ y
+    table, stats, _ = diagnostics.ols(notebook_rows, feats)
+    coef = {r.feature: r.coef for r in table.collect()}
+    assert stats["rank"] == np.linalg.matrix_rank(X) < len(feats)
+    assert np.allclose([coef[c] for c in feats], beta, atol=1e-6)
+    sse = ((y - X @ beta) ** 2).sum()
+    assert abs(stats["r2"] - (1 - sse / (y ** 2).sum())) < 1e-9
+    order = pdf.sort_values(["air_store_id", "visit_date"])
+    e = order["log_visitors"].to_numpy(float) - order[feats].to_numpy(float) @ beta
+    assert abs(stats["durbin_watson"] - (np.diff(e) ** 2).sum() / (e ** 2).sum()) < 1e-6
+
+
+def test_vif_of_exactly_collinear_notebook_columns_is_infinite(notebook_rows):
+    v = {r.features: r.vif_factor for r in
+         diagnostics.vif(notebook_rows, models.OLS_FEATURES_1).collect()}
+    endless = {"day", "month", "year", "date_int", "air_area_name", "air_genre_name",
+               "air_genre_name0", "air_area_name0"}
+    assert {c for c, x in v.items() if x == float("inf")} >= endless
+    assert all(1.0 <= v[c] < 1e6 for c in ("dow", "holiday_flg", "wom", "rv1_x"))
+
+
+def test_boundary_folds_equal_numbered_folds(design):
+    from footfall.operators.folds import with_fold
+    rows = design.select("air_store_id", "visit_date")
+    for order in ("time", "store"):
+        a = {(r[0], r[1]): r["fold"] for r in assign_folds(rows, order)[0].select(
+            "air_store_id", "visit_date", "fold").collect()}
+        b = {(r[0], r[1]): r["fold"] for r in with_fold(rows, order).collect()}
+        assert a == b
+
+
+def test_search_fits_one_candidate_under_any_budget(design):
+    cands = [("linear", models.linear_regression(True), [{}]),
+             ("lasso", models.lasso(0.01), [{}])]
+    board, leader = search.model_search(design, FEATS, candidates=cands, time_budget_s=0)
+    assert [r.model for r in board.collect()] == ["linear"] and leader is not None
+
+
+def test_unsettled_lasso_raises():
+    with pytest.raises(RuntimeError):
+        lasso.coordinate_descent(np.array([[1.0, 0.999], [0.999, 1.0]]), np.array([1.0, -1.0]),
+                                 1.0, 1e-6, max_sweeps=1)

@@ -43,7 +43,9 @@ def test_t_pvalues():
 
 def test_as_factors(spark):
     df = spark.createDataFrame([(3, 1.0), (1, 2.0), (3, 3.0)], "dow int, v double")
-    out, model = as_factors(df, ["dow", "missing_col"])
+    with pytest.raises(ValueError):
+        as_factors(df, ["dow", "missing_col"])
+    out, model = as_factors(df, ["dow"])
     rows = sorted((r.dow, r.v) for r in out.collect())
     assert rows == [(0.0, 2.0), (1.0, 1.0), (1.0, 3.0)]
     assert out.schema["dow"].metadata["ml_attr"]["type"] == "nominal"
