@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
-import zipfile
 from collections.abc import Sequence
 
 import numpy as np
@@ -23,30 +20,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-_shipped: dict[str, str] = {}
-
-
-def ship(spark: SparkSession) -> None:
-    """Give the executors this package, as ``--py-files`` would, once per application.
-
-    The archive is made on the driver and served by Spark.
-    """
-    app = spark.sparkContext.applicationId
-    if app in _shipped:
-        return
-    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    path = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="footfall-")),
-                        "footfall-package.zip")
-    with zipfile.ZipFile(path, "w") as z:
-        for folder, _, files in os.walk(package):
-            for f in files:
-                if f.endswith(".py"):
-                    full = os.path.join(folder, f)
-                    z.write(full, os.path.relpath(full, os.path.dirname(package)))
-    spark.sparkContext.addPyFile(path)
-    _shipped[app] = path
-
-
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared checkpoint folder and read it back.
 

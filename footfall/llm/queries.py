@@ -8,9 +8,11 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from footfall.session import ship_package
+
 from . import (decontaminate, html, licenses, packing, quality, secrets, sharding, simhash,
                substring, suffix)
-from .common import ship, table
+from .common import table
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,7 +91,7 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]
     """``query`` with this package sent to the executors first."""
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        ship(spark)
+        ship_package(spark)
         return query(spark, sf_dir)
     return run
 

@@ -1,14 +1,14 @@
 import pytest
 from pyspark.sql import SparkSession
 
-from footfall.llm.common import ship
+from footfall.session import ship_package
 
 SCHEMA = "doc_id long, text string"
 
 
 @pytest.fixture(scope="session")
 def shipped(spark) -> SparkSession:
-    ship(spark)
+    ship_package(spark)
     return spark
 
 
