@@ -27,7 +27,7 @@ CALENDAR_MAX_ROWS = 100_000
 
 
 def holiday_table(date_info: DataFrame) -> DataFrame:
-    """RU 38, 154-156: calendar keyed by ``visit_date``, day name encoded."""
+    """Calendar keyed by ``visit_date``, day name encoded."""
     hol = date_info.select(cal.to_day("calendar_date").alias(DAY), "day_of_week",
                            F.col("holiday_flg").cast("int").alias("holiday_flg"))
     return fit_label_codes(hol, ["day_of_week"]).apply(hol)

@@ -23,9 +23,9 @@ LAG_PREFIX = "visitors_lag"
 DIFF_PREFIX = "visitors_diff"
 
 
-def store_window(store: str = STORE, order: str = DAY):
-    """The one window spec of the workload."""
-    return Window.partitionBy(store).orderBy(order)
+def store_window(store: str = STORE, order: str = DAY, tie: str | None = None):
+    """The one window spec of the workload; ``tie`` orders rows of one store and day (trap T18)."""
+    return Window.partitionBy(store).orderBy(order, *([tie] if tie else []))
 
 
 def visit_features(visits: DataFrame, large_party_threshold: float = 120) -> DataFrame:
@@ -60,7 +60,7 @@ def lag_columns(value: str = TARGET, lags=range(1, 8), diffs: bool = True,
 
     All expressions share a single Window node and a single sort.
     """
-    w = store_window(store, order)
+    w = store_window(store, order, tie=value)
     out = {}
     for k in lags:
         lag = F.lag(value, k).over(w)
@@ -92,7 +92,7 @@ def split(combined: DataFrame) -> tuple[DataFrame, DataFrame]:
 def build_panel(visits: DataFrame, submission: DataFrame, test_value: float | None = 0.0,
                 large_party_threshold: float = 120, lags=range(1, 8),
                 diffs: bool = True, partitions: int | None = None) -> DataFrame:
-    """Combined panel with lags/diffs and the ``subset`` tag (RU 61-102).
+    """Combined panel with lags/diffs and the ``subset`` tag.
 
     ``partitions`` pins the store partitioning (``repartition(n, store)``)
     that the window needs anyway, so later store-keyed joins and aggregates

@@ -82,7 +82,7 @@ def encode_text(stores: DataFrame, n_tokens: int = 10) -> DataFrame:
 def build_stores(train_rows: DataFrame, test_rows: DataFrame, store_info: DataFrame,
                  n_tokens: int = 10, encode: bool = True, partitions: int | None = None
                  ) -> DataFrame:
-    """RU 111-147: grid + statistics + store info + tokens (+ codes)."""
+    """Grid + statistics + store info + tokens (+ codes)."""
     stores = attach_store_info(attach_stats(store_dow_grid(test_rows),
                                             store_dow_stats(train_rows)), store_info)
     stores = genre_area_tokens(stores, n_tokens)

@@ -12,7 +12,7 @@ from pyspark.ml.feature import StringIndexer, StringIndexerModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# The columns that the AutoML script turns into factors (HT 38-46).
+# The columns that the AutoML script turns into factors.
 FACTORS = ["dow", "wom", "year", "month", "day", "day_of_week", "holiday_flg",
            "air_genre_name", "air_area_name", *(f"air_genre_name{i}" for i in range(10)),
            *(f"air_area_name{i}" for i in range(10)), "cluster", "large_party"]

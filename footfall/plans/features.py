@@ -33,7 +33,7 @@ def import_data(t: Tables, test_value: float | None = 0.0, large_party_threshold
                 n_tokens: int = 10, kmeans_restarts: int = 25, kmeans_max_iter: int = 1000,
                 seed: int = 0, cluster_rule: Callable[[DataFrame], DataFrame] | None = None
                 ) -> FeatureSet:
-    """C1 (RU 22-158).  The stores get their location cluster (M1): KMeans, or
+    """C1.  The stores get their location cluster (M1): KMeans, or
     ``cluster_rule``, which takes the stores and adds an int column ``cluster``."""
     # The panel, calendar and reservation aggregates feed several consumers
     # (statistics, code fits, train and test assembly): materialise each once
@@ -66,7 +66,7 @@ def import_data(t: Tables, test_value: float | None = 0.0, large_party_threshold
     )
 
 
-# The classifier's input columns (RU 226-234).
+# The classifier's input columns.
 LARGE_PARTY_FEATURES = [
     "dow", "wom", "year", "month", "day", "day_of_week", "holiday_flg",
     "air_genre_name", "air_area_name", "air_store_id2", "cluster",
@@ -79,7 +79,7 @@ LARGE_PARTY_FEATURES = [
 def create_train_test(fs: FeatureSet, clean: bool = False, predict_large_party: bool = False,
                       large_party_threshold: float = 120, clean_last_only: bool = False
                       ) -> tuple[DataFrame, DataFrame]:
-    """C2 (RU 161-242)."""
+    """The wide train and test rows, cleaned and with a predicted ``large_party`` on demand."""
     train, test = assemble.create_train_test(fs.train_rows, fs.test_rows, fs.stores, fs.hol,
                                              fs.ar, fs.hr, clean=clean,
                                              clean_last_only=clean_last_only)

@@ -29,7 +29,7 @@ from footfall.session import ship_package
 
 
 def reference_alphas() -> list[float]:
-    """NB 128: 0.001, 0.006, ..., 0.996 (200 values)."""
+    """0.001, 0.006, ..., 0.996 (200)."""
     return [round(0.001 + 0.005 * i, 3) for i in range(200)]
 
 

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 TARGETS = ["visitors", "log_visitors"]
 IDS = ["air_store_id", "id", "air_store_id2"]
 
-# NB 41-52 and 75-78: the predictor lists of the linear models.
+# The predictor lists of the linear models.
 OLS_FEATURES_1 = ["median_visitors", "max_visitors", "min_visitors", "rv1_x",
                   "count_observations", "rv2_x", "longitude", "rs2_x", "rs1_x",
                   "day", "month", "air_area_name4", "air_area_name", "air_area_name2",
@@ -65,7 +65,7 @@ def lasso(alpha: float = 0.001) -> LinearRegression:
 
 def random_forest(num_trees: int = 1000, max_depth: int = 3, seed: int = 0
                   ) -> RandomForestRegressor:
-    """M8: NB 169-173 settings."""
+    """M8: 1000 trees of depth 3."""
     return RandomForestRegressor(numTrees=num_trees, maxDepth=max_depth,
                                  featureSubsetStrategy="sqrt", seed=seed,
                                  subsamplingRate=1.0, bootstrap=True)
@@ -99,7 +99,7 @@ class LargePartyModel:
 
 def large_party_classifier(train: DataFrame, features: list[str], label: str = "large_party",
                            threshold: float = 0.5) -> LargePartyModel:
-    """M2: maximum-likelihood logit without intercept (RU 224-240).
+    """M2: maximum-likelihood logit without intercept.
 
     Fitted by iteratively reweighted least squares (MLlib's binomial GLM):
     each Newton step is one distributed pass for XᵀWX and XᵀW z.  The step

@@ -143,3 +143,17 @@ def test_score_write_and_fitted(spark, tmp_path):
     rows = spark.createDataFrame([("s", D(2017, 1, 1), 10)], "air_store_id string, visit_date date, visitors long")
     r = fitted_vs_actual(Ident(), rows).first()
     assert abs(r.predicted_visitors - 10) < 1e-9
+
+
+def test_lag_of_repeated_days_is_fixed(spark):
+    """Two rows of one store and day are ordered by value, whatever their input order."""
+    rows = [("A", D(2017, 1, 1), 1.0), ("A", D(2017, 1, 2), 3.0), ("A", D(2017, 1, 2), 2.0),
+            ("A", D(2017, 1, 3), 4.0)]
+    seen = set()
+    for r in (rows, rows[::-1]):
+        df = spark.createDataFrame(r, "air_store_id string, visit_date date, log_visitors double")
+        out = series.add_lags(df, lags=[1], diffs=False).collect()
+        seen.add(tuple(sorted((x.visit_date, x.log_visitors, x.visitors_lag1) for x in out
+                              if x.visitors_lag1 is not None)))
+    assert seen == {((D(2017, 1, 2), 2.0, 1.0), (D(2017, 1, 2), 3.0, 2.0),
+                     (D(2017, 1, 3), 4.0, 3.0))}
