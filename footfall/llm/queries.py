@@ -102,4 +102,24 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op5_html_extraction, op6_suffix_dedup, op7_quality_rules, op8_simhash, op9_sharding,
         op10_substring_dedup)}
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op10_substring_dedup": r"""
+    with d as (
+        select doc_id, list_filter(
+            regexp_split_to_array(coalesce(text, ''), '[ \t\n\x0B\f\r]+'), lambda x: x <> '') as w
+        from documents),
+    g as (
+        select doc_id, i, array_to_string(w[i:i + 49], ' ') as k
+        from d, lateral (select unnest(range(1, len(w) - 48)) as i)),
+    f as (select k, min(doc_id) as least from g group by k),
+    c as (
+        select distinct doc_id, i + j as at
+        from g join f using (k), (select unnest(range(50)) as j) where least < doc_id),
+    n as (select doc_id, count(*) as n_removed from c group by doc_id),
+    x as (select doc_id, unnest(w) as word, unnest(range(1, len(w) + 1)) as at from d),
+    s as (
+        select x.doc_id, string_agg(word, ' ' order by x.at) as kept
+        from x left join c on c.doc_id = x.doc_id and c.at = x.at
+        where c.at is null group by x.doc_id)
+    select d.doc_id, len(w) as n_words, coalesce(n_removed, 0) as n_removed,
+           sha256(coalesce(kept, '')) as kept_sha256
+    from d left join n on n.doc_id = d.doc_id left join s on s.doc_id = d.doc_id"""}
