@@ -18,7 +18,9 @@ columns are ignored.
 from __future__ import annotations
 
 import os
+import re
 import zlib
+from array import array
 from collections.abc import Callable
 from functools import lru_cache
 
@@ -31,38 +33,80 @@ from .common import materialize, with_rank
 
 CAPACITY = 4096
 END_TOKEN = 1
-_CACHE_WORDS = 300_000      # words whose ids a worker remembers; no effect on results
+_CACHE_WORDS = 500_000      # strings that a worker remembers per generation; no effect on results
 
 
-@lru_cache(maxsize=2)
-def _encoder(path: str) -> Callable[[list[str]], list[bytes]]:
-    """Token ids of texts, as little-endian unsigned 32-bit numbers.
+# Lines of printable ASCII, Latin letters and blanks only, which lower-casing and NFC treat
+# character by character, and the pieces that the tokenizer's split rule cuts them into.
+_PLAIN = re.compile(r"[ -~\tÀ-ÖØ-öø-ÿ]*")
+_PIECE = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+")
+
+
+class _Remembered(dict):
+    """Ids of strings, found by ``find`` when first met, in two generations: what isn't met
+    for a whole one is forgotten."""
+
+    def __init__(self, find: Callable[[str], bytes]):
+        super().__init__()
+        self.find = find
+        self.before: dict[str, bytes] = {}
 
-    Only for tokenizers whose tokens never span white space: texts are cut at
-    blanks and line ends, and each distinct word is encoded once.
+    def __missing__(self, key: str) -> bytes:
+        ids = self.before.get(key)
+        if ids is None:
+            ids = self.find(key)
+        if len(self) >= _CACHE_WORDS:
+            self.before = dict(self)
+            self.clear()
+        self[key] = ids
+        return ids
+
+
+class _Encoder:
+    """Token ids of texts as little-endian unsigned 32-bit numbers.
+
+    Only for a byte-level tokenizer that lower-cases and whose tokens never span white
+    space.  A piece of a plain line goes to the tokenizer's model once while it is
+    remembered; the words of other lines go through the whole tokenizer.
     """
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    known: dict[str, bytes] = {}
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
-    def encode(texts: list[str]) -> list[bytes]:
-        out = []
-        for text in texts:
-            words = text.replace("\n", " ").split(" ")
-            new = [w for w in set(words) if w not in known]
-            if len(known) + len(new) > _CACHE_WORDS:
-                known.clear()
-                new = list(set(words))
-            for lo in range(0, len(new), 4096):
-                part = new[lo:lo + 4096]
-                for word, e in zip(part, tokenizer.encode_batch(part, add_special_tokens=False)):
-                    known[word] = np.asarray(e.ids, dtype="<u4").tobytes()
-            out.append(b"".join(map(known.__getitem__, words)))
-        return out
-
-    return encode
+        self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        level = ByteLevel(add_prefix_space=False, use_regex=False)
+        # characters as the model spells their bytes
+        self.spelt = {c: level.pre_tokenize_str(chr(c))[0][0] for c in range(0xC0, 0x100)}
+        self.pieces, self.words = _Remembered(self.piece_ids), _Remembered(self.word_ids)
+
+    def piece_ids(self, piece: str) -> bytes:
+        return array("I", [t.id for t in self.model.tokenize(piece.translate(self.spelt))]
+                     ).tobytes()
+
+    def word_ids(self, word: str) -> bytes:
+        return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+
+    def segments(self, text: str) -> list[tuple[_Remembered, list[str]]]:
+        """Runs of the text's lines: their pieces, or their words."""
+        special = any(t in text for t in self.specials)
+        if not special and _PLAIN.fullmatch(text.replace("\n", " ")):
+            return [(self.pieces, _PIECE.findall(text.lower()))]
+        return [(self.pieces, _PIECE.findall(line.lower()))
+                if not special and _PLAIN.fullmatch(line) else (self.words, line.split(" "))
+                for line in text.split("\n")]
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        return [b"".join([b"".join(map(kind.__getitem__, items))
+                          for kind, items in self.segments(t)]) for t in texts]
+
+
+@lru_cache(maxsize=2)
+def _encoder(path: str) -> Callable[[list[str]], list[bytes]]:
+    return _Encoder(path)
 
 
 def _pieces(path: str, capacity: int, end_token: int):

@@ -61,7 +61,8 @@ def test_packing_edges(edge, empty, capacity):
 
 def test_words_encode_as_whole_texts_do():
     texts = ["A b\n\nc\tdon't  İstanbul ΟΔΟΣ é ́x ", "<|endoftext|>x <|startoftext|>",
-             "a b c\x0bd\x1ce", "", " ", "12 34 !!?? ### ça l'été", "\U0001F600‍"]
+             "a b c\x0bd\x1ce", "", " ", "12 34 !!?? ### ça l'été", "\U0001F600‍", "it's !'s 'street 'LL I'VE x'd''t",
+             "ÀÉÎ ß ÿ ×÷ ª²½ µm Ångström é́", "a1b2--c3 x_y <|endoftext|> <|x|> <", "'re're's"]
     for t, raw in zip(texts, packing._encoder(PATH)(texts)):
         assert np.frombuffer(raw, "<u4").tolist() == ids_of(t)[:-1]
 
