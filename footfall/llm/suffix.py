@@ -35,7 +35,7 @@ import numpy as np
 import pandas as pd
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import anchors
@@ -147,17 +147,19 @@ def neighbour_spans(suffixes: DataFrame, order: list[str], least: int, reach: in
     return inside.union(across)
 
 
-def _join_spans(group: pd.DataFrame) -> pd.DataFrame:
-    """Spans of one text that overlap or touch, joined; with the least document of their owners."""
-    out: list[list[int]] = []
-    for lo, hi, first in sorted(zip(group["from_word"], group["to_word"], group["least"])):
-        if out and lo <= out[-1][1]:
-            out[-1][1], out[-1][2] = max(out[-1][1], hi), min(out[-1][2], first)
-        else:
-            out.append([lo, hi, first])
-    made = pd.DataFrame(out, columns=["from_word", "to_word", "least"])
-    made["text_no"] = group["text_no"].iloc[0]
-    return made
+def _joined(spans: Column) -> Column:
+    """Sorted (from, to, least) of one text: spans that overlap or touch become one."""
+    def put(done: Column, x: Column) -> Column:
+        last = F.element_at(done, -1)
+        longer = F.struct(last["from_word"].alias("from_word"),
+                          F.greatest(last["to_word"], x["to_word"]).alias("to_word"),
+                          F.least(last["least"], x["least"]).alias("least"))
+        return F.when(F.size(done) == 0, F.array(x)).when(
+            x["from_word"] <= last["to_word"],
+            F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(longer))).otherwise(
+            F.concat(done, F.array(x)))
+    return F.aggregate(spans, F.array().cast(
+        "array<struct<from_word: int, to_word: int, least: long>>"), put)
 
 
 def repeated_passages(docs: DataFrame, least: int = LEAST) -> DataFrame:
@@ -188,9 +190,11 @@ def repeated_passages(docs: DataFrame, least: int = LEAST) -> DataFrame:
     spans = spans.distinct()
     owners = spans.groupBy("content").agg(F.min("doc_order").alias("least"))
     passages = (spans.join(owners, "content")
-                     .select("text_no", "from_word", "to_word", "least")
-                     .groupBy("text_no").applyInPandas(
-                         _join_spans, "text_no long, from_word int, to_word int, least long"))
+                     .groupBy("text_no")      # at most the anchors of one text
+                     .agg(F.array_sort(F.collect_set(F.struct(
+                         "from_word", "to_word", "least"))).alias("spans"))
+                     .select("text_no", F.explode(_joined(F.col("spans"))).alias("s"))
+                     .select("text_no", "s.*"))
     shared = texts.select("text_no", "words_sha", "first_order").join(passages, "text_no").select(
         F.col("words_sha").alias("sha"), F.col("first_order").alias("owner"),
         "from_word", "to_word", "least")
