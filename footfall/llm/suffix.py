@@ -9,9 +9,10 @@ needs: further words belong to the next anchors.
 
 The suffixes are sorted twice over the whole cluster by range partitioning: by
 what follows, then what precedes; and by the first gram, then what precedes, then
-what follows.  Neighbours (also across partition borders) are compared, the match
-is extended right and left, and matches of ``least`` words or more in two texts
-become spans.  Spans of a text that touch are joined.
+what follows.  Each suffix is compared with its nearest neighbours of other texts on
+both sides (also across partition borders), the match is extended right and left,
+and matches of ``least`` words or more become spans.  Spans of a text that touch are
+joined.
 
 A shared passage of ``least`` words holds an anchor among its first words, and
 in suffix order its owners are neighbours.  Ties are broken by document, so no
@@ -35,7 +36,7 @@ import numpy as np
 import pandas as pd
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import anchors
@@ -44,7 +45,10 @@ from .substring import RANGE_ANCHORS, repeated_windows
 
 LEAST = 50
 _SUFFIX = "text_no long, doc_order long, start int, after binary, before binary"
-_PAIR = _SUFFIX + ", border int, partition int, from_word int, to_word int, content binary"
+_PAIR = _SUFFIX + ", border int, place int, partition int, from_word int, to_word int, " \
+                 "content binary"
+_NAMES = ["text_no", "doc_order", "start", "after", "before"]
+_FOUND = "text_no long, doc_order long, from_word int, to_word int, content binary"
 
 
 def _suffixes(batches: Iterator[pd.DataFrame], least: int, reach: int) -> Iterator[pd.DataFrame]:
@@ -66,82 +70,103 @@ def _suffixes(batches: Iterator[pd.DataFrame], least: int, reach: int) -> Iterat
                 "before": [back[4 * (n - p):4 * (n - p + reach)] for p in at.tolist()]})
 
 
-def _common(a: list[bytes], width: int) -> np.ndarray:
-    """Words that each element shares with the one before it, from the first word on."""
-    sizes = np.array([len(x) // 4 for x in a])
-    grid = np.frombuffer(b"".join(x.ljust(4 * width, b"\0") for x in a), ">u4").reshape(
-        len(a), width)
-    differ = grid[1:] != grid[:-1]
-    lcp = np.where(differ.any(axis=1), differ.argmax(axis=1), width)
-    return np.minimum(lcp, np.minimum(sizes[1:], sizes[:-1]))
+def _grid(words: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Word hashes in rows of ``width``, and how many each row really has."""
+    grid = np.frombuffer(b"".join(x.ljust(4 * width, b"\0") for x in words), ">u4")
+    return grid.reshape(len(words), width), np.array([len(x) // 4 for x in words])
+
+
+def _common(a: tuple[np.ndarray, np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Words that rows ``i`` and ``j`` share from the first on."""
+    grid, sizes = a
+    differ = grid[i] != grid[j]
+    lcp = np.where(differ.any(axis=1), differ.argmax(axis=1), grid.shape[1])
+    return np.minimum(lcp, np.minimum(sizes[i], sizes[j]))
+
+
+def _runs(texts: np.ndarray) -> np.ndarray:
+    """Where runs of one text begin, and the end."""
+    return np.r_[0, np.flatnonzero(texts[1:] != texts[:-1]) + 1, len(texts)]
 
 
 def _spans(rows: pd.DataFrame, least: int, reach: int) -> pd.DataFrame:
-    """Both sides of every pair of neighbours that share ``least`` words around their start."""
-    after, before = list(rows["after"]), list(rows["before"])
-    right, left = _common(after, least), _common(before, reach)
-    texts, starts = rows["text_no"].to_numpy(), rows["start"].to_numpy()
-    hit = np.flatnonzero((right + left >= least) & (texts[1:] != texts[:-1]))
+    """Both sides of every match of ``least`` words between a suffix and its nearest
+    neighbours of other texts, before and after it."""
+    texts, starts = rows["text_no"].to_numpy(np.int64), rows["start"].to_numpy(np.int64)
+    edges = _runs(texts)
+    run = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
+    every = np.arange(len(texts))
+    above, below = edges[run] - 1, edges[run + 1]
+    i = np.concatenate([every[above >= 0], every[below < len(texts)]])
+    j = np.concatenate([above[above >= 0], below[below < len(texts)]])
     out = []
-    orders = rows["doc_order"].to_numpy()
-    for i in hit.tolist():
-        r, k = int(right[i]), int(left[i])
-        content = xxhash.xxh3_128_digest(before[i][:4 * k] + b"|" + after[i][:4 * r])
-        for j in (i, i + 1):
-            out.append((texts[j], orders[j], starts[j] - k, starts[j] + r, content))
-    return pd.DataFrame(out, columns=["text_no", "doc_order", "from_word", "to_word", "content"])
+    if len(i):
+        after, before = list(rows["after"]), list(rows["before"])
+        right = _common(_grid(after, least), i, j)
+        left = _common(_grid(before, reach), i, j)
+        orders = rows["doc_order"].to_numpy(np.int64)
+        for x in np.flatnonzero(right + left >= least).tolist():
+            a, r, k = int(i[x]), int(right[x]), int(left[x])
+            content = xxhash.xxh3_128_digest(before[a][:4 * k] + b"|" + after[a][:4 * r])
+            for y in (a, int(j[x])):
+                out.append((texts[y], orders[y], starts[y] - k, starts[y] + r, content))
+    return pd.DataFrame(out, columns=["text_no", "doc_order", "from_word", "to_word",
+                                      "content"]).drop_duplicates()
 
 
 def _neighbours(batches: Iterator[pd.DataFrame], least: int, reach: int
                 ) -> Iterator[pd.DataFrame]:
-    """Spans of a sorted partition, and its first and last suffix for the borders."""
+    """Spans of a sorted partition, and the suffixes at its ends for the borders: the run of
+    one text at each end and the row beyond it."""
     columns = [c.split()[0] for c in _PAIR.split(", ")]
     task = TaskContext.get().partitionId()
-    last = None
+
+    def border(rows: pd.DataFrame, side: int) -> pd.DataFrame:
+        return rows.assign(border=side, place=np.arange(len(rows)), partition=task).reindex(
+            columns=columns)
+
+    rows, lead = None, None     # the last run and the row before it; rows of the first run
     for batch in batches:
         if not len(batch):
             continue
-        if last is None:
-            yield batch.iloc[:1].assign(border=0, partition=task).reindex(columns=columns)
-        rows = batch if last is None else pd.concat([last, batch], ignore_index=True)
-        last = batch.iloc[-1:]
+        rows = batch if rows is None else pd.concat([rows, batch], ignore_index=True)
+        edges = _runs(rows["text_no"].to_numpy(np.int64))
+        if lead is None and len(edges) > 2:
+            lead = rows.iloc[:edges[1] + 1]
+            yield border(lead, 0)
         found = _spans(rows, least, reach)
         if len(found):
             yield found.reindex(columns=columns)
-    if last is not None:
-        yield last.assign(border=1, partition=task).reindex(columns=columns)
-
-
-def _border_pairs(batches: Iterator[pd.DataFrame], least: int, reach: int
-                  ) -> Iterator[pd.DataFrame]:
-    """The last suffix of a partition against the first of the next."""
-    names = ["text_no", "doc_order", "start", "after", "before"]
-    for batch in batches:
-        for one, two in zip(batch[names].itertuples(index=False),
-                            batch[["next_" + c for c in names]].itertuples(index=False)):
-            yield _spans(pd.DataFrame([tuple(one), tuple(two)], columns=names), least, reach)
-
-
-_FOUND = "text_no long, doc_order long, from_word int, to_word int, content binary"
+        rows = rows.iloc[max(0, edges[-2] - 1):]
+    if rows is not None:
+        if lead is None:
+            yield border(rows, 0)
+        yield border(rows, 1)
 
 
 def neighbour_spans(suffixes: DataFrame, order: list[str], least: int, reach: int, name: str
                     ) -> DataFrame:
     """Sort ``suffixes`` by ``order`` over the cluster and compare neighbours."""
-    n = partitions(suffixes.sparkSession)
+    spark = suffixes.sparkSession
     keys = [F.expr(c) for c in [*order, "doc_order", "text_no", "start"]]
-    ordered = suffixes.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    ordered = suffixes.repartitionByRange(partitions(spark), *keys).sortWithinPartitions(*keys)
     met = materialize(ordered.mapInPandas(
         partial(_neighbours, least=least, reach=reach), _PAIR), name)
-    # two rows for each partition
     ends = met.where("border is not null")
-    names = ["text_no", "doc_order", "start", "after", "before"]
-    w = Window.orderBy("partition", "border")
-    pairs = (ends.select("border", *names,
-                         *[F.lead(c).over(w).alias("next_" + c) for c in names])
-                 .where("border = 1 and next_start is not null"))
-    across = pairs.drop("border").mapInPandas(
-        partial(_border_pairs, least=least, reach=reach), _FOUND)
+    # one number for each partition that has rows
+    filled = sorted(r[0] for r in ends.select("partition").distinct().collect())
+    follows = spark.createDataFrame(list(zip(filled, filled[1:])), "partition int, next int")
+    # the end of one partition and the beginning of the next: two texts' suffixes at most
+    meeting = ends.where("border = 1").join(F.broadcast(follows), "partition").select(
+        F.col("next").alias("at"), "border", "place", *_NAMES).union(
+        ends.where("border = 0").select(F.col("partition").alias("at"), "border", "place",
+                                        *_NAMES))
+
+    def compare(group: pd.DataFrame) -> pd.DataFrame:
+        rows = group.sort_values(["border", "place"], ascending=[False, True])
+        return _spans(rows[_NAMES].reset_index(drop=True), least, reach)
+
+    across = meeting.groupBy("at").applyInPandas(compare, _FOUND)
     inside = met.where("content is not null").select(
         "text_no", "doc_order", "from_word", "to_word", "content")
     return inside.union(across)
