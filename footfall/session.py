@@ -48,6 +48,8 @@ def get_session(master: str | None = None, app_name: str = "footfall",
     return spark
 
 
+# Rows of an Arrow batch where Spark's own default (10,000) would hold.
+TEXT_BATCH_ROWS = 2000
 _shipped: dict[str, str] = {}
 
 
@@ -69,6 +71,9 @@ def ship_package(spark: SparkSession) -> None:
                     full = os.path.join(folder, f)
                     z.write(full, os.path.relpath(full, os.path.dirname(package)))
     spark.sparkContext.addPyFile(path)
+    # rows of whole texts: a worker holds a batch at a time (a value of the user's own stays)
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXT_BATCH_ROWS))
     _shipped[app] = path
 
 
