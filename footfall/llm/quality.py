@@ -87,7 +87,8 @@ def with_metrics(docs: DataFrame, text: str = "text", name: str = "m") -> DataFr
         return pd.DataFrame([measure(t) for t in texts], columns=fields, index=texts.index,
                             dtype=np.int64)
 
-    return docs.withColumn(name, F.pandas_udf(run, METRICS)(F.col(text)))
+    # nondeterministic to the planner, so that what is computed from it doesn't run it again
+    return docs.withColumn(name, F.pandas_udf(run, METRICS).asNondeterministic()(F.col(text)))
 
 
 def base_failed(m: Column) -> Column:
