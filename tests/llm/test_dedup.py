@@ -3,7 +3,7 @@
 import random
 
 import numpy as np
-from brute import (fingerprint, order, repeated, simhash as brute_simhash, simhash_roots,
+from .brute import (fingerprint, order, repeated, simhash as brute_simhash, simhash_roots,
                    substring as brute_substring)
 from pyspark.sql import functions as F
 

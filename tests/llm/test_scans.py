@@ -6,7 +6,7 @@ import re
 import zlib
 
 import pytest
-from brute import base_spans, edit_to_stretch, jump
+from .brute import base_spans, edit_to_stretch, jump
 from pyspark.sql import functions as F
 
 from footfall.llm import decontaminate, licenses, queries, secrets, sharding

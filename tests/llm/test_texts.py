@@ -6,7 +6,7 @@ import zlib
 
 import numpy as np
 import pytest
-from brute import LAST, edit_to_stretch, metrics, order, simhash_roots
+from .brute import LAST, edit_to_stretch, metrics, order, simhash_roots
 
 import corpus_pipeline
 from footfall.llm import decontaminate, html, packing, quality, queries, secrets
