@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.operators import series
-from footfall.session import cut_lineage, drop_intermediates, ensure_checkpoint_dir, ship_package
+from footfall.session import (cut_lineage, drop_intermediates, ensure_checkpoint_dir,
+                              intermediates)
 from footfall.sources import standin
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -755,12 +756,13 @@ def _model_frames(spark, sf_dir):
     input; the tables they were made from are dropped."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _frames:
+        before = intermediates(spark)
         t = standin.load(spark, sf_dir)
         fs = feat.import_data(t, large_party_threshold=LARGE_PARTY_AT)
         train, test = feat.create_train_test(fs, clean=True, predict_large_party=True,
                                              large_party_threshold=LARGE_PARTY_AT)
         _frames[key] = cut_lineage(train), cut_lineage(test)
-        drop_intermediates(spark)
+        drop_intermediates(spark, before)
     return _frames[key]
 
 

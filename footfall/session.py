@@ -144,13 +144,21 @@ def materialize_bucketed(df: DataFrame, key: str, name: str, buckets: int | None
     return spark.table(table)
 
 
-def drop_intermediates(spark: SparkSession) -> int:
-    """Drop every table of ``materialize_bucketed`` in this application, files included.
+def intermediates(spark: SparkSession) -> int:
+    """Tables of ``materialize_bucketed`` that this application has now."""
+    return len(_intermediate.get(spark.sparkContext.applicationId, []))
+
+
+def drop_intermediates(spark: SparkSession, after: int = 0) -> int:
+    """Drop the tables of ``materialize_bucketed`` in this application, files included, but
+    the first ``after`` (an earlier value of ``intermediates``).
 
     Call it when the frames built on them are no longer needed.  Returns their number.
     """
     sc = spark.sparkContext
-    gone = _intermediate.pop(sc.applicationId, [])
+    mine = _intermediate.setdefault(sc.applicationId, [])
+    gone = mine[after:]
+    del mine[after:]
     for table, path in gone:
         spark.sql(f"DROP TABLE IF EXISTS {table}")
         where = sc._jvm.org.apache.hadoop.fs.Path(path)
