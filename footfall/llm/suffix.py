@@ -213,7 +213,9 @@ def repeated_passages(docs: DataFrame, least: int = LEAST) -> DataFrame:
         neighbour_spans(suffixes, [f"substring(after, 1, {4 * gram})", "before", "after"],
                         least, reach, "by-before"))
     spans = spans.distinct()
-    owners = spans.groupBy("content").agg(F.min("doc_order").alias("least"))
+    # written, so that the spans of a passage of very many documents can be split in the join
+    owners = materialize(spans.groupBy("content").agg(F.min("doc_order").alias("least")),
+                         "passages")
     passages = (spans.join(owners, "content")
                      .groupBy("text_no")      # at most the anchors of one text
                      .agg(F.array_sort(F.collect_set(F.struct(
