@@ -152,7 +152,8 @@ def _leaks_column(items: list[tuple[int | None, str]], rate: float, least_words:
             yield pd.Series([[dict(zip(("item_id", "distance", "start_word", "end_word"), x))
                               for x in matcher.leaks(t)] for t in texts], index=texts.index)
     run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
-    return F.pandas_udf(run, LEAKS)
+    # nondeterministic to the planner, so that a filter on the result doesn't run it again
+    return F.pandas_udf(run, LEAKS).asNondeterministic()
 
 
 def item_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES
