@@ -188,9 +188,10 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     windows = found.select("text_no", "first_order", "words_sha", "text", "starts").mapInPandas(
         partial(_windows, window=window, gram=gram),
         "w1 long, w2 long, text_no long, doc_order long, start int")
-    first = (windows.groupBy("w1", "w2")
-                    .agg(F.min("doc_order").alias("least"), F.max("doc_order").alias("most"))
-                    .where("least < most").drop("most"))
+    # written, so that a window of very many documents can be split in the join
+    first = materialize(windows.groupBy("w1", "w2")
+                        .agg(F.min("doc_order").alias("least"), F.max("doc_order").alias("most"))
+                        .where("least < most").drop("most"), "repeated-windows")
     cuts = (windows.join(first, ["w1", "w2"]).where("doc_order > least")
                    .groupBy("text_no").agg(F.collect_set("start").alias("cut")))
     done = (found.select("text_no", "words_sha", "text").join(cuts, "text_no")
