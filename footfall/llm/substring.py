@@ -39,6 +39,7 @@ from .common import materialize, mix, partitions, window_hashes, word_hashes, wo
 WINDOW = 50
 DEPTH = 3                   # rows of the sketch
 RANGE_ANCHORS = 1 << 16     # anchors expected in one hash range
+TASK_ANCHORS = 400_000      # anchors that a task sketches at a time
 CELLS = 1 << 18             # counters in each row of a range's sketch
 _SALTS = tuple(np.uint64(s) for s in (
     0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3))
@@ -54,12 +55,27 @@ def _cells(hashes: np.ndarray, depth: int, cells: int) -> np.ndarray:
                          (0, depth), np.int64)
 
 
+def _gathered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Batches joined until they hold ``TASK_ANCHORS`` anchors."""
+    held, anchors_held = [], 0
+    for batch in batches:
+        if len(batch):
+            held.append(batch)
+            anchors_held += sum(map(len, batch["anchor_starts"])) // 4
+        if anchors_held >= TASK_ANCHORS:
+            yield pd.concat(held, ignore_index=True)
+            held, anchors_held = [], 0
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
 def _sketch_rows(batches: Iterator[pd.DataFrame], ranges: int, depth: int, cells: int
                  ) -> Iterator[pd.DataFrame]:
-    """Per batch and hash range: the batch's sketch, and the anchors for the later lookup."""
-    for batch in batches:
-        if not len(batch):
-            continue
+    """Per task and hash range: the partition's sketch, and the anchors for the later lookup.
+
+    A task emits after ``TASK_ANCHORS`` anchors, so that its memory is bounded.
+    """
+    for batch in _gathered(batches):
         counts = np.array([len(b) // 4 for b in batch["anchor_starts"]])
         hashes = np.frombuffer(b"".join(batch["anchor_hashes"]), np.uint64)
         starts = np.frombuffer(b"".join(batch["anchor_starts"]), np.int32)
