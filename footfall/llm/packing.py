@@ -33,7 +33,7 @@ from .common import materialize, with_rank
 
 CAPACITY = 4096
 END_TOKEN = 1
-_CACHE_WORDS = 200_000      # strings that a worker remembers per generation; no effect on results
+_CACHE_WORDS = 100_000      # strings that a worker remembers per generation; no effect on results
 
 
 # Lines of printable ASCII, Latin letters and blanks only, which lower-casing and NFC treat
