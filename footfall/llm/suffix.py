@@ -12,7 +12,8 @@ what follows, then what precedes; and by the first gram, then what precedes, the
 what follows.  Each suffix is compared with its nearest neighbours of other texts on
 both sides (also across partition borders), the match is extended right and left,
 and matches of ``least`` words or more become spans.  Spans of a text that touch are
-joined.
+joined.  The spans of a passage are linked over texts, and the components tell
+the smallest of its documents.
 
 A shared passage of ``least`` words holds an anchor among its first words, and
 in suffix order its owners are neighbours.  Ties are broken by document, so no
@@ -36,11 +37,12 @@ import numpy as np
 import pandas as pd
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import anchors
 from .common import LAST_ID, materialize, partitions, word_hashes, words_of
+from .components import components
 from .substring import RANGE_ANCHORS, repeated_windows
 
 LEAST = 50
@@ -187,12 +189,40 @@ def _joined(spans: Column) -> Column:
         "array<struct<from_word: int, to_word: int, least: long>>"), put)
 
 
+def _with_first(spans: DataFrame, least: int) -> DataFrame:
+    """``spans`` with ``least``: the smallest document that a span's passage is linked to.
+
+    Spans of one text that share ``least`` words or more hold a common passage and are one
+    node; the two sides of a match have the same content.  The chance words around a
+    passage differ from match to match, so its owners are linked over several contents.
+    """
+    order = Window.partitionBy("text_no").orderBy("from_word", "to_word", "content")
+    before = F.max("to_word").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    begins = F.when(before.isNull() | (F.col("from_word") + least > before), F.col("from_word"))
+    core = F.last("begins", ignorenulls=True).over(
+        order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    # nodes are ordered by document, so a component's root has the smallest
+    nodes = materialize(
+        spans.withColumn("begins", begins).withColumn("core", core)
+             .select("text_no", "from_word", "to_word", "content",
+                     F.struct("doc_order", "text_no", "core").alias("span_node")), "span-nodes")
+    # written, so that the spans of a passage of very many documents can be split in the join
+    hubs = materialize(nodes.groupBy("content").agg(F.min("span_node").alias("hub")), "passages")
+    edges = nodes.join(hubs, "content").select(F.col("span_node").alias("a"),
+                                               F.col("hub").alias("b"))
+    # written for the same reason; a span has a partner, so every node has an edge
+    roots = materialize(components(edges), "span-roots")
+    return nodes.join(roots, F.col("span_node") == F.col("node")).select(
+        "text_no", "from_word", "to_word", F.col("root.doc_order").alias("least"))
+
+
 def repeated_passages(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """``docs`` (doc_id, text) → doc_id, start_word, end_word, n_words, first_doc_id.
 
     One row for each maximal passage of at least ``least`` words that stands in
-    another document too; ``first_doc_id`` is the smallest document found to share
-    some of it, so the row with ``doc_id = first_doc_id`` is the copy to keep.
+    another document too; ``first_doc_id`` is the smallest document that shares some of
+    it, directly or over matches that have ``least`` words in common, so the row with
+    ``doc_id = first_doc_id`` is the copy to keep.
     """
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
@@ -213,10 +243,7 @@ def repeated_passages(docs: DataFrame, least: int = LEAST) -> DataFrame:
         neighbour_spans(suffixes, [f"substring(after, 1, {4 * gram})", "before", "after"],
                         least, reach, "by-before"))
     spans = spans.distinct()
-    # written, so that the spans of a passage of very many documents can be split in the join
-    owners = materialize(spans.groupBy("content").agg(F.min("doc_order").alias("least")),
-                         "passages")
-    passages = (spans.join(owners, "content")
+    passages = (_with_first(spans, least)
                      .groupBy("text_no")      # at most the anchors of one text
                      .agg(F.array_sort(F.collect_set(F.struct(
                          "from_word", "to_word", "least"))).alias("spans"))

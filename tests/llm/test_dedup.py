@@ -171,6 +171,33 @@ def test_suffix_edges(edge, empty):
     assert suffix.repeated_passages(empty).count() == 0
 
 
+def test_suffix_one_first_document_for_a_hot_passage(shipped):
+    """The words around a passage are chance words that some of its owners share too."""
+    rng = random.Random(6)
+    common = [f"z{int(rng.paretovariate(0.6))}" for _ in range(20_000)]
+    rows = []
+    for size in (51, 60, 75):
+        passage = [f"p{size}_{k}" for k in range(size)]
+        rows += [(size * 1000 + i, " ".join(rng.choices(common, k=30) + passage
+                                            + rng.choices(common, k=30))) for i in range(300)]
+    found = suffix.repeated_passages(shipped.createDataFrame(rows, "doc_id long, text string"))
+    firsts = {}
+    for r in found.collect():
+        firsts.setdefault(r["doc_id"] // 1000, []).append((r["doc_id"], r["first_doc_id"]))
+    for size in (51, 60, 75):
+        assert {d for d, _ in firsts[size]} == {size * 1000 + i for i in range(300)}
+        assert {f for _, f in firsts[size]} == {size * 1000}
+
+
+def test_suffix_spans_that_only_touch_are_not_one_passage(shipped):
+    """A document between two others: those that share nothing aren't linked by it."""
+    one, two = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+    rows = [(1, f"x1 {one} y1"), (2, f"x2 {one} {two} y2"), (3, f"x3 {two} y3")]
+    found = suffix.repeated_passages(shipped.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted((r["doc_id"], r["n_words"], r["first_doc_id"]) for r in found.collect()) == [
+        (1, 60, 1), (2, 120, 1), (3, 60, 2)]
+
+
 def test_queries(shipped, sf001, rows001):
     got = sorted(map(tuple, queries.op8_simhash(shipped, sf001).collect()), key=key)
     assert got == sorted(brute_simhash(rows001), key=key)
