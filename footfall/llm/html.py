@@ -12,7 +12,9 @@
    any container to all that isn't boilerplate.
 
 Boilerplate never counts, wherever it stands: menus, headers, footers, sidebars,
-notices, adverts, forms, comments, scripts, styles.  A block's character references
+notices, adverts, forms, comments, scripts, styles.  A class or id that only has such a
+word as a part ('with-sidebar') doesn't drop a container that holds the page's article
+or main or, on a page without one, most of its text.  A block's character references
 are decoded and its white space collapsed; blocks are joined by one space.
 
 Defined results: a null or empty page, or one without text, gives an empty
@@ -34,6 +36,7 @@ from pyspark.sql import functions as F
 from .common import materialize
 
 MOST_HOSTS = 200_000        # winning paths that are broadcast; beyond, they are joined
+LANDMARK = 0.2              # share of a page's text that makes the first article or main its own
 PAGE_PATHS = 4              # containers that a page votes for
 VOTES = 1000                # votes of a page
 
@@ -41,8 +44,7 @@ _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)"
                   r"((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _RAW_END = {t: re.compile(rf"</{t}\b[^>]*>", re.I) for t in (
     "script", "style", "template", "noscript", "textarea", "title", "svg", "select", "iframe")}
-_ATTR = re.compile(r"""\b(class|id|role|hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""",
-                   re.I)
+_ATTR = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>][^\s>]*)))?""")
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd "
                     "label mark meter output q rp rt ruby s samp small span strike strong sub "
                     "sup time tt u var wbr picture source".split())
@@ -67,8 +69,9 @@ class Page:
     """The containers and text blocks of one page."""
 
     def __init__(self, html: str):
-        # containers: path, parent, dropped, tag
+        # containers: path, parent, dropped, tag, dropped by a part of a class or id
         self.paths, self.parents, self.dropped, self.tags = [""], [-1], [False], [""]
+        self.doubtful = [False]
         self.blocks: list[tuple[int, str, int]] = []      # container, text, characters in links
         self._text: list[str] = []
         self._links = self._link = 0
@@ -94,6 +97,7 @@ class Page:
                 continue
             self._start(tag, m[3], stack)
         self._flush(stack[-1][1])
+        self._settle()
 
     def _add(self, text: str) -> None:
         self._text.append(text)
@@ -122,7 +126,7 @@ class Page:
                 tag in (_CLOSED_BY[stack[-1][0]] or (tag,)) or stack[-1][0] == "p"):
             stack.pop()
         parent = stack[-1][1]
-        names, drop = tag, self.dropped[parent] or tag in _DROP_TAGS
+        names, drop, doubtful = tag, self.dropped[parent] or tag in _DROP_TAGS, False
         for m in _ATTR.finditer(attributes) if attributes.strip() else ():
             kind, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
             if kind == "class":
@@ -131,11 +135,13 @@ class Page:
                 drop |= value in _DROP_ROLES
             elif kind == "hidden":
                 drop = True
-            elif tag not in ("html", "body", "article", "main"):
-                drop |= not _DROP_WORDS.isdisjoint(re.split(r"[\s_-]+", value))
+            elif kind in ("class", "id") and tag not in ("html", "body", "article", "main"):
+                drop |= not _DROP_WORDS.isdisjoint(value.split())
+                doubtful |= not _DROP_WORDS.isdisjoint(re.split(r"[\s_-]+", value))
         self.paths.append(f"{self.paths[parent]}>{names}")
         self.parents.append(parent)
         self.dropped.append(drop)
+        self.doubtful.append(doubtful)
         self.tags.append(tag)
         stack.append((tag, len(self.paths) - 1))
 
@@ -150,6 +156,32 @@ class Page:
                 del stack[i:]
                 return
 
+    def _sizes(self, worth: list[int]) -> list[int]:
+        """The sum of the blocks' ``worth`` in each container, with all inside it."""
+        out = [0] * len(self.paths)
+        for (container, _, _), n in zip(self.blocks, worth):
+            out[container] += n
+        for i in range(len(out) - 1, 0, -1):
+            out[self.parents[i]] += out[i]
+        return out
+
+    def _settle(self) -> None:
+        """Drop containers by a part of a class or id ('site-header'), but for those that
+        hold the page's article or main, or on a page without one most of its text."""
+        if not any(self.doubtful):
+            return
+        size = self._sizes([0 if self.dropped[c] else len(t) for c, t, _ in self.blocks])
+        marks = [i for tag in ("main", "article") for i, t in enumerate(self.tags)
+                 if t == tag and size[i] and size[i] >= LANDMARK * size[0]]
+        keep = set()
+        at = marks[0] if marks else 0
+        while at > 0:
+            keep.add(at)
+            at = self.parents[at]
+        for i in range(1, len(self.paths)):
+            kept = i in keep if marks else 2 * size[i] > size[0]
+            self.dropped[i] |= self.dropped[self.parents[i]] or self.doubtful[i] and not kept
+
     def holder(self, container: int) -> int:
         """The container that a block stands in: paragraphs and the like are no containers."""
         while self.tags[container] in _LEAF:

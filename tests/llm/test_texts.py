@@ -150,6 +150,22 @@ def test_html_edges(shipped):
     assert extracted(shipped, []) == {}
 
 
+def test_html_attributes_and_class_parts_keep_the_article(shipped):
+    words = "Some words of the article. " * 20
+    text = " ".join(words.split())
+    pages = [
+        f'<body style="overflow:hidden"><article><p>{words}</p></article></body>',
+        f'<div aria-hidden="false"><article><p>{words}</p></article></div>',
+        f'<div data-x="a hidden class=menu"><p>{words}</p></div>',
+        f'<div class="content with-sidebar"><main><p>{words}</p></main>'
+        '<div class="left-sidebar"><p>aside</p></div></div>',
+        f'<div class="no-sidebar"><div class="layout-related"><p>{words}</p></div></div>',
+        f'<article><p>{words}</p></article><div class="comment-list"><p>{words * 3}</p></div>',
+        f'<div class="content"><p>{words}</p></div><div hidden><p>{words * 2}</p></div>']
+    got = extracted(shipped, [(i, f"http://h{i}/", p) for i, p in enumerate(pages)])
+    assert got == dict.fromkeys(range(len(pages)), text)
+
+
 def test_html_query_against_the_generator_s_articles(shipped, sf001):
     """The articles of the test pages, cut out with plain string operations."""
     import re
