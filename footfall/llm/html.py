@@ -11,6 +11,10 @@
    taken; a page without one falls back to its own best container, and without
    any container to all that isn't boilerplate.
 
+Outside an article a page votes not for its best container itself, but for the lowest
+ancestor that holds nearly all text of the page, or the main, so that a lead or a
+summary beside the largest container stays.
+
 Boilerplate never counts, wherever it stands: menus, headers, footers, sidebars,
 notices, adverts, forms, comments, scripts, styles.  A class or id that only has such a
 word as a part ('with-sidebar') doesn't drop a container that holds the page's article
@@ -37,6 +41,7 @@ from .common import materialize
 
 MOST_HOSTS = 200_000        # winning paths that are broadcast; beyond, they are joined
 LANDMARK = 0.2              # share of a page's text that makes the first article or main its own
+NEARLY = 0.9                # share of a page's text outside links that the article is to hold
 PAGE_PATHS = 4              # containers that a page votes for
 VOTES = 1000                # votes of a page
 
@@ -49,7 +54,8 @@ _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
                     "label mark meter output q rp rt ruby s samp small span strike strong sub "
                     "sup time tt u var wbr picture source".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_LEAF = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th pre blockquote figcaption caption".split())
+_LEAF = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th pre blockquote figcaption caption "
+                  "ul ol dl table thead tbody tfoot tr figure".split())
 _CLOSED_BY = {"p": None, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"},
               "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"},
               "option": {"option"}}
@@ -210,11 +216,27 @@ class Page:
         """(container, score), best first."""
         return sorted(self.scores().items(), key=lambda x: (-x[1], x[0]))
 
+    def best_parts(self) -> list[tuple[int, int]]:
+        """(container, score) of the best containers, each gone up to the lowest ancestor with
+        nearly all text of the page that is neither dropped nor in links, or to the main, so
+        that an article's other parts stay beside its largest; an article is whole."""
+        size = self._sizes([0 if self.dropped[c] else max(0, len(t) - 2 * links)
+                            for c, t, links in self.blocks])
+        out: dict[int, int] = defaultdict(int)
+        for container, score in self.best()[:PAGE_PATHS]:
+            at = container
+            while at and self.tags[at] not in ("article", "main") and (
+                    size[at] < NEARLY * size[0]):
+                at = self.parents[at]
+            out[at] += score
+        return sorted(out.items(), key=lambda x: (-x[1], x[0]))
+
     def text(self, path: str | None) -> str:
         """The text on the winning path, or in the page's own best container."""
         chosen = {i for i, p in enumerate(self.paths) if p == path and not self.dropped[i]}
         if not chosen:
-            chosen = {self.best()[0][0]} if self.scores() else {0}
+            best = self.best_parts()
+            chosen = {best[0][0]} if best else {0}
         inside = [i in chosen for i in range(len(self.paths))]
         for i, parent in enumerate(self.parents):
             if parent >= 0 and inside[parent]:
@@ -229,7 +251,7 @@ def _vote(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if not html:
                 continue
             page = Page(html)
-            best = page.best()[:PAGE_PATHS]
+            best = page.best_parts()
             total = sum(s for _, s in best)
             for container, score in best:
                 votes[host, page.paths[container]] += VOTES * score // total

@@ -166,6 +166,20 @@ def test_html_attributes_and_class_parts_keep_the_article(shipped):
     assert got == dict.fromkeys(range(len(pages)), text)
 
 
+def test_html_keeps_the_parts_beside_the_largest_container(shipped):
+    lead, body, end = ("Lead. " * 17).strip(), ("Body. " * 170).strip(), ("End. " * 20).strip()
+    parts = (f"<div class=lead>{lead}</div><div class=body>{body}</div>"
+             f"<div class=summary>{end}</div>")
+    links = "".join(f'<a href="/{i}">Another page</a> ' for i in range(30))
+    pages = [f"<main>{parts}</main>", f"<body><div class=post>{parts}</div></body>",
+             f"<body><nav>{links}</nav><div class=post>{parts}</div><div>{links}</div></body>",
+             f"<div class=post><p>{lead}</p><ul><li>{body}</li></ul><p>{end}</p></div>",
+             f"<main>{parts}</main><div class=x>{lead * 4}</div>"]
+    got = extracted(shipped, [(10 * i + k, f"http://h{i}/{k}", p)
+                              for i, p in enumerate(pages) for k in range(2)])
+    assert set(got.values()) == {f"{lead} {body} {end}"}
+
+
 def test_html_query_against_the_generator_s_articles(shipped, sf001):
     """The articles of the test pages, cut out with plain string operations."""
     import re
