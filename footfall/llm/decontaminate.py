@@ -1,6 +1,7 @@
 """Benchmark decontamination by pigeonhole edit matching (operator 3).
 
-Texts are compared as words: lower case, runs of letters and digits.  A test
+Texts are compared as words: lower case, runs of letters and digits; in scripts without
+spaces between words (Chinese, Japanese, Thai and others) each character is a word.  A test
 item of n words leaks into a document if some stretch of the document is at
 most ``floor(rate * n)`` word edits (insert, drop, replace) from it.  An item
 with e edits allowed is split into e + 1 pieces; whatever stretch leaks holds one
@@ -36,10 +37,19 @@ LEAST_WORDS = 5
 BLOCK_BYTES = 8 << 20
 LEAKS = "array<struct<item_id: long, distance: int, start_word: int, end_word: int>>"
 _WORD = re.compile(r"[^\W_]+")
+# Thai, Lao, Myanmar, Khmer, kana and Han, vowel signs and marks included
+_UNSPACED = ("\u0e01-\u0e3a\u0e40-\u0e4e\u0e81-\u0ece\u1000-\u103f\u1050-\u108f\u1780-\u17d3"
+             "\u3005-\u3007\u3041-\u3096\u309d-\u309f\u30a1-\u30fa\u30fc-\u30ff\u3400-\u4dbf"
+             "\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003fffd")
+_HAS_UNSPACED = re.compile(f"[{_UNSPACED}]")
+_WORD_OR_CHARACTER = re.compile(rf"[^\W_{_UNSPACED}]+|[{_UNSPACED}]")
 
 
 def normal_words(text: str | None) -> list[str]:
-    return _WORD.findall(text.lower()) if text else []
+    if not text:
+        return []
+    spaced = text.isascii() or not _HAS_UNSPACED.search(text)
+    return (_WORD if spaced else _WORD_OR_CHARACTER).findall(text.lower())
 
 
 def myers(pattern: list[str], words: list[str]) -> tuple[int, int]:

@@ -226,6 +226,17 @@ def test_decontamination_finds_every_planted_item(shipped, sf001, rows001):
     assert {(i, j) for i, t in rows001 for j, q in items if q in (t or "")} <= found
 
 
+def test_decontamination_in_scripts_without_spaces(shipped):
+    items = [(1, "世界上最高的山峰是哪一座?"), (2, "日本で一番長い川は何ですか。"),
+             (3, "ประเทศไทยมีกี่จังหวัด"), (4, "how many provinces has Thailand")]
+    docs = [(i, f"前文{q}後文 and more") for i, q in items[:3]] + [
+        (5, "世界上最高的山峰是那一座"), (6, "世界上最长的河"), (7, "plain words, none of them")]
+    found = decontaminate.find_leaks(shipped.createDataFrame(docs, "doc_id long, text string"),
+                                     shipped.createDataFrame(items, "item_id long, text string"))
+    assert sorted((r["doc_id"], r["item_id"], r["distance"]) for r in found.collect()) == [
+        (1, 1, 0), (2, 2, 0), (3, 3, 0), (5, 1, 1)]
+
+
 # --- sharding -----------------------------------------------------------------------
 
 
