@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from footfall.session import ship_package
 
-from . import (decontaminate, html, licenses, packing, quality, secrets, sharding, simhash,
-               substring, suffix)
+from . import (decontaminate, html, language, licenses, manifest, packing, phrases, quality,
+               secrets, sharding, simhash, substring, suffix)
 from .common import table
+from .oracles import ORACLE as _MORE
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,6 +87,28 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise(F.sha2(F.col("kept"), 256)).alias("kept_sha256"))
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    away = language.held_out(F.col("doc_id"))
+    profiles = language.learn(docs.where(~away))
+    return language.predict(docs.select("doc_id", away.alias("held_out"), "text"), profiles
+                            ).drop("text")
+
+
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    rows = manifest.manifest(table(spark, sf_dir, "documents"), tampered)
+    folded = manifest.fold(F.coalesce("changed", "leaf"), F.col("witness"))
+    return rows.select(
+        "doc_id", "leaf", "subroot", "root",
+        F.sha2(manifest.siblings(F.col("witness")), 256).alias("proof_sha256"),
+        folded.alias("folded_root"), (folded == F.col("root")).alias("verified"))
+
+
 def _shipped(query: Callable[[SparkSession, str], DataFrame]
              ) -> Callable[[SparkSession, str], DataFrame]:
     """``query`` with this package sent to the executors first."""
@@ -100,9 +123,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: _shipped(f) for f in (
         op1_license_scan, op2_secret_scan, op3_decontaminate, op4_best_fit_packing,
         op5_html_extraction, op6_suffix_dedup, op7_quality_rules, op8_simhash, op9_sharding,
-        op10_substring_dedup)}
+        op10_substring_dedup, op11_language_id, op12_phrase_collocations, op13_merkle_manifest)}
 
-ORACLE: dict[str, str] = {"op10_substring_dedup": r"""
+ORACLE: dict[str, str] = _MORE | {"op10_substring_dedup": r"""
     with d as (
         select doc_id, list_filter(
             regexp_split_to_array(coalesce(text, ''), '[ \t\n\x0B\f\r]+'), lambda x: x <> '') as w

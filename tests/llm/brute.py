@@ -143,3 +143,113 @@ def repeated(rows, least=50):
             if len(owners[w[k:k + least]]) > 1:
                 out[i].update(range(k, k + least))
     return out
+
+
+def collocations(rows, least, longest, top):
+    """``rows`` of (lang, text)."""
+    of = defaultdict(Counter)
+    for lang, text in rows:
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", lower_ascii(text or "")):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            for m in range(1, longest + 1):
+                of["und" if lang is None else lang].update(
+                    " ".join(w[i:i + m]) for i in range(len(w) - m + 1))
+    out = []
+    for lang, f in of.items():
+        n = sum(c for p, c in f.items() if " " not in p)
+        found = {p: c for p, c in f.items() if " " in p and c >= least}
+        scored = []
+        for p, a in found.items():
+            w = p.split(" ")
+            score, k = min((1000 * a * n // (f[" ".join(w[:k])] * f[" ".join(w[k:])]), k)
+                           for k in range(1, len(w)))
+            inside = any(q != p and f" {p} " in f" {q} " and 100 * c >= 100 * a
+                         for q, c in found.items())
+            if not inside:
+                scored.append((-score, -a, p.encode(), f[" ".join(w[:k])], f[" ".join(w[k:])]))
+        for rank, (s, a, p, left, right) in enumerate(sorted(scored)[:top], 1):
+            out.append((lang, rank, p.decode(), -a, left, right, n, -s))
+    return sorted(out)
+
+
+def _sha(*parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def _tree(leaves):
+    """Root of a list of digests, and for each leaf its (side, sibling) steps."""
+    steps = [[] for _ in leaves]
+    groups = [[i] for i in range(len(leaves))]
+    while len(leaves) > 1:
+        up, merged = [], []
+        for i in range(0, len(leaves), 2):
+            run = leaves[i:i + 2]
+            if len(run) == 2:
+                for x in groups[i]:
+                    steps[x].append("R" + run[1])
+                for x in groups[i + 1]:
+                    steps[x].append("L" + run[0])
+            else:
+                for x in groups[i]:
+                    steps[x].append("-")
+            up.append(_sha(*run))
+            merged.append(sum(groups[i:i + 2], []))
+        leaves, groups = up, merged
+    return leaves[0], steps
+
+
+def manifest(rows):
+    """``rows`` of (doc_id, source, lang, n_chars, text) → (doc_id, leaf, subroot, root, witness)."""
+    def leaf(row):
+        return _sha(*["-" if v is None else f"{len(str(v).encode())}:{v}" for v in row])
+    of = defaultdict(list)
+    for r in rows:
+        of[r[2]].append((order(r[0]), leaf(r), r[0]))
+    langs = sorted(of, key=lambda x: (x is not None, (x or "").encode()))
+    roots, inner = [], {}
+    for lang in langs:
+        of[lang].sort(key=lambda x: x[:2])
+        root, steps = _tree([x[1] for x in of[lang]])
+        roots.append(root)
+        inner[lang] = steps
+    root, upper = _tree(roots)
+    return sorted(((i, h, sub, root, tuple(s + up)) for lang, sub, up in zip(langs, roots, upper)
+                   for (_, h, i), s in zip(of[lang], inner[lang])), key=str)
+
+
+def language_profiles(rows, size):
+    """``rows`` of (lang, text)."""
+    counts = defaultdict(Counter)
+    for lang, text in rows:
+        if lang is not None:
+            counts[lang].update(language_grams(text))
+    return {k: _most(c, size) for k, c in counts.items() if c}
+
+
+def language_grams(text):
+    found = Counter()
+    word = ""
+    for c in (text or "").lower() + " ":
+        if c.isalpha():
+            word += c
+        elif word:
+            s = f" {word} "
+            for n in (1, 2, 3):
+                found.update(s[i:i + n] for i in range(len(s) - n + 1))
+            word = ""
+    del found[" "]
+    return found
+
+
+def _most(counts, size):
+    return sorted(counts, key=lambda g: (-counts[g], len(g), g))[:size]
+
+
+def language(text, profiles, size):
+    found = _most(language_grams(text), size)
+    if not found or not profiles:
+        return "und", 0.0
+    far = {k: sum(abs(i - p.index(g)) if g in p else size for i, g in enumerate(found))
+           for k, p in profiles.items()}
+    best = min(far, key=lambda k: (far[k], k))
+    return best, 1.0 - far[best] / (size * len(found))
