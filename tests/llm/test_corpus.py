@@ -52,6 +52,7 @@ def test_phrases_equal_brute_force(mixed, monkeypatch, least, budget, bits, held
     """Also where nearly every prefix is extended, bitmaps are tiny and tasks pass on often."""
     df, rows = mixed
     monkeypatch.setattr(phrases, "HELD", held)
+    monkeypatch.setattr(phrases, "PAIRS_HELD", held)
     want = brute.collocations([(r[2], r[4]) for r in rows], least, 5, 25)
     assert len(want) > 20
     assert found_phrases(df, least=least, top=25, budget=budget, bits=bits) == want
