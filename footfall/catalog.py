@@ -591,15 +591,15 @@ def q_rmsle(spark, sf_dir):
             .select("fold", rnd("rmsle").alias("rmsle")))
 
 
-# A prediction that crosses zero, and none for every third day.
+# A prediction that crosses zero.
 _NAIVE_SQL = """
     , pred as (select id, visitors_lag1 - visitors_lag2 as prediction from panel
-               where subset = 'test' and day % 3 <> 0)
+               where subset = 'test')
 """
 
 
 def _naive_predictions(te):
-    return te.where(F.col("day") % 3 != 0).select(
+    return te.select(
         "id", (F.col("visitors_lag1") - F.col("visitors_lag2")).alias("prediction"))
 
 
@@ -729,6 +729,7 @@ def q_recursive_forecast_ar(spark, sf_dir):
 # Step 9: model jobs (rows-only checks: no SQL equivalent)
 # --------------------------------------------------------------------------
 
+from footfall.plans import boosting, stacking  # noqa: E402
 from footfall.plans import cluster as clu  # noqa: E402
 from footfall.plans import lasso as lso  # noqa: E402
 from footfall.plans import ordered_cv as ocv  # noqa: E402
@@ -802,10 +803,9 @@ def q_forest_cv(spark, sf_dir):
 
 @register("gbt_cv")
 def q_gbt_cv(spark, sf_dir):
-    """M9 + M11: 1000 boosting rounds at rate 0.01."""
+    """M9 + M11: 1000 leaf-wise boosting rounds at rate 0.01, five folds side by side."""
     train, _ = _model_frames(spark, sf_dir)
-    scores = ocv.time_series_cv(train, mdl.gradient_boosting(), mdl.model_features(train),
-                                parallelism=5)
+    scores = ocv.time_series_cv(train, boosting.LeafwiseBoosting(), mdl.model_features(train))
     return ocv.cv_table(spark, "gbt", scores)
 
 
@@ -813,7 +813,8 @@ def q_gbt_cv(spark, sf_dir):
 def q_model_leaderboard(spark, sf_dir):
     """M10 + O2: candidates scored by ordered CV, ranked."""
     train, _ = _model_frames(spark, sf_dir)
-    board, _ = search.model_search(train, mdl.model_features(train))
+    board, _ = search.model_search(train, mdl.model_features(train),
+                                   stacked=("linear", "lasso"))
     return board
 
 
@@ -1095,6 +1096,69 @@ def q_gbt_stump(spark, sf_dir):
     return _dow_grid(spark, model)
 
 
+_DOW_MEAN = ("dm", "select dow, y - (select avg(y) from dw) as y from dw")
+
+
+@register("boosting_two_leaf", _TR_PANEL + _cte(
+    _DOW_CTE, _DOW_MEAN, _stump_sql("dm", "y", "b1"),
+    ("dm2", "select dm.dow, y - 0.1 * p as y from dm join b1 on b1.dow = dm.dow"),
+    _stump_sql("dm2", "y", "b2")) + f"""
+    select cast(b1.dow as integer) as dow,
+           round((select avg(y) from dw) + 0.1 * (b1.p + b2.p), {R}) as prediction
+    from b1 join b2 on b1.dow = b2.dow""")
+def q_boosting_two_leaf(spark, sf_dir):
+    """M9: two rounds of trees with two leaves, from the mean, at rate 0.1."""
+    _, tr, _ = _train_test_rows(spark, sf_dir)
+    rows = tr.where(F.col("log_visitors").isNotNull())
+    model = boosting.LeafwiseBoosting(rounds=2, rate=0.1, leaves=2).fit(rows, ["dow"])
+    return _dow_grid(spark, model)
+
+
+_X17_CTE = ("x17", """select air_store_id, visit_date, log_visitors as y, visitors_lag1 as x,
+                             visitors_lag7 as z
+                      from panel where subset = 'train' and visitors_lag1 is not null
+                        and visitors_lag7 is not null and log_visitors is not null""")
+_X17_FOLDS = ("o", f"""select *, {_FOLD_SQL} as fold from (
+                 select *, row_number() over (order by visit_date, air_store_id) - 1 as ordinal,
+                        count(*) over () as n
+                 from x17)""")
+
+
+@register("stacked_single", _TR_PANEL + _cte(
+    _X17_CTE, _X17_FOLDS, _SPLITS,
+    ("fits", """select s.split, regr_slope(y, x) as a, regr_intercept(y, x) as b,
+                       sign(covar_pop(y, z)) * greatest(abs(covar_pop(y, z)) - 0.01, 0)
+                       / var_pop(z) as w, avg(y) as my, avg(z) as mz
+                from splits s join o on o.fold < s.split group by s.split"""),
+    ("oof", """select fold, y, b + a * x as p, my - w * mz + w * z as q
+               from o join fits on split = fold"""),
+    ("mom", """select covar_pop(p, p) as pp, covar_pop(p, q) as pq, covar_pop(q, q) as qq,
+                      covar_pop(p, y) as py, covar_pop(q, y) as qy,
+                      avg(p) as mp, avg(q) as mq, avg(y) as my from oof"""),
+    ("pair", """select *, (qq * py - pq * qy) / (pp * qq - pq * pq) as u,
+                       (pp * qy - pq * py) / (pp * qq - pq * pq) as v from mom"""),
+    ("best", """select *, case when u >= 0 and v >= 0 then u when u < 0 then 0
+                               else greatest(py / pp, 0) end as wp,
+                       case when u >= 0 and v >= 0 then v when u < 0 then greatest(qy / qq, 0)
+                            else 0 end as wq from pair""")) + f"""
+    select 'line' as learner, round(wp, {R}) as weight from best
+    union all select 'lasso', round(wq, {R}) from best
+    union all select 'constant', round(my - wp * mp - wq * mq, {R}) from best""")
+def q_stacked_single(spark, sf_dir):
+    """A line on lag 1 and a Lasso on lag 7, stacked by non-negative least squares."""
+    rows = _x1_rows(spark, sf_dir).where(F.col("visitors_lag7").isNotNull()).select(
+        "air_store_id", "visit_date", "log_visitors", "visitors_lag1", "visitors_lag7")
+    folds = ocv.with_folds(rows)
+    learners = [stacking.Learner("line", mdl.linear_regression(True), ["visitors_lag1"]),
+                stacking.Learner("lasso", mdl.lasso(0.01), ["visitors_lag7"])]
+    found, _ = stacking.stack(folds, learners)
+    folds.unpersist()
+    table = [(x.name, float(w)) for x, w in zip(learners, found.weights)]
+    return spark.createDataFrame([*table, ("constant", found.constant)],
+                                 "learner string, weight double").select(
+        "learner", rnd("weight").alias("weight"))
+
+
 _LASSO_SPLITS = ("las", """
         select t.split, a.lam,
                sqrt(greatest(e.syy - 2 * b.b * e.sy - 2 * b.w * e.sxy + e.n * b.b * b.b
