@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -719,7 +720,9 @@ def _ar_sql(weights=AR_WEIGHTS) -> str:
 def q_recursive_forecast_ar(spark, sf_dir):
     t = standin.load(spark, sf_dir)
     _, te = series.split(series.build_panel(t.visits, t.submission))
-    out = forecast.recursive_forecast(te, ar_model(), n_lags=7, clip=True, fill_value=None)
+    c0, *ws = AR_WEIGHTS
+    line = lso.LinearScorer([f"visitors_lag{k}" for k in range(1, len(ws) + 1)], ws, c0)
+    out = forecast.recursive_forecast(te, line, n_lags=7, clip=True, fill_value=None)
     return out.select("id", "air_store_id", "visit_date", rnd("log_visitors").alias("log_visitors"),
                       rnd("visitors").alias("visitors"), rnd("visitors_lag1").alias("visitors_lag1"),
                       rnd("visitors_lag3").alias("visitors_lag3"))
@@ -748,6 +751,37 @@ def q_kmeans_cluster(spark, sf_dir):
     return out.select("air_store_id", "cluster").distinct()
 
 
+# Fixed centres of one k-means step in SQL.
+STEP_CENTRES = ((-120.0, 30.0), (0.0, 0.0), (60.0, 45.0), (139.0, 35.0))
+
+
+@register("kmeans_step", standin.oracle_with() + f"""
+    , p as (select air_store_id, any_value(longitude) as x, any_value(latitude) as y
+            from store_info where longitude is not null and latitude is not null
+            group by air_store_id),
+    c as (select * from (values {", ".join(
+        f"({i}, {x}::double, {y}::double)" for i, (x, y) in enumerate(STEP_CENTRES))}) v(k, cx, cy)),
+    d as (select air_store_id, x, y, k, cx, cy, power(x - cx, 2) + power(y - cy, 2) as far
+          from p, c qualify row_number() over (partition by air_store_id order by far, k) = 1)
+    select c.k as cluster, round(coalesce(avg(x), any_value(c.cx)), {R}) as longitude,
+           round(coalesce(avg(y), any_value(c.cy)), {R}) as latitude, count(x) as n_stores,
+           round(coalesce(sum(far), 0), {R}) as cost
+    from c left join d on d.k = c.k group by c.k""")
+def q_kmeans_step(spark, sf_dir):
+    """M1: one move of the centres of all restarts (here one) from fixed centres."""
+    t = standin.load(spark, sf_dir)
+    points = clu._points(t.store_info, "air_store_id")
+    centres = {0: np.array(STEP_CENTRES)}
+    sums = clu.cluster_sums(points, centres)
+    fixed = spark.createDataFrame(
+        [(i, x, y) for i, (x, y) in enumerate(STEP_CENTRES)], "cluster int, cx double, cy double")
+    return fixed.join(sums.drop("restart"), "cluster", "left").select(
+        "cluster", rnd(F.coalesce(F.col("sx") / F.col("n"), "cx")).alias("longitude"),
+        rnd(F.coalesce(F.col("sy") / F.col("n"), "cy")).alias("latitude"),
+        F.coalesce("n", F.lit(0)).alias("n_stores"),
+        rnd(F.coalesce("cost", F.lit(0.0))).alias("cost"))
+
+
 _frames: dict[tuple, tuple] = {}
 
 

@@ -7,7 +7,12 @@ rows before it.  Two exact strategies:
 
 ``mode="step"`` (default; exact when the model reads lags and static columns,
 not diffs of the row's own target): step j of every store is predicted once.
-The state is one row per store holding the last ``n_lags`` values (newest
+
+A line or boosted trees are small, so they go to the tasks: the test rows are dealt out by
+store, in order of the days, and each task runs through its rows batch by batch, all stores of
+a batch side by side, with the last values of a store as its only state.  That is one
+shuffle and one job, whatever the number of steps.  Any other model is applied by Spark step by
+step: the state is one row per store holding the last ``n_lags`` values (newest
 first); each step joins the step's rows to the state, predicts, and pushes the
 prediction: ``slice(concat(array(p), state), 1, n_lags)``.  Only stores that
 still have steps stay in the state, so a step costs one row per active store.
@@ -17,7 +22,7 @@ the model, trap T1): N passes, each re-deriving lags/diffs with the window —
 but over the *frontier* only (test rows + the last ``n_lags`` train rows per
 store), never the whole history.
 
-Both keep their state in tables bucketed by store under the checkpoint
+The step-by-step ways keep their state in tables bucketed by store under the checkpoint
 directory (``spark.checkpoint.dir``): every step is a reliable lineage cut (a
 lost executor re-reads the previous step), and the per-step join or window
 finds its input already partitioned by store, so no step shuffles.  Any MLlib
@@ -26,12 +31,22 @@ finds its input already partitioned by store, so no step shuffles.  Any MLlib
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import LinearRegressionModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from footfall.functions import numeric as num
 from footfall.operators import series
-from footfall.session import cut_lineage, materialize_bucketed
+from footfall.plans.boosting import BoostedTrees, bin_codes
+from footfall.plans.lasso import LinearScorer
+from footfall.session import cut_lineage, materialize_bucketed, ship_package
 
 # Bytes of one bucket of the forecast's tables (one row per store and step).
 BUCKET_BYTES = 64 << 20
@@ -62,6 +77,75 @@ def _predict(model, rows: DataFrame, fill_value: float | None, lag_cols: list[st
     return out.withColumn("__p", p)
 
 
+Score = Callable[[np.ndarray], np.ndarray]
+
+
+def in_task_scorer(model) -> tuple[list[str], Score] | None:
+    """The model's features and a function of their values (rows x features), if it is a line
+    or boosted trees; a missing value gives a missing prediction of a line."""
+    if isinstance(model, PipelineModel) and len(model.stages) == 2:
+        assembler, fitted = model.stages
+        if isinstance(assembler, VectorAssembler) and isinstance(fitted, LinearRegressionModel):
+            model = LinearScorer(assembler.getInputCols(), fitted.coefficients.toArray(),
+                                 fitted.intercept)
+    if isinstance(model, LinearScorer):
+        weights, constant = np.asarray(model.coefficients, float), float(model.intercept)
+        used = np.flatnonzero(weights)
+        return list(model.features), lambda x: constant + x[:, used] @ weights[used]
+    if isinstance(model, BoostedTrees):
+        def trees(x: np.ndarray) -> np.ndarray:
+            codes = bin_codes(x, model.borders)
+            return model.start + sum((t.value[t.leaf_of(codes)] for t in model.trees),
+                                     np.zeros(len(x)))
+        return list(model.features), trees
+    return None
+
+
+def _in_tasks(test_rows: DataFrame, features: list[str], score: Score, n_lags: int, clip: bool,
+              fill_value: float | None) -> DataFrame:
+    """``test_rows`` with ``__p`` and the lags that each prediction was made from."""
+    lag_cols = [_lag_name(k) for k in range(1, n_lags + 1)]
+    rows = test_rows.withColumns({c: F.col(c).cast("double") for c in lag_cols})
+    schema = StructType([*rows.schema.fields, StructField("__p", DoubleType())])
+    place = {c: i for i, c in enumerate(features)}
+    own = [(place[c], k) for k, c in enumerate(lag_cols) if c in place]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        store, state = None, None       # of the last row so far
+        for batch in batches:
+            if not len(batch):
+                continue
+            names = batch[STORE].to_numpy(object)
+            begins = np.flatnonzero(np.r_[True, names[1:] != names[:-1]])
+            sizes = np.diff(np.r_[begins, len(names)])
+            lags = batch[lag_cols].to_numpy(float)
+            x = np.column_stack([pd.to_numeric(batch[c]).to_numpy(float) for c in features]) \
+                if features else np.zeros((len(batch), 0))
+            out = np.full(len(batch), np.nan)
+            if names[0] == store:
+                lags[0] = state
+            for j in range(int(sizes.max())):
+                at = begins[sizes > j] + j
+                if j:
+                    lags[at, 1:] = lags[at - 1, :-1]
+                    lags[at, 0] = out[at - 1]
+                inputs = x[at]
+                for f, k in own:
+                    value = lags[at, k]
+                    inputs[:, f] = value if fill_value is None else np.where(
+                        np.isnan(value), fill_value, value)
+                p = score(inputs)
+                out[at] = np.where(p < 0, 0.0, p) if clip else p
+            store, state = names[-1], np.r_[out[-1], lags[-1, :-1]]
+            done = batch.copy()
+            done[lag_cols] = lags
+            done["__p"] = out
+            yield done
+
+    ordered = rows.repartition(STORE).sortWithinPartitions(STORE, DAY)
+    return ordered.mapInPandas(run, schema)
+
+
 def recursive_forecast(test_rows: DataFrame, model, n_lags: int = 7, clip: bool = True,
                        fill_value: float | None = -1.0, mode: str = "step",
                        train_rows: DataFrame | None = None, prediction: str = "prediction",
@@ -82,6 +166,11 @@ def recursive_forecast(test_rows: DataFrame, model, n_lags: int = 7, clip: bool
     diff_cols = [c for c in test_rows.columns if c.startswith(series.DIFF_PREFIX)]
     base = test_rows.drop(prediction, *diff_cols) if prediction in test_rows.columns \
         else test_rows.drop(*diff_cols)
+    scorer = in_task_scorer(model)
+    if scorer and set(scorer[0]) <= set(base.columns):
+        ship_package(spark)
+        return _finish(_in_tasks(base, *scorer, n_lags, clip, fill_value), lag_cols, diff_cols,
+                       prediction)
     # Step rows and the per-step state are tables bucketed by store with the
     # same bucket count, so each step's join runs without a shuffle, and each
     # step is a reliable lineage cut.  The step rows lie in one directory per step, so

@@ -10,14 +10,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import (GBTRegressor, GeneralizedLinearRegression, LinearRegression,
-                                  RandomForestRegressor)
+from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from footfall.plans.newton import Logit, fit_logit
+
 TARGETS = ["visitors", "log_visitors"]
 IDS = ["air_store_id", "id", "air_store_id2"]
 
@@ -81,35 +82,27 @@ def gradient_boosting(max_iter: int = 1000, step_size: float = 0.01, max_depth:
 
 @dataclass
 class LargePartyModel:
-    model: PipelineModel
+    fit: Logit
     features: list[str]
     threshold: float = 0.5
 
     def flag(self, df: DataFrame, out: str = "large_party") -> DataFrame:
         """P(large party) >= threshold -> 1.0, else 0.0."""
-        scored = self.model.transform(df)
-        cols = [c for c in df.columns if c != out]
-        return scored.select(*cols, F.when(F.col("__p_large") >= self.threshold, 1.0)
-                             .otherwise(0.0).alias(out))
+        odds = F.lit(0.0)
+        for c, b in zip(self.features, self.fit.coefficients):
+            odds = odds + F.lit(float(b)) * F.col(c).cast("double")
+        sure = F.lit(1.0) / (F.lit(1.0) + F.exp(-odds))
+        return df.withColumn(out, F.when(sure >= self.threshold, 1.0).otherwise(0.0))
 
     @property
     def coefficients(self):
-        return self.model.stages[-1].coefficients.toArray()
+        return self.fit.coefficients
 
 
 def large_party_classifier(train: DataFrame, features: list[str], label: str = "large_party",
                            threshold: float = 0.5) -> LargePartyModel:
-    """M2: maximum-likelihood logit without intercept.
+    """M2: maximum-likelihood logit without intercept, by Newton steps (``plans.newton``).
 
-    Fitted by iteratively reweighted least squares (MLlib's binomial GLM):
-    each Newton step is one distributed pass for XᵀWX and XᵀW z.  The step
-    budget and tolerance are those of the original's Newton solver (35 steps,
-    1e-8).
+    The step budget and tolerance are those of the original's Newton solver (35 steps, 1e-8).
     """
-    glm = GeneralizedLinearRegression(family="binomial", link="logit", fitIntercept=False,
-                                      regParam=0.0, maxIter=35, tol=1e-8,
-                                      featuresCol="features", labelCol=label,
-                                      predictionCol="__p_large")
-    pipe = Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="features",
-                                            handleInvalid="keep"), glm])
-    return LargePartyModel(pipe.fit(train), features, threshold)
+    return LargePartyModel(fit_logit(train, features, label), features, threshold)

@@ -7,6 +7,7 @@ and then on the driver, which receives at most ``GROUPS`` factors of p x p numbe
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,39 +23,51 @@ GROUPS = 256
 class Factor:
     r: np.ndarray       # p x p, upper triangular up to signs
     n: int              # rows
+    sums: np.ndarray    # what ``design`` adds up beside
 
 
-def triangular_factor(df: DataFrame, columns: list[str], constant: bool = False) -> Factor:
-    """R of ``columns`` (after a column of ones if ``constant``); rows with a null are skipped."""
+def triangular_factor(df: DataFrame, columns: list[str], constant: bool = False,
+                      design: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]] | None = None,
+                      sums: int = 0) -> Factor:
+    """R of ``columns`` (after a column of ones if ``constant``); rows with a null are skipped.
+
+    ``design`` makes the rows to be reduced from those of ``columns``, as many columns, and
+    ``sums`` numbers that are added up over all rows.
+    """
     cols = [F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(columns)]
     names = [f"x{i}" for i in range(len(columns))]
     p = len(columns) + int(constant)
-    out = "task long, n long, r binary"
+    out = "task long, n long, r binary, sums binary"
 
     def reduce_rows(batches):
-        r, n = np.zeros((0, p)), 0
+        r, n, total = np.zeros((0, p)), 0, np.zeros(sums)
         for batch in batches:
             z = batch.to_numpy(dtype=float)
             n += len(z)
             if constant:
                 z = np.column_stack([np.ones(len(z)), z])
+            if design:
+                z, more = design(z)
+                total = total + more
             r = np.linalg.qr(np.vstack([r, z]), mode="r")
         if n:
             yield pd.DataFrame({"task": [TaskContext.get().partitionId()], "n": [n],
-                                "r": [r.tobytes()]})
+                                "r": [r.tobytes()], "sums": [total.tobytes()]})
 
     def merge(group: pd.DataFrame) -> pd.DataFrame:
         stack = np.vstack([np.frombuffer(b).reshape(-1, p) for b in group["r"]])
         return pd.DataFrame({"n": [int(group["n"].sum())],
-                             "r": [np.linalg.qr(stack, mode="r").tobytes()]})
+                             "r": [np.linalg.qr(stack, mode="r").tobytes()],
+                             "sums": [sum(map(np.frombuffer, group["sums"])).tobytes()]})
 
     tasks = df.select(*cols).dropna(subset=names).mapInPandas(reduce_rows, out)
     merged = tasks.groupBy(F.pmod("task", F.lit(GROUPS)).alias("g")).applyInPandas(
-        merge, "n long, r binary").collect()
-    r, n = np.zeros((0, p)), 0
+        merge, "n long, r binary, sums binary").collect()
+    r, n, total = np.zeros((0, p)), 0, np.zeros(sums)
     for row in merged:
         r = np.linalg.qr(np.vstack([r, np.frombuffer(row["r"]).reshape(-1, p)]), mode="r")
         n += row["n"]
+        total = total + np.frombuffer(row["sums"])
     full = np.zeros((p, p))
     full[:len(r)] = r
-    return Factor(full, n)
+    return Factor(full, n, total)
