@@ -578,6 +578,24 @@ def q_store_order_folds(spark, sf_dir):
     return fold_ops.with_fold(rows, "store")
 
 
+@register("store_dow_stats_by_fold", all_ctes() + ", " + "{} as ({})".format(*_fold_cte("tr")) + f"""
+    select air_store_id, dow, cast(f as integer) as fold, min(visitors) as min_visitors,
+           round(avg(visitors), {R}) as mean_visitors, round(median(visitors), {R}) as median_visitors,
+           max(visitors) as max_visitors, count(visitors) as count_observations
+    from o, (select unnest(range(1, 6)) as f)
+    where fold < f and air_store_id is not null and visitors is not null group by 1, 2, 3""")
+def q_store_dow_stats_by_fold(spark, sf_dir):
+    """A3-A7 per expanding window (trap T13): no test row in its own statistics."""
+    t = standin.load(spark, sf_dir)
+    rows = fold_ops.with_fold(series.visit_features(t.visits).select(
+        "air_store_id", "visit_date", "dow", "visitors"))
+    out = store_dim.store_dow_stats_by_fold(rows)
+    return out.select("air_store_id", "dow", "fold", "min_visitors",
+                      rnd("mean_visitors").alias("mean_visitors"),
+                      rnd("median_visitors").alias("median_visitors"), "max_visitors",
+                      "count_observations")
+
+
 @register("rmsle", all_ctes() + ", " + "{} as ({})".format(*_fold_cte("panel", "where subset = 'train'"))
           + f"""
     select fold, round(sqrt(avg(power(log_visitors - visitors_lag1, 2))), {R}) as rmsle
@@ -875,8 +893,7 @@ def q_vif_table(spark, sf_dir):
 def q_linear_cv(spark, sf_dir):
     """M5 + M11: ordered CV of least squares on the second predictor list."""
     train, _ = _model_frames(spark, sf_dir)
-    scores = ocv.time_series_cv(train, mdl.linear_regression(True), mdl.OLS_FEATURES_2)
-    return ocv.cv_table(spark, "linear", scores)
+    return ocv.cv_table(spark, "linear", ocv.linear_cv(train, mdl.OLS_FEATURES_2))
 
 
 @register("lasso_score")
@@ -973,6 +990,32 @@ def q_linear_cv_single(spark, sf_dir):
 
 
 
+_X12_FOLDS = ("o", f"""select *, {_FOLD_SQL} as fold from (
+                 select log_visitors as y, visitors_lag1 as x, visitors_lag2 as z,
+                        row_number() over (order by visit_date, air_store_id) - 1 as ordinal,
+                        count(*) over () as n
+                 from panel where subset = 'train' and visitors_lag1 is not null
+                   and visitors_lag2 is not null and log_visitors is not null)""")
+
+
+@register("linear_cv_pair", all_ctes() + ", " + ", ".join(
+    f"{n} as ({s})" for n, s in [_X12_FOLDS, _SPLITS]) + f"""
+    , m as (select s.split, avg(x) as mx, avg(z) as mz, avg(y) as my, var_pop(x) as xx,
+                   var_pop(z) as zz, covar_pop(x, z) as xz, covar_pop(x, y) as xy,
+                   covar_pop(z, y) as zy
+            from splits s join o on o.fold < s.split group by s.split)
+    , b as (select *, (zz * xy - xz * zy) / (xx * zz - xz * xz) as u,
+                   (xx * zy - xz * xy) / (xx * zz - xz * xz) as v from m)
+    select 'linear' as model, b.split as fold,
+           round(sqrt(avg(power(y - my - u * (x - mx) - v * (z - mz), 2))), {R}) as rmsle
+    from b join o on o.fold = b.split group by b.split""")
+def q_linear_cv_pair(spark, sf_dir):
+    """M11 + M5 on two features, from one factor per fold instead of five fits."""
+    scores = ocv.linear_cv(_xy_rows(spark, sf_dir), ["visitors_lag1", "visitors_lag2"])
+    return ocv.cv_table(spark, "linear", scores).select("model", "fold",
+                                                        rnd("rmsle").alias("rmsle"))
+
+
 @register("ols_pair", all_ctes() + ", " + "{} as ({})".format(*_XY_CTE) + f"""
     , s as (select count(*) as n, sum(x1 * x1) as s11, sum(x2 * x2) as s22, sum(x1 * x2) as s12,
                    sum(x1 * y) as s1y, sum(x2 * y) as s2y, sum(y * y) as syy from xy)
@@ -1008,7 +1051,8 @@ def _cte(*pairs) -> str:
 
 
 @register("ols_stats_single", _TR_PANEL + _cte(_XY_CTE) + """
-    , c as (select count(*) as n, sum(x1 * y) / sum(x1 * x1) as b, sum(y * y) as syy from xy)
+    , c as (select count(*) as n, sum(x1 * y) / sum(x1 * x1) as b, sum(y * y) as syy,
+                   sum(x1 * x1) as sxx from xy)
     , e as (select p.air_store_id, p.visit_date, p.log_visitors - c.b * p.visitors_lag1 as e
             from panel p, c where subset = 'train' and visitors_lag1 is not null
               and visitors_lag2 is not null and log_visitors is not null)
@@ -1017,28 +1061,54 @@ def _cte(*pairs) -> str:
                    avg(power(e - mean, 4)) as m4 from e, m)
     , d as (select sum(power(e - before, 2)) as num
             from (select e, lag(e) over (order by air_store_id, visit_date) as before from e))
-    , s as (select n, syy, sse, -n / 2.0 * (ln(2 * pi()) + ln(sse / n) + 1) as loglik,
-                   m3 / power(m2, 1.5) as skew, m4 / (m2 * m2) as kurt, num / sse as dw
+    , s as (select n::double as n, syy, sse, b, -n / 2.0 * (ln(2 * pi()) + ln(sse / n) + 1) as loglik,
+                   m3 / power(m2, 1.5) as skew, m4 / (m2 * m2) as kurt, num / sse as dw,
+                   sqrt(sse / (n - 1) / sxx) as se
             from c, k, d)
+    -- normal transforms of skew and kurtosis, and Student's quantile from the normal one
+    , o1 as (select *, skew * sqrt((n + 1) * (n + 3) / (6 * (n - 2))) as y,
+                    sqrt(2 * (3 * (n * n + 27 * n - 70) * (n + 1) * (n + 3)
+                              / ((n - 2) * (n + 5) * (n + 7) * (n + 9)) - 1)) - 1 as w2,
+                    (kurt - 3 * (n - 1) / (n + 1)) / sqrt(24 * n * (n - 2) * (n - 3)
+                        / ((n + 1) * (n + 1) * (n + 3) * (n + 5))) as x,
+                    6 * (n * n - 5 * n + 2) / ((n + 7) * (n + 9)) * sqrt(
+                        6 * (n + 3) * (n + 5) / (n * (n - 2) * (n - 3))) as t,
+                    1.959963984540054 as z, n - 1 as v
+             from s)
+    , o2 as (select *, 6 + 8 / t * (2 / t + sqrt(1 + 4 / (t * t))) as a,
+                    z + (power(z, 3) + z) / (4 * v)
+                      + (5 * power(z, 5) + 16 * power(z, 3) + 3 * z) / (96 * v * v) as q
+             from o1)
+    , o3 as (select *, power(asinh(y * sqrt((w2 - 1) / 2)) / sqrt(0.5 * ln(w2)), 2)
+                    + power((1 - 2 / (9 * a) - cbrt((1 - 2 / a) / (1 + x * sqrt(2 / (a - 4)))))
+                            / sqrt(2 / (9 * a)), 2) as k2 from o2)
     select round((syy - sse) / (sse / (n - 1)), 3) as f_stat, round(loglik, 4) as loglik,
            round(-2 * loglik + 2, 4) as aic, round(-2 * loglik + ln(n), 4) as bic,
            round(skew, 6) as skew, round(kurt, 6) as kurtosis,
            round(n / 6.0 * (skew * skew + power(kurt - 3, 2) / 4), 4) as jarque_bera,
-           round(dw, 6) as durbin_watson
-    from s""")
+           round(dw, 6) as durbin_watson, round(k2, 3) as omnibus,
+           round(exp(-k2 / 2), 6) as prob_omnibus, 0.0::double as prob_f,
+           round(exp(-n / 12.0 * (skew * skew + power(kurt - 3, 2) / 4)), 6) as prob_jb,
+           1.0::double as condition_number,
+           round(b - q * se, 6) as ci_low, round(b + q * se, 6) as ci_high
+    from o3""")
 def q_ols_stats_single(spark, sf_dir):
     """M3: the summary figures of a one-feature fit without a constant."""
-    _, stats, _ = diagnostics.ols(_xy_rows(spark, sf_dir), ["visitors_lag1"])
+    table, stats, _ = diagnostics.ols(_xy_rows(spark, sf_dir), ["visitors_lag1"])
     digits = {"f_stat": 3, "loglik": 4, "aic": 4, "bic": 4, "skew": 6, "kurtosis": 6,
-              "jarque_bera": 4, "durbin_watson": 6}
-    return spark.range(1).select(*[F.round(F.lit(float(stats[k])), d).alias(k)
-                                   for k, d in digits.items()])
+              "jarque_bera": 4, "durbin_watson": 6, "omnibus": 3, "prob_omnibus": 6,
+              "prob_f": 6, "prob_jb": 6, "condition_number": 6}
+    return table.select(*[F.round(F.lit(float(stats[k])), d).alias(k) for k, d in digits.items()],
+                        rnd("ci_low").alias("ci_low"), rnd("ci_high").alias("ci_high"))
 
 
 @register("vif_collinear", _TR_PANEL + _cte(_XY_CTE) + f"""
-    , s as (select sum(x2 * x2) as s22, sum(cast(1 as double)) as n, sum(x2) as s2 from xy)
-    select f as features, true as collinear, cast(null as double) as vif_factor
-    from (values ('visitors_lag1'), ('twice')) v(f)""")
+    -- 1 - r² of the column and its multiple, from the rows
+    , s as (select 1 - power(sum(x1 * (x1 * 2e7)), 2)
+                   / (sum(x1 * x1) * sum((x1 * 2e7) * (x1 * 2e7))) as left_over from xy)
+    select f as features, abs(left_over) < 1e-12 as collinear,
+           case when abs(left_over) >= 1e-12 then 1 / left_over end as vif_factor
+    from s, (values ('visitors_lag1'), ('twice')) v(f)""")
 def q_vif_collinear(spark, sf_dir):
     """M4: a column and its double are exactly collinear, whatever their size."""
     rows = _xy_rows(spark, sf_dir).withColumn("twice", F.col("visitors_lag1") * 2e7)
@@ -1287,6 +1357,40 @@ def q_csv_round_trip(spark, sf_dir):
                                       F.to_date("visit_date").alias("visit_date"), "visitors")
 
 
+# Lines that don't fit the schema: a word for a number, a field too many, a broken date.
+_PLANTED = """case when visitors % 7 = 0 then concat(air_store_id, ',', {d}, ',many')
+                   when visitors % 7 = 1 then concat(air_store_id, ',', {d}, ',', {v}, ',more')
+                   when visitors % 7 = 2 then concat(air_store_id, ',2017-13-45,', {v})
+                   else concat(air_store_id, ',', {d}, ',', {v}) end"""
+
+
+@register("csv_bad_rows", standin.oracle_with() + f"""
+    , l as (select *, {_PLANTED.format(d="cast(visit_date as varchar)",
+                                       v="cast(visitors as varchar)")} as line from visits)
+    select 'good' as outcome, air_store_id || ' ' || visit_date || ' ' || visitors as content
+    from l where visitors % 7 > 2
+    union all select 'rejected', line from l where visitors % 7 <= 2""")
+def q_csv_bad_rows(spark, sf_dir):
+    """S1 with bad rows: what fits is read, the rest is written as it stands."""
+    import uuid
+    from footfall.sources import schemas
+    from footfall.sources import tables as tab
+    t = standin.load(spark, sf_dir)
+    ensure_checkpoint_dir(spark)
+    root = f"{spark.sparkContext.getCheckpointDir().rstrip('/')}/csv/{uuid.uuid4().hex}"
+    planted = _PLANTED.format(d="cast(visit_date as string)", v="cast(visitors as string)")
+    schema = next(sch for attr, sch in schemas.CSV_FILES.values() if attr == "visits")
+    lines = t.visits.select("air_store_id", "visit_date", "visitors").selectExpr(
+        f"{planted} as value")
+    lines.write.text(f"{root}/lines")
+    good, bad = tab.read_csv_checked(spark, f"{root}/lines", schema, f"{root}/rejected",
+                                     header=False)
+    return good.select(F.lit("good").alias("outcome"), F.concat_ws(
+        " ", "air_store_id", F.to_date("visit_date").cast("string"),
+        F.col("visitors").cast("long").cast("string")).alias("content")).union(
+        bad.select(F.lit("rejected"), "line"))
+
+
 # Fixed-point forecast with a difference among the features: intercept, lag 1, diff 1.
 FIXED_POINT_WEIGHTS = (0.4, 0.6, 0.25)
 FIXED_POINT_PASSES = 11     # distinct test days of the stand-in, at every scale

@@ -48,11 +48,7 @@ def fold_starts(df: DataFrame, order: str | list[str] = "time", n_splits: int =
     at most ``n_splits`` keys are numbered to find the row itself.
     """
     lead, then = ORDERS[order] if isinstance(order, str) else order
-    counts = df.groupBy(lead).agg(F.count(F.lit(1)).alias("n"))
-    # one row per day (or store), not per data row
-    running = cut_lineage(counts.withColumn("upto", F.sum("n").over(
-        Window.orderBy(F.col(lead).asc_nulls_first()))))
-    n = running.agg(F.max("upto")).first()[0] or 0
+    running, n = running_counts(df.groupBy(lead).agg(F.count(F.lit(1)).alias("n")), lead)
     size = n // (n_splits + 1)
     if not size:
         return []
@@ -71,6 +67,28 @@ def fold_starts(df: DataFrame, order: str | list[str] = "time", n_splits: int =
     return sorted((r[lead], r[then]) for r in found)
 
 
+def running_counts(counts: DataFrame, lead: str) -> tuple[DataFrame, int]:
+    """``counts`` (``lead``, n) with ``upto``, the sum of n up to and with each row, and the whole sum.
+
+    A prefix sum on two levels: the rows lie in range partitions of ``lead``; each
+    partition's total (one number a partition) gives the offsets of the next ones, and the sums
+    inside a partition need its rows alone.
+    """
+    parts = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    key = F.col(lead).asc_nulls_first()
+    dealt = cut_lineage(counts.repartitionByRange(parts, key)
+                        .withColumn("__part", F.spark_partition_id()))
+    offsets, total = {}, 0
+    for r in sorted(dealt.groupBy("__part").agg(F.sum("n").alias("n")).collect()):
+        offsets[r["__part"]] = total
+        total += r["n"]
+    before = F.element_at(F.create_map(*[F.lit(x).cast("long") for kv in offsets.items()
+                                         for x in kv]) if offsets else F.create_map(
+        F.lit(0).cast("long"), F.lit(0).cast("long")), F.col("__part").cast("long"))
+    inside = F.sum("n").over(Window.partitionBy("__part").orderBy(key))
+    return cut_lineage(dealt.withColumn("upto", inside + before).drop("__part")), total
+
+
 def with_fold(df: DataFrame, order: str | list[str] = "time", n_splits: int = 5,
               out: str = "fold") -> DataFrame:
     """Add ``out`` by comparing each row's order keys with the folds' first rows.

@@ -45,6 +45,26 @@ def store_dow_stats(train_rows: DataFrame) -> DataFrame:
                  F.count("visitors").alias("count_observations")))
 
 
+def store_dow_stats_by_fold(rows: DataFrame, n_splits: int = 5) -> DataFrame:
+    """The statistics of each expanding window (trap T13): ``fold`` i has those of the rows of all
+    folds before i, so that no test row takes part in its own inputs.
+
+    Rows are counted once per (store, dow, fold, value); the counts of the earlier folds add
+    up to those of a window, and the exact median is the one of the counted values.
+    """
+    counts = rows.where(F.col(STORE).isNotNull() & F.col("dow").isNotNull()
+                        & F.col("visitors").isNotNull()).groupBy(
+        STORE, "dow", F.col("fold").alias("__of"), "visitors").agg(F.count(F.lit(1)).alias("__n"))
+    windows = counts.where(F.col("__of") < n_splits).withColumn(
+        "fold", F.explode(F.sequence(F.col("__of") + 1, F.lit(n_splits))))
+    summed = windows.groupBy(STORE, "dow", "fold", "visitors").agg(F.sum("__n").alias("__n"))
+    return summed.groupBy(STORE, "dow", "fold").agg(
+        F.min("visitors").alias("min_visitors"),
+        (F.sum(F.col("visitors") * F.col("__n")) / F.sum("__n")).alias("mean_visitors"),
+        F.expr("percentile(visitors, 0.5, __n)").alias("median_visitors"),
+        F.max("visitors").alias("max_visitors"), F.sum("__n").alias("count_observations"))
+
+
 def attach_stats(grid: DataFrame, stats: DataFrame) -> DataFrame:
     """One left join of the statistics onto the grid."""
     return grid.join(stats, [STORE, "dow"], "left")

@@ -118,6 +118,51 @@ def t_two_sided_p(t: float, dof: float) -> float:
     return _betainc(dof / 2.0, 0.5, dof / (dof + t * t))
 
 
+def t_quantile(share: float, dof: float) -> float:
+    """The value that Student's t stays below with probability ``share``, by bisection of the
+    incomplete beta function."""
+    if share == 0.5 or not dof > 0:
+        return 0.0 if share == 0.5 else float("nan")
+    tail = 2.0 * min(share, 1.0 - share)
+    low, high = 0.0, 1.0
+    while t_two_sided_p(high, dof) > tail:
+        high *= 2.0
+    while high - low > 1e-14 * high:
+        middle = (low + high) / 2.0
+        if middle in (low, high):
+            break
+        low, high = (middle, high) if t_two_sided_p(middle, dof) > tail else (low, middle)
+    return math.copysign((low + high) / 2.0, share - 0.5)
+
+
+def f_upper_p(f: float, df_model: float, dof: float) -> float:
+    """P(F >= f)."""
+    if not (f >= 0 and df_model > 0 and dof > 0):
+        return float("nan")
+    return _betainc(dof / 2.0, df_model / 2.0, dof / (dof + df_model * f))
+
+
+def omnibus(skew: float, kurt: float, n: int) -> float:
+    """D'Agostino's K²: the sum of squares of the normal transforms of skew and kurtosis."""
+    if n < 8 or not (math.isfinite(skew) and math.isfinite(kurt)):
+        return float("nan")
+    y = skew * math.sqrt((n + 1) * (n + 3) / (6.0 * (n - 2)))
+    beta2 = 3.0 * (n * n + 27 * n - 70) * (n + 1) * (n + 3) / (
+        (n - 2.0) * (n + 5) * (n + 7) * (n + 9))
+    w2 = math.sqrt(2.0 * (beta2 - 1)) - 1
+    z_skew = math.asinh(y * math.sqrt((w2 - 1) / 2.0)) / math.sqrt(0.5 * math.log(w2))
+    mean = 3.0 * (n - 1) / (n + 1)
+    var = 24.0 * n * (n - 2) * (n - 3) / ((n + 1.0) ** 2 * (n + 3) * (n + 5))
+    x = (kurt - mean) / math.sqrt(var)
+    third = 6.0 * (n * n - 5 * n + 2) / ((n + 7.0) * (n + 9)) * math.sqrt(
+        6.0 * (n + 3) * (n + 5) / (n * (n - 2.0) * (n - 3)))
+    a = 6.0 + 8.0 / third * (2.0 / third + math.sqrt(1 + 4.0 / third ** 2))
+    root = (1 - 2.0 / a) / (1 + x * math.sqrt(2.0 / (a - 4)))
+    z_kurt = (1 - 2.0 / (9 * a) - math.copysign(abs(root) ** (1 / 3), root)) / math.sqrt(
+        2.0 / (9 * a))
+    return z_skew ** 2 + z_kurt ** 2
+
+
 def ols(df: DataFrame, features: list[str], label: str = "log_visitors",
         fit_intercept: bool = False, order: str = "store", residual_stats: bool = True):
     """M3: least squares with the inference table of a regression summary.
@@ -139,10 +184,13 @@ def ols(df: DataFrame, features: list[str], label: str = "log_visitors",
     se = np.sqrt(np.maximum(np.diag(inv), 0.0) * sigma2)
     tv = np.divide(beta, se, out=np.full_like(beta, np.nan), where=se > 0)
     pv = [t_two_sided_p(float(t), dof) for t in tv]
+    reach = t_quantile(0.975, dof) if dof > 0 else float("nan")
     table = df.sparkSession.createDataFrame(
-        [(nm, float(c), float(e), float(t), float(p))
+        [(nm, float(c), float(e), float(t), float(p), float(c - reach * e), float(c + reach * e))
          for nm, c, e, t, p in zip(names, beta, se, tv, pv)],
-        "feature string, coef double, std_err double, t_value double, p_value double")
+        "feature string, coef double, std_err double, t_value double, p_value double, "
+        "ci_low double, ci_high double")
+    sizes = np.linalg.svd(x, compute_uv=False)
 
     coefs = dict(zip(names, (float(x) for x in beta)))
     fitted = F.lit(coefs.get("const", 0.0))
@@ -161,13 +209,20 @@ def ols(df: DataFrame, features: list[str], label: str = "log_visitors",
     kurt = float(a["kurt"]) + 3.0 if a["kurt"] is not None else float("nan")
     skew = float(a["skew"]) if a["skew"] is not None else float("nan")
     df_model = rank - (1 if fit_intercept else 0)
+    k2 = omnibus(skew, kurt, n)
+    jb = n / 6.0 * (skew ** 2 + (kurt - 3.0) ** 2 / 4.0)
+    f_stat = (r2 / df_model) / ((1 - r2) / dof) if df_model and r2 < 1 and dof > 0 \
+        else float("nan")
     stats = {
         "n": int(n), "rank": rank, "r2": r2,
         "adj_r2": 1 - (1 - r2) * (n - (1 if fit_intercept else 0)) / dof if dof > 0 else float("nan"),
-        "f_stat": (r2 / df_model) / ((1 - r2) / dof) if df_model and r2 < 1 and dof > 0 else float("nan"),
+        "f_stat": f_stat, "prob_f": f_upper_p(f_stat, df_model, dof),
         "loglik": loglik, "aic": -2 * loglik + 2 * rank, "bic": -2 * loglik + rank * math.log(n),
         "skew": skew, "kurtosis": kurt,
-        "jarque_bera": n / 6.0 * (skew ** 2 + (kurt - 3.0) ** 2 / 4.0),
+        "jarque_bera": jb, "prob_jb": math.exp(-jb / 2.0),
+        "omnibus": k2, "prob_omnibus": math.exp(-k2 / 2.0),
+        "condition_number": float(sizes[0] / sizes[-1]) if len(sizes) and sizes[-1] > 0
+        else float("inf"),
         "durbin_watson": durbin_watson(resid, order) if residual_stats else float("nan"),
     }
     return table, stats, coefs

@@ -71,3 +71,48 @@ def triangular_factor(df: DataFrame, columns: list[str], constant: bool = False,
     full = np.zeros((p, p))
     full[:len(r)] = r
     return Factor(full, n, total)
+
+
+def factors_by(df: DataFrame, columns: list[str], key: str, constant: bool = False
+               ) -> dict[int, Factor]:
+    """The factor of ``columns`` for each value of the integer column ``key``, in one pass.
+
+    Factors merge (``merged``), so those of parts give that of any union of them.
+    """
+    cols = [F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(columns)]
+    names = [f"x{i}" for i in range(len(columns))]
+    p = len(columns) + int(constant)
+
+    def reduce_rows(batches):
+        of: dict[int, tuple[np.ndarray, int]] = {}
+        for batch in batches:
+            for k, rows in batch.groupby("key", sort=False):
+                z = rows[names].to_numpy(dtype=float)
+                if constant:
+                    z = np.column_stack([np.ones(len(z)), z])
+                r, n = of.get(k, (np.zeros((0, p)), 0))
+                of[k] = np.linalg.qr(np.vstack([r, z]), mode="r"), n + len(z)
+        task = TaskContext.get().partitionId()
+        if of:
+            yield pd.DataFrame([(k, task, n, r.tobytes()) for k, (r, n) in of.items()],
+                               columns=["key", "task", "n", "r"])
+
+    def merge(group: pd.DataFrame) -> pd.DataFrame:
+        stack = np.vstack([np.frombuffer(b).reshape(-1, p) for b in group["r"]])
+        return pd.DataFrame({"key": [group["key"].iloc[0]], "n": [int(group["n"].sum())],
+                             "r": [np.linalg.qr(stack, mode="r").tobytes()]})
+
+    tasks = df.select(F.col(key).cast("int").alias("key"), *cols).dropna(
+        subset=["key", *names]).mapInPandas(reduce_rows, "key int, task long, n long, r binary")
+    out: dict[int, Factor] = {}
+    for row in tasks.groupBy("key", F.pmod("task", F.lit(GROUPS)).alias("g")).applyInPandas(
+            merge, "key int, n long, r binary").collect():
+        part = Factor(np.frombuffer(row["r"]).reshape(-1, p), row["n"], np.zeros(0))
+        out[row["key"]] = merged([out[row["key"]], part]) if row["key"] in out else part
+    return out
+
+
+def merged(factors: list[Factor]) -> Factor:
+    """The factor of all rows behind ``factors``."""
+    r = np.linalg.qr(np.vstack([f.r for f in factors]), mode="r")
+    return Factor(r, sum(f.n for f in factors), np.zeros(0))

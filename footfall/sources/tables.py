@@ -6,6 +6,8 @@ import os
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from footfall.sources import schemas
 
@@ -29,6 +31,27 @@ def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
             .option("mode", "FAILFAST").csv(path))
 
 
+BAD_LINE = "_bad_line"
+
+
+def read_csv_checked(spark: SparkSession, path: str, schema, rejected: str, header: bool = True
+                     ) -> tuple[DataFrame, DataFrame]:
+    """S1 for files with bad rows: (rows that fit the schema, rejected lines).
+
+    A line with a value that its column's type can't take, or with too many or too few
+    fields, is written to ``rejected`` as it is, one per row, and left out.
+    """
+    marked = (spark.read.schema(StructType([*schema.fields, StructField(BAD_LINE, StringType())]))
+              .option("header", header).option("mode", "PERMISSIVE")
+              .option("columnNameOfCorruptRecord", BAD_LINE).csv(path))
+    # all columns are parsed: with fewer a bad value could go unseen
+    kept = marked.cache()
+    bad = write_snapshot(kept.where(F.col(BAD_LINE).isNotNull()).select(
+        F.col(BAD_LINE).alias("line")), rejected)
+    good = kept.where(F.col(BAD_LINE).isNull()).select(*schema.fieldNames())
+    return good, bad
+
+
 def read_csv_tables(spark: SparkSession, data_dir: str) -> Tables:
     """The original CSV layout, one file (or directory of parts) each."""
     frames = {attr: read_csv(spark, os.path.join(data_dir, name), schema)
