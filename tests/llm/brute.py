@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import Counter, defaultdict
 
@@ -253,3 +254,49 @@ def language(text, profiles, size):
            for k, p in profiles.items()}
     best = min(far, key=lambda k: (far[k], k))
     return best, 1.0 - far[best] / (size * len(found))
+
+
+CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}")
+
+
+def entropy(window):
+    return -sum(window.count(c) / len(window) * math.log2(window.count(c) / len(window))
+                for c in set(window))
+
+
+def entropy_spans(text, cut, allow, window=20):
+    """Runs of characters under windows of high entropy, outside base spans and allowed words."""
+    chars = list(text or "")
+    for a, _, b in base_spans(text):
+        chars[a:b] = " " * (b - a)
+    for m in re.finditer(cut, "".join(chars)):
+        chars[m.start():m.end()] = " " * (m.end() - m.start())
+    out = []
+    for m in CANDIDATE.finditer("".join(chars)):
+        hit = m[0]
+        if any(re.search(p, hit) for p in allow):
+            continue
+        hexadecimal = re.fullmatch("[0-9a-f]+|[0-9A-F]+", hit)
+        bits = 3.0 if hexadecimal else 3.7
+        under = [False] * len(hit)
+        for i in range(len(hit) - window + 1):
+            if entropy(hit[i:i + window]) > bits + 1e-9:
+                under[i:i + window] = [True] * window
+        i = 0
+        while i < len(hit):
+            j = i
+            while j < len(hit) and under[j]:
+                j += 1
+            if j > i and not any(re.search(p, hit[i:j]) for p in allow):
+                out.append((m.start() + i, 3, m.start() + j))
+            i = max(j, i + 1)
+    return out
+
+
+def redacted(text, spans, mark="[REDACTED]"):
+    out, at = "", 0
+    for a, _, b in spans:
+        if a >= at:
+            out += text[at:a] + mark
+        at = max(at, b)
+    return text if not spans else out + text[at:]

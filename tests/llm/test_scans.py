@@ -6,7 +6,7 @@ import re
 import zlib
 
 import pytest
-from .brute import base_spans, edit_to_stretch, jump
+from .brute import (base_spans, edit_to_stretch, entropy, entropy_spans, jump, redacted)
 from pyspark.sql import functions as F
 
 from footfall.llm import decontaminate, licenses, queries, secrets, sharding
@@ -52,22 +52,81 @@ def test_entropy_spans(secret_docs):
 
 
 def test_incremental_entropy_equals_recount(shipped):
-    import math
+    """Also over several chunks, and with characters that leave as they enter."""
     rnd = random.Random(5)
     alphabet = "0123456789abcdef"
     texts = ["".join(rnd.choice(alphabet[:k]) for _ in range(n))
-             for k in (2, 4, 8, 16) for n in (19, 20, 21, 60)]
+             for k in (1, 2, 4, 8, 16) for n in (0, 19, 20, 21, 79, 80, 81, 300)]
     df = shipped.createDataFrame([(t,) for t in texts], "t string")
-    got = df.select("t", secrets.hot_stretch(F.col("t"), alphabet, 2.9).alias("h")).collect()
+    got = df.select("t", secrets.hot_windows(F.split("t", ""), alphabet, 2.9).alias("h")).collect()
     for r in got:
-        hot = []
-        for i in range(len(r["t"]) - 19):
-            w = r["t"][i:i + 20]
-            e = -sum(w.count(c) / 20 * math.log2(w.count(c) / 20) for c in set(w))
-            if e > 2.9:
-                hot.append(i)
-        want = (hot[0], hot[-1] + 20) if hot else (None, None)
-        assert (r["h"]["first"], r["h"]["last"]) == want
+        assert r["h"] == [entropy(r["t"][i:i + 20]) > 2.9 for i in range(len(r["t"]) - 19)]
+
+
+def token(seed, n=35, letters="ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"):
+    r = random.Random(seed)
+    return "".join(r.choice(letters) for _ in range(n))
+
+
+HARD = {
+    "beside a hex run": f"hooks/{HEX40[:32]}/{token(1)}", "beside a sample": f"sample/{token(2)}",
+    "after a word": f"my-long-name-{token(3)}-and_more_words_follow_here", "plain": token(4),
+    "two": f"{token(5)} {token(6)}", "a cold stretch": token(7) + "Q" * 90 + token(8),
+    "uuid": f"id=550e8400-e29b-41d4-a716-446655440000/{token(9)}",
+    "letters around a sample": token(10, 12) + "EXAMPLE" + token(11, 12),
+    "upper hex": token(12, 50, "0123456789ABCDEF"), "only digits": token(13, 60, "0123456789"),
+    "odd characters": f"é\U0001F600{token(14)}\U0001F600{token(15)}",
+    "deep separators": "ab-" * 50_000 + "c9x", "long words": "Abc" * 40_000 + "1",
+    "long and random": token(16, 3000, "abcdefgh+/0123456789XYZ"),
+    "flat": "a1" * 5000, "adjacent": f"token={token(17)};{HEX40}{token(18)}"}
+
+
+def test_entropy_spans_equal_brute_force(shipped):
+    df = shipped.createDataFrame(list(HARD.items()), "name string, text string")
+    for r in secrets.scan(df).collect():
+        got = [tuple(s) for s in r["spans"] if s["kind"] == 3]
+        assert got == entropy_spans(r["text"], secrets.CUT.replace("|(?i)", "|"), secrets.ALLOW), r["name"]
+    spans = {r["name"]: [tuple(s) for s in r["spans"]] for r in secrets.scan(df).collect()}
+    assert (38, 3, 74) in spans["beside a hex run"] and spans["beside a sample"] == [(6, 3, 42)]
+    assert len(spans["two"]) == len(spans["a cold stretch"]) == 2
+    assert spans["deep separators"] == spans["long words"] == []
+
+
+def test_random_texts_equal_brute_force(shipped):
+    r = random.Random(11)
+    parts = ["-", "/", "=", " ", "+", "example", "token=", "12345678", "AKIA", "words", "\n", "xxxx"]
+    rows = [(i, "".join(r.choice(parts) if r.random() < 0.5 else token(
+        r.random(), r.randint(1, 45), r.choice(["0123456789abcdef", "abcXYZ", "AZaz09+/Qq7rT"]))
+        for _ in range(r.randint(0, 14)))) for i in range(400)]
+    df = shipped.createDataFrame(rows, "doc_id long, text string")
+    both = {x["doc_id"]: x["text"] for x in secrets.redact(df).collect()}
+    for x in secrets.scan(df).collect():
+        want = sorted(base_spans(x["text"]) + entropy_spans(x["text"], secrets.CUT.replace("|(?i)", "|"), secrets.ALLOW))
+        assert [tuple(s) for s in x["spans"]] == want
+        assert both[x["doc_id"]] == redacted(x["text"], want)
+
+
+def test_many_hits_and_a_megabyte_of_one_candidate(shipped):
+    """Linear work: 50,000 hits and a text that is one candidate."""
+    many = " ".join(f"token=abc{i:06d}" for i in range(50_000))
+    blob = token(20, 400_000)
+    df = shipped.createDataFrame([(1, many), (2, blob)], "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in secrets.scan(df).collect()}
+    assert [tuple(s) for s in rows[1]["spans"]] == base_spans(many)
+    assert sum(s["end"] - s["start"] for s in rows[2]["spans"]) > 390_000
+    assert secrets.redact(df).where("doc_id = 1").first()["text"] == " ".join(
+        ["[REDACTED]"] * 50_000)
+
+
+@pytest.mark.parametrize("n", [0, 1, 255, 256, 257, 513, 3000])
+def test_running_sums_and_maxima(shipped, n):
+    r = random.Random(n)
+    values = [r.randint(0, 99) for _ in range(n)]
+    df = shipped.createDataFrame([(values,)], "v array<int>")
+    got = df.select(secrets.running(F.col("v"), lambda a, b: a + b).alias("s"),
+                    secrets.running(F.col("v"), F.greatest).alias("m")).first()
+    assert got["s"] == [sum(values[:i]) for i in range(n)]
+    assert got["m"] == [max(values[:i], default=0) for i in range(n)]
 
 
 def test_secret_query_digests(shipped, sf001, rows001):
