@@ -18,12 +18,20 @@ summary beside the largest container stays.
 Boilerplate never counts, wherever it stands: menus, headers, footers, sidebars,
 notices, adverts, forms, comments, scripts, styles.  A class or id that only has such a
 word as a part ('with-sidebar') doesn't drop a container that holds the page's article
-or main or, on a page without one, most of its text.  A block's character references
-are decoded and its white space collapsed; blocks are joined by one space.
+or main or, on a page without one, most of its text.  A form or a container with such a
+word as a whole class ('widget post-content') stays if the article or main with most of the
+page's text is inside; a form also if it holds most of the text of a page without either.
+Comments, adverts and consent notices go in any case.  A block's character references are decoded
+and its white space collapsed; blocks are joined by one space.
+
+A page is scanned once, and a container's path is the number of (parent's path, names), so time
+and memory grow in proportion to the page.
 
 Defined results: a null or empty page, or one without text, gives an empty
 text; a null url belongs to the host "" ; repeated rows are extracted each;
-pages may be of any length and broken; other columns are ignored.
+a page may be of any length and broken: a tag that never ends ends the page, and an end tag
+without a begin counts for nothing; other columns are ignored; an empty table gives an empty
+result.
 """
 
 from __future__ import annotations
@@ -40,13 +48,16 @@ from pyspark.sql import functions as F
 from .common import materialize
 
 MOST_HOSTS = 200_000        # winning paths that are broadcast; beyond, they are joined
+MOST = 0.5                  # of an article or main inside a form or another such container
 LANDMARK = 0.2              # share of a page's text that makes the first article or main its own
 NEARLY = 0.9                # share of a page's text outside links that the article is to hold
 PAGE_PATHS = 4              # containers that a page votes for
 VOTES = 1000                # votes of a page
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)"
-                  r"((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+# A tag from its name on.  A quote counts after "=" only; one that is never closed is a character.
+_TAG = re.compile(r"(/?)([a-zA-Z][a-zA-Z0-9:-]*)"
+                  r"((?:[^>=]|=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|=)*+)>")
+_NAME = re.compile("/?[a-zA-Z]")
 _RAW_END = {t: re.compile(rf"</{t}\b[^>]*>", re.I) for t in (
     "script", "style", "template", "noscript", "textarea", "title", "svg", "select", "iframe")}
 _ATTR = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>][^\s>]*)))?""")
@@ -59,7 +70,7 @@ _LEAF = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th pre blockquote figcaption
 _CLOSED_BY = {"p": None, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"},
               "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"},
               "option": {"option"}}
-_DROP_TAGS = frozenset("nav header footer aside form menu button dialog fieldset object "
+_DROP_TAGS = frozenset("nav header footer aside menu button dialog fieldset object "
                        "audio video canvas map head".split())
 _DROP_WORDS = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo "
                         "promotion banner nav navbar navigation menu breadcrumb breadcrumbs header "
@@ -67,6 +78,10 @@ _DROP_WORDS = frozenset("ad ads advert adverts advertisement advertising sponsor
                         "modal overlay comment comments reply replies disqus share sharing social "
                         "related recommended recommendations subscribe subscription newsletter "
                         "signup login search pagination pager widget toolbar skip".split())
+# Of these, what holds no article in any case.
+_NEVER_WORDS = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo "
+                         "promotion cookie cookies consent popup modal overlay comment comments "
+                         "reply replies disqus".split())
 _DROP_ROLES = frozenset("navigation banner contentinfo complementary search form dialog "
                         "menu menubar alert".split())
 
@@ -75,24 +90,41 @@ class Page:
     """The containers and text blocks of one page."""
 
     def __init__(self, html: str):
-        # containers: path, parent, dropped, tag, dropped by a part of a class or id
-        self.paths, self.parents, self.dropped, self.tags = [""], [-1], [False], [""]
-        self.doubtful = [False]
+        # containers: number of the path, parent, dropped, tag, dropped by a part of a class or
+        # id, dropped as a form or by a whole class or id, where a block in it stands, its article
+        self.paths, self.parents, self.dropped, self.tags = [0], [-1], [False], [""]
+        self.doubtful, self.soft = [False], [False]
+        self.holders, self.articles = [0], [0]
+        self.numbers: dict[tuple[int, str], int] = {}
         self.blocks: list[tuple[int, str, int]] = []      # container, text, characters in links
         self._text: list[str] = []
         self._links = self._link = 0
+        self._open: dict[str, int] = defaultdict(int)
         stack: list[tuple[str, int]] = [("", 0)]
         at, n = 0, len(html)
         while at < n:
-            m = _TAG.search(html, at)
-            if m is None:
+            begin = html.find("<", at)
+            if begin < 0:
                 self._add(html[at:])
                 break
-            if m.start() > at:
-                self._add(html[at:m.start()])
-            at = m.end()
-            if m[2] is None:
+            if begin > at:
+                self._add(html[at:begin])
+            if html.startswith("<!--", begin):
+                end = html.find("-->", begin + 4)
+                at = end + 3 if end >= 0 else n
+                continue
+            if html.startswith(("<!", "<?"), begin):
+                end = html.find(">", begin)
+                at = end + 1 if end >= 0 else n
+                continue
+            if not _NAME.match(html, begin + 1):
+                self._add("<")
+                at = begin + 1
                 continue
+            m = _TAG.match(html, begin + 1)
+            if m is None:
+                break
+            at = m.end()
             tag = m[2].lower()
             if m[1]:
                 self._end(tag, stack)
@@ -130,9 +162,10 @@ class Page:
         # end tags that may be left out
         while len(stack) > 1 and stack[-1][0] in _CLOSED_BY and (
                 tag in (_CLOSED_BY[stack[-1][0]] or (tag,)) or stack[-1][0] == "p"):
-            stack.pop()
+            self._open[stack.pop()[0]] -= 1
         parent = stack[-1][1]
         names, drop, doubtful = tag, self.dropped[parent] or tag in _DROP_TAGS, False
+        soft = tag == "form"
         for m in _ATTR.finditer(attributes) if attributes.strip() else ():
             kind, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
             if kind == "class":
@@ -142,14 +175,21 @@ class Page:
             elif kind == "hidden":
                 drop = True
             elif kind in ("class", "id") and tag not in ("html", "body", "article", "main"):
-                drop |= not _DROP_WORDS.isdisjoint(value.split())
+                whole = value.split()
+                drop |= not _NEVER_WORDS.isdisjoint(whole)
+                soft |= not _DROP_WORDS.isdisjoint(whole)
                 doubtful |= not _DROP_WORDS.isdisjoint(re.split(r"[\s_-]+", value))
-        self.paths.append(f"{self.paths[parent]}>{names}")
+        number, key = len(self.paths), (self.paths[parent], names.replace(">", "_"))
+        self.paths.append(self.numbers.setdefault(key, len(self.numbers) + 1))
         self.parents.append(parent)
         self.dropped.append(drop)
         self.doubtful.append(doubtful)
+        self.soft.append(soft)
         self.tags.append(tag)
-        stack.append((tag, len(self.paths) - 1))
+        self.holders.append(self.holders[parent] if tag in _LEAF else number)
+        self.articles.append(number if tag == "article" else self.articles[parent])
+        self._open[tag] += 1
+        stack.append((tag, number))
 
     def _end(self, tag: str, stack: list[tuple[str, int]]) -> None:
         if tag == "a":
@@ -157,9 +197,10 @@ class Page:
         if tag in _INLINE:
             return
         self._flush(stack[-1][1])
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i][0] == tag:
-                del stack[i:]
+        while self._open[tag]:
+            name = stack.pop()[0]
+            self._open[name] -= 1
+            if name == tag:
                 return
 
     def _sizes(self, worth: list[int]) -> list[int]:
@@ -171,45 +212,89 @@ class Page:
             out[self.parents[i]] += out[i]
         return out
 
-    def _settle(self) -> None:
-        """Drop containers by a part of a class or id ('site-header'), but for those that
-        hold the page's article or main, or on a page without one most of its text."""
-        if not any(self.doubtful):
-            return
-        size = self._sizes([0 if self.dropped[c] else len(t) for c, t, _ in self.blocks])
-        marks = [i for tag in ("main", "article") for i, t in enumerate(self.tags)
-                 if t == tag and size[i] and size[i] >= LANDMARK * size[0]]
-        keep = set()
-        at = marks[0] if marks else 0
+    def _landmark(self, size: list[int], share: float) -> int:
+        """The first main, else the first article, with this share of the text; 0 without."""
+        for tag in ("main", "article"):
+            for i, t in enumerate(self.tags):
+                if t == tag and size[i] and size[i] >= share * size[0]:
+                    return i
+        return 0
+
+    def _up(self, at: int) -> set[int]:
+        out = set()
         while at > 0:
-            keep.add(at)
+            out.add(at)
             at = self.parents[at]
-        for i in range(1, len(self.paths)):
-            kept = i in keep if marks else 2 * size[i] > size[0]
-            self.dropped[i] |= self.dropped[self.parents[i]] or self.doubtful[i] and not kept
+        return out
+
+    def _inherit(self, drop: list[bool]) -> list[bool]:
+        for i in range(1, len(drop)):
+            drop[i] = drop[i] or drop[self.parents[i]]
+        return drop
+
+    def _outside(self, drop: list[bool]) -> list[int]:
+        return self._sizes([0 if drop[c] else len(t) for c, t, _ in self.blocks])
 
-    def holder(self, container: int) -> int:
-        """The container that a block stands in: paragraphs and the like are no containers."""
-        while self.tags[container] in _LEAF:
-            container = self.parents[container]
-        return container
+    def _settle(self) -> None:
+        """Drop forms and containers by a class or id ('header', 'site-header'), but for those
+        that hold the page's article or main, or on a page without one most of its text."""
+        if any(self.soft):
+            without = self._inherit([a or b for a, b in zip(self.dropped, self.soft)])
+            if not self._landmark(self._outside(without), LANDMARK):
+                size = self._outside(self.dropped)
+                mark = self._landmark(size, MOST)
+                keep = self._up(mark) if mark else {
+                    i for i, t in enumerate(self.tags) if t == "form" and 2 * size[i] > size[0]}
+                without = self._inherit([d or s and i not in keep for i, (d, s) in enumerate(
+                    zip(self.dropped, self.soft))])
+            else:
+                keep = set()
+            self.dropped = without
+            # what stays as a form or by a whole word is not doubted for a part of it
+            self.doubtful = [d and i not in keep for i, d in enumerate(self.doubtful)]
+        if not any(self.doubtful):
+            return
+        size = self._outside(self.dropped)
+        mark = self._landmark(size, LANDMARK)
+        keep = self._up(mark)
+        self.dropped = self._inherit([
+            d or q and not (i in keep if mark else 2 * size[i] > size[0])
+            for i, (d, q) in enumerate(zip(self.dropped, self.doubtful))])
+
+    def path(self, container: int) -> str:
+        """A container's chain of tags and classes."""
+        names = []
+        number = self.paths[container]
+        above = {n: key for key, n in self.numbers.items()}
+        while number:
+            number, name = above[number]
+            names.append(name)
+        return "".join(">" + n for n in reversed(names))
+
+    def on_path(self, path: str | None) -> int:
+        """The number of a path, or -1 if no container is on it."""
+        if path is None:
+            return -1
+        number = 0
+        for name in path.split(">")[1:]:
+            number = self.numbers.get((number, name), -1)
+            if number < 0:
+                return -1
+        return number
 
     def scores(self) -> dict[int, int]:
         out: dict[int, int] = defaultdict(int)
         for container, text, links in self.blocks:
             if self.dropped[container]:
                 continue
-            holder, worth = self.holder(container), 2 * max(0, len(text) - 2 * links)
+            holder, worth = self.holders[container], 2 * max(0, len(text) - 2 * links)
             out[holder] += worth
             if holder:
-                out[self.holder(self.parents[holder])] += worth // 2
+                out[self.holders[self.parents[holder]]] += worth // 2
         best: dict[int, int] = defaultdict(int)
         for container, score in out.items():
             # an article's title and parts belong together
-            at = container
-            while at and self.tags[at] != "article":
-                at = self.parents[at]
-            best[at or container] = max(best[at or container], 0) + score
+            best[self.articles[container] or container] += score
         return {c: s for c, s in best.items() if s > 0 and c}
 
     def best(self) -> list[tuple[int, int]]:
@@ -233,7 +318,8 @@ class Page:
 
     def text(self, path: str | None) -> str:
         """The text on the winning path, or in the page's own best container."""
-        chosen = {i for i, p in enumerate(self.paths) if p == path and not self.dropped[i]}
+        number = self.on_path(path)
+        chosen = {i for i, p in enumerate(self.paths) if p == number and not self.dropped[i]}
         if not chosen:
             best = self.best_parts()
             chosen = {best[0][0]} if best else {0}
@@ -254,7 +340,7 @@ def _vote(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             best = page.best_parts()
             total = sum(s for _, s in best)
             for container, score in best:
-                votes[host, page.paths[container]] += VOTES * score // total
+                votes[host, page.path(container)] += VOTES * score // total
         yield pd.DataFrame([(*k, v) for k, v in votes.items()],
                            columns=["host", "path", "votes"])
 

@@ -166,6 +166,62 @@ def test_html_attributes_and_class_parts_keep_the_article(shipped):
     assert got == dict.fromkeys(range(len(pages)), text)
 
 
+ARTICLE = " ".join(f"<p>Paragraph {i} of the article has quite a few words in it.</p>"
+                   for i in range(6))
+AROUND = "<nav>Menu of pages</nav><div class='sidebar'>Other things to read here</div>"
+
+
+def test_html_forms_and_whole_class_words_around_the_article(shipped):
+    """They go, but not with the article or main inside."""
+    plain = "Paragraph 0 of the article has quite a few words in it."
+    pages = [f"<body><form id=aspnetForm>{AROUND}<article>{ARTICLE}</article></form></body>",
+             f"<body>{AROUND}<div class='widget post-content'><article>{ARTICLE}</article></div>",
+             f"<body>{AROUND}<div class='page social'><main>{ARTICLE}</main></div></body>",
+             f"<body><form>{AROUND}<div>{ARTICLE}</div></form></body>",
+             f"<body><article>{ARTICLE}</article><form>Name <p>Send us a letter</p></form>"
+             "<div class='related'><article>Another article's short lead</article></div></body>",
+             f"<body><main>{ARTICLE}</main><div class='comments'><article><p>Reader says "
+             f"no.</p></article></div></body>"]
+    got = extracted(shipped, [(i, f"http://h{i}/", p) for i, p in enumerate(pages)])
+    for i in range(len(pages)):
+        assert got[i].startswith(plain) and got[i].endswith("words in it."), i
+        assert got[i].count("Paragraph") == 6
+        assert not any(w in got[i] for w in ("Menu", "Other", "letter", "Another", "Reader"))
+
+
+def test_html_is_linear_on_broken_and_deep_pages():
+    """No page takes time or memory beyond its length."""
+    import time
+    import tracemalloc
+    tail = f"<article>{ARTICLE}</article>"
+    pages = ["<a " * 200_000, tail + '<a x="' * 100_000, "<div>" * 50_000 + tail + "</div>" * 50_000,
+             "<ul><li>" * 30_000 + "x" + tail, "<div>" * 50_000 + "</b2>" * 50_000 + tail,
+             tail + "<" * 300_000, tail + "<!--" * 100_000, "<p class='a" * 50_000 + "'>" + tail,
+             "<div>" + "<p>w</p>" * 50_000 + tail]
+    for page in pages:
+        tracemalloc.start()
+        began = time.time()
+        found = html.Page(page)
+        best = found.best_parts()
+        if best:
+            assert found.on_path(found.path(best[0][0])) == found.paths[best[0][0]]
+        text = found.text(None)
+        assert time.time() - began < 20
+        assert tracemalloc.get_traced_memory()[1] < 200 << 20
+        tracemalloc.stop()
+        if page not in (pages[0], pages[7]):
+            assert "Paragraph 5" in text, page[:20]
+
+
+def test_html_quotes_and_unclosed_tags():
+    def text(page):
+        return html.Page(page).text(None)
+    assert text("<div title='a > b' data-x=\"c > d\">kept</div>") == "kept"
+    assert text("<div title=it's>kept</div><p>too</p>") == "kept too"
+    assert text("<p>5 < 6 and </ b <3</p>") == "5 < 6 and </ b <3"
+    assert text("<p>before</p><p class='never closed") == "before"
+
+
 def test_html_keeps_the_parts_beside_the_largest_container(shipped):
     lead, body, end = ("Lead. " * 17).strip(), ("Body. " * 170).strip(), ("End. " * 20).strip()
     parts = (f"<div class=lead>{lead}</div><div class=body>{body}</div>"
