@@ -8,19 +8,24 @@ with e edits allowed is split into e + 1 pieces; whatever stretch leaks holds on
 piece unchanged, so exact piece hits (one automaton for all pieces) find every
 candidate, and Myers' bit-parallel distance verifies it around the hit.
 
-The items are the stated query set.  They are taken in blocks of at most
-``block_bytes`` of text; each block passes once over all documents, which are
-never shuffled.
-
-Defined results: null or empty texts match nothing; an item of fewer than
-``least_words`` words is not searched for (chance matches); repeated items count
-by their ids, and rows with a null item id are searched for like others; repeated
-documents are each reported; extra columns are kept by ``mark_leaks``, but one that
-is called ``leaks`` is replaced.
+A short item, of fewer than 1 / rate words, has no edit allowed and is found where it stands
+word for word, be it one word or one character long.
+
+The items are the stated query set.  They are taken in blocks of about ``block_bytes`` of
+text; each block passes once over all documents, and only one block at a time is on
+the driver and in the tasks.  Where there are several, the documents are written once and each
+block's hits as narrow rows.
+
+Defined results: null or empty texts match nothing, nor does an item without a letter or digit;
+items repeated with the same id and text count once, those with other ids by their ids,
+and a null item id is searched for like others; repeated documents are each reported; extra
+columns are kept by ``mark_leaks``, but one that is called ``leaks`` is replaced; without items
+or documents nothing leaks.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
 from collections import defaultdict
@@ -30,10 +35,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name
+from .common import free_name, materialize
 
 RATE = 0.1
-LEAST_WORDS = 5
+LEAST_WORDS = 1
 BLOCK_BYTES = 8 << 20
 LEAKS = "array<struct<item_id: long, distance: int, start_word: int, end_word: int>>"
 _WORD = re.compile(r"[^\W_]+")
@@ -170,7 +175,7 @@ def item_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES
                 ) -> Iterator[list[tuple[int | None, str]]]:
     """The items in blocks of about ``block_bytes``, one block at a time on the driver."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where(
-        "text is not null")
+        "text is not null").dropDuplicates()
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(total / block_bytes))
     block = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
@@ -182,11 +187,24 @@ def mark_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = RATE,
                least_words: int = LEAST_WORDS, block_bytes: int = BLOCK_BYTES,
                name: str = "leaks") -> DataFrame:
     """``docs`` with ``name``: the items that leak into each text, best match of each."""
-    found = None
-    for items in item_blocks(benchmark, block_bytes):
-        part = _leaks_column(items, rate, least_words)(F.col("text"))
-        found = part if found is None else F.concat(found, part)
-    return docs.withColumn(name, found)
+    blocks = item_blocks(benchmark, block_bytes)
+    first, second = next(blocks), next(blocks, None)
+    if second is None:
+        return docs.withColumn(name, _leaks_column(first, rate, least_words)(F.col("text")))
+    row, held = free_name(docs, "leak_row"), free_name(docs, "leak_row_held")
+    rows = materialize(docs.drop(name).withColumn(row, F.monotonically_increasing_id()), "leak-docs")
+    hits = None
+    for items in itertools.chain((first, second), blocks):
+        found = rows.select(F.col(row).alias(held), _leaks_column(items, rate, least_words)(
+            F.col("text")).alias("leaks"))
+        part = materialize(found.where(F.size("leaks") > 0), "leak-hits")
+        hits = part if hits is None else hits.union(part)
+    whole = hits.groupBy(held).agg(F.sort_array(F.flatten(F.collect_list("leaks"))).alias("leaks"))
+    nothing = F.array().cast(LEAKS)
+    return (rows.join(whole.withColumnRenamed("leaks", free_name(rows, "leaks_held")),
+                      F.col(row) == F.col(held), "left")
+                .withColumn(name, F.coalesce(free_name(rows, "leaks_held"), nothing))
+                .select(*[c for c in docs.columns if c != name], name))
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

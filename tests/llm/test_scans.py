@@ -296,6 +296,48 @@ def test_decontamination_in_scripts_without_spaces(shipped):
         (1, 1, 0), (2, 2, 0), (3, 3, 0), (5, 1, 1)]
 
 
+def test_short_items_are_found_word_for_word(shipped):
+    items = [(1, "Who wrote Faust?"), (2, "山"), (3, "x1"), (4, "?!"), (5, None), (6, "")]
+    docs = [(1, "asked: who wrote Faust, and when"), (2, "who has written Faust"), (3, "富士山です"),
+            (4, "富士川"), (5, "x1 and x12"), (6, "x12 ?!"), (7, None), (8, "whowrotefaust")]
+    found = decontaminate.find_leaks(shipped.createDataFrame(docs, "doc_id long, text string"),
+                                     shipped.createDataFrame(items, "item_id long, text string"))
+    assert sorted((r["doc_id"], r["item_id"], r["distance"], r["start_word"], r["end_word"])
+                  for r in found.collect()) == [(1, 1, 0, 1, 4), (3, 2, 0, 2, 3), (5, 3, 0, 0, 1)]
+
+
+def test_many_blocks_one_at_a_time(shipped, monkeypatch):
+    """50 blocks and more find what one does, and no call gets more than a block's items."""
+    rnd = random.Random(8)
+    words = [f"w{i}" for i in range(40)]
+    items = [(i % 90 if i % 7 else None, " ".join(rnd.choice(words) for _ in range(
+        rnd.choice([2, 12, 25])))) for i in range(120)]
+    items += items[:5] * 30         # repeated items count once
+    docs = [(i % 50, " ".join(rnd.choice(words) for _ in range(30)) + " " + (
+        items[rnd.randrange(120)][1] if i % 3 else "")) for i in range(60)]
+    df = shipped.createDataFrame(docs, "doc_id long, text string").selectExpr(
+        "*", "1 as leak_row", "2 as leaks_held", "3 as leak_row_held", "4 as leaks")
+    bench = shipped.createDataFrame(items, "item_id long, text string")
+    sizes, column = [], decontaminate._leaks_column
+
+    def counted(block, rate, least):
+        sizes.append(len(block))
+        return column(block, rate, least)
+    monkeypatch.setattr(decontaminate, "_leaks_column", counted)
+
+    def found(size):
+        rows = decontaminate.mark_leaks(df, bench, block_bytes=size)
+        assert rows.columns == df.columns
+        return sorted(str((r["doc_id"], r["text"], sorted(map(str, r["leaks"]))))
+                      for r in rows.collect())
+    whole = found(1 << 20)
+    assert sizes == [120] and any("item_id" in x for x in whole)
+    sizes.clear()
+    assert found(100) == whole
+    assert len(sizes) >= 50 and max(sizes) < 15
+    assert decontaminate.drop_leaks(df, bench, block_bytes=100).columns == df.columns
+
+
 # --- sharding -----------------------------------------------------------------------
 
 
