@@ -7,17 +7,22 @@ none).  A retained suffix is held by the words after its start and, reversed, th
 words before it, as 32-bit word hashes, as far as a match of ``least`` words
 needs: further words belong to the next anchors.
 
-The suffixes are sorted twice over the whole cluster by range partitioning: by
-what follows, then what precedes; and by the first gram, then what precedes, then
-what follows.  Each suffix is compared with its nearest neighbours of other texts on
-both sides (also across partition borders), the match is extended right and left,
+The suffixes are sorted over the whole cluster by range partitioning, by
+what follows, then what precedes.  Each suffix is compared with its nearest neighbours of other
+texts on both sides (also across partition borders), the match is extended right and left,
 and matches of ``least`` words or more become spans.  Spans of a text that touch are
 joined.  The spans of a passage are linked over texts, and the components tell
 the smallest of its documents.
 
-A shared passage of ``least`` words holds an anchor among its first words, and
-in suffix order its owners are neighbours.  Ties are broken by document, so no
-group of equal suffixes has to meet in one task.
+A shared passage of ``least`` words holds an anchor among its first words: two owners
+share some l words before the anchor's suffix and the rest of the passage after it.  Where only two
+suffixes begin with the same gram they are neighbours.  Where there are more, others that
+share more on one side and less on the other may stand between two owners.  Such crowded
+suffixes are therefore sorted once more for every l, by the l words before, then by what
+follows: whatever stands between two owners now shares the passage with both.  Up to
+``CROWD`` suffixes of one gram meet in one task for this; of a gram with more, the
+windows of ``least`` words around each suffix are grouped by content instead, so that no group of
+equal suffixes has to meet in one task.
 
 Documents with the same words are one text here, listed as whole-document spans.
 
@@ -46,6 +51,8 @@ from .components import components
 from .substring import RANGE_ANCHORS, repeated_windows
 
 LEAST = 50
+CROWD = 4096                # suffixes of one gram that a task takes together
+SORTED_ROWS = 20_000        # crowded suffixes that are sorted at a time
 _SUFFIX = "text_no long, doc_order long, start int, after binary, before binary"
 _PAIR = _SUFFIX + ", border int, place int, partition int, from_word int, to_word int, " \
                  "content binary"
@@ -91,16 +98,20 @@ def _runs(texts: np.ndarray) -> np.ndarray:
     return np.r_[0, np.flatnonzero(texts[1:] != texts[:-1]) + 1, len(texts)]
 
 
-def _spans(rows: pd.DataFrame, least: int, reach: int) -> pd.DataFrame:
-    """Both sides of every match of ``least`` words between a suffix and its nearest
-    neighbours of other texts, before and after it."""
-    texts, starts = rows["text_no"].to_numpy(np.int64), rows["start"].to_numpy(np.int64)
+def _adjacent(texts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of sorted suffixes beside those of their nearest neighbours of other texts."""
     edges = _runs(texts)
     run = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
     every = np.arange(len(texts))
     above, below = edges[run] - 1, edges[run + 1]
-    i = np.concatenate([every[above >= 0], every[below < len(texts)]])
-    j = np.concatenate([above[above >= 0], below[below < len(texts)]])
+    return (np.concatenate([every[above >= 0], every[below < len(texts)]]),
+            np.concatenate([above[above >= 0], below[below < len(texts)]]))
+
+
+def _matches(rows: pd.DataFrame, i: np.ndarray, j: np.ndarray, least: int, reach: int
+             ) -> pd.DataFrame:
+    """Both sides of every match of ``least`` words between the rows ``i`` and ``j``."""
+    texts, starts = rows["text_no"].to_numpy(np.int64), rows["start"].to_numpy(np.int64)
     out = []
     if len(i):
         after, before = list(rows["after"]), list(rows["before"])
@@ -116,6 +127,76 @@ def _spans(rows: pd.DataFrame, least: int, reach: int) -> pd.DataFrame:
                                       "content"]).drop_duplicates()
 
 
+def _spans(rows: pd.DataFrame, least: int, reach: int) -> pd.DataFrame:
+    """Both sides of every match of ``least`` words between a suffix and its nearest
+    neighbours of other texts, before and after it."""
+    i, j = _adjacent(rows["text_no"].to_numpy(np.int64))
+    return _matches(rows, i, j, least, reach)
+
+
+def _crowded(batches: Iterator[pd.DataFrame], least: int, reach: int, gram: int
+             ) -> Iterator[pd.DataFrame]:
+    """Spans of suffixes in order of their first gram: sorted for every number of words before."""
+    def compare(rows: pd.DataFrame) -> pd.DataFrame:
+        texts = rows["text_no"].to_numpy(np.int64)
+        after, before = list(rows["after"]), list(rows["before"])
+        first = [a[:4 * gram] for a in after]
+        pairs = []
+        for words in range(1, least - gram + 1):
+            keys = [g + b[:4 * words].ljust(4 * words, b"\0") + a
+                    for g, b, a in zip(first, before, after)]
+            order = np.array(sorted(range(len(keys)), key=keys.__getitem__))
+            i, j = (order[x] for x in _adjacent(texts[order]))
+            pairs.append(np.unique(np.minimum(i, j) * len(keys) + np.maximum(i, j)))
+        pairs = np.unique(np.concatenate(pairs))
+        return _matches(rows, pairs // len(texts), pairs % len(texts), least, reach)
+
+    held, size = [], 0
+    for batch in batches:
+        if len(batch):
+            held.append(batch)
+            size += len(batch)
+        if size < SORTED_ROWS:
+            continue
+        rows = pd.concat(held, ignore_index=True)
+        last = rows["after"].iloc[-1][:4 * gram]
+        begin = len(rows)
+        while begin and rows["after"].iat[begin - 1][:4 * gram] == last:
+            begin -= 1
+        if begin:       # the last gram's suffixes may go on
+            yield compare(rows.iloc[:begin])
+        held, size = [rows.iloc[begin:]], len(rows) - begin
+    if size:
+        yield compare(pd.concat(held, ignore_index=True))
+
+
+def crowded_spans(suffixes: DataFrame, least: int, reach: int, gram: int) -> DataFrame:
+    """Matches among suffixes of which more than two begin with the same gram."""
+    spark = suffixes.sparkSession
+    key = F.substring("after", 1, 4 * gram)
+    crowds = materialize(suffixes.groupBy(key.alias("gram")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("text_no").alias("lo"), F.max("text_no").alias("hi"))
+        .where("n > 2 and lo < hi").select("gram", "n"), "crowds")
+    rows = suffixes.withColumn("key", key).join(crowds, F.col("key") == F.col("gram"))
+    few = rows.where(F.col("n") <= CROWD).select("gram", *_NAMES).repartition(
+        partitions(spark), "gram").sortWithinPartitions("gram").select(*_NAMES).mapInPandas(
+        partial(_crowded, least=least, reach=reach, gram=gram), _FOUND)
+    # of a gram with many suffixes: the windows around each, l words before and the rest after
+    l, before = F.col("l"), F.expr("substring(before, 1, 4 * l)")
+    window = F.sha2(F.concat(before, F.expr(f"substring(after, 1, 4 * ({least} - l))")), 256)
+    many = rows.where(F.col("n") > CROWD).select(
+        "text_no", "doc_order", "start", "before", "after",
+        F.explode(F.sequence(F.lit(0), F.lit(least - gram))).alias("l")).where(
+        (F.length("before") >= 4 * l) & (F.length("after") >= 4 * (least - l))).select(
+        "text_no", "doc_order", (F.col("start") - l).cast("int").alias("from_word"),
+        (F.col("start") - l + least).cast("int").alias("to_word"),
+        F.unhex(F.substring(window, 1, 32)).alias("content"))
+    shared = materialize(many.groupBy("content").agg(
+        F.min("text_no").alias("lo"), F.max("text_no").alias("hi")).where("lo < hi").select(
+        F.col("content").alias("same")), "crowd-windows")
+    return few.union(many.join(shared, F.col("content") == F.col("same"), "left_semi"))
+
+
 def _neighbours(batches: Iterator[pd.DataFrame], least: int, reach: int
                 ) -> Iterator[pd.DataFrame]:
     """Spans of a sorted partition, and the suffixes at its ends for the borders: the run of
@@ -240,8 +321,7 @@ def repeated_passages(docs: DataFrame, least: int = LEAST) -> DataFrame:
         .select("text_no", "first_order", "words_sha", "text", "starts")
         .mapInPandas(partial(_suffixes, least=least, reach=reach), _SUFFIX), "suffixes")
     spans = neighbour_spans(suffixes, ["after", "before"], least, reach, "by-after").union(
-        neighbour_spans(suffixes, [f"substring(after, 1, {4 * gram})", "before", "after"],
-                        least, reach, "by-before"))
+        crowded_spans(suffixes, least, reach, gram))
     spans = spans.distinct()
     passages = (_with_first(spans, least)
                      .groupBy("text_no")      # at most the anchors of one text

@@ -204,3 +204,66 @@ def test_queries(shipped, sf001, rows001):
     got = queries.op10_substring_dedup(shipped, sf001)
     assert got.columns == ["doc_id", "n_words", "n_removed", "kept_sha256"]
     assert sorted(map(tuple, got.collect()), key=key) == sorted(brute_substring(rows001), key=key)
+
+
+def between_crowds(seed, least=50, gram=25):
+    """Two documents that share exactly ``least`` words, and 14 that share more on one side of
+    their common anchor and too little on the other."""
+    r = random.Random(seed)
+    fresh = iter(f"u{seed}x{i}" for i in range(10**6))
+
+    def unique(n):
+        return [next(fresh) for _ in range(n)]
+    while True:
+        passage = unique(least)
+        keys = window_hashes(word_hashes([w.encode() for w in passage]), gram)
+        o = int(keys.argmin())
+        if 3 < o < least - gram - 3:
+            break
+    a, b = unique(40) + passage + unique(40), unique(40) + passage + unique(40)
+    docs = [a, b]
+    for k in range(7):
+        ahead = passage[o:] + a[40 + least:40 + least + (49 - (least - o))]
+        docs.append(unique(30 + k) + ahead + unique(30))
+        back = a[40 - (24 - o):40] + passage[:o + gram]
+        docs.append(unique(30 + k) + back + unique(30))
+    r.shuffle(docs)
+    return [(i + 1, " ".join(w)) for i, w in enumerate(docs)], passage
+
+
+def test_suffixes_between_crowds_of_longer_neighbours(shipped):
+    """Neither order of the suffixes alone has the two owners side by side."""
+    for seed in range(4):
+        rows, passage = between_crowds(seed)
+        got = suffix.repeated_passages(shipped.createDataFrame(rows, "doc_id long, text string"))
+        owners = sorted(i for i, t in rows if " ".join(passage) in t)
+        assert sorted((r["doc_id"], r["n_words"], r["first_doc_id"]) for r in got.collect()) == [
+            (i, 50, owners[0]) for i in owners]
+
+
+def overlapping(seed, n):
+    """Documents of few words made of shared stretches, so that grams are crowded."""
+    r = random.Random(seed)
+    pool = [f"s{i}" for i in range(400)]
+
+    def text():
+        out = []
+        for _ in range(r.randint(1, 3)):
+            lo = r.randint(0, 300)
+            out += [f"d{r.random()}" for _ in range(3)] + pool[lo:lo + r.randint(20, 90)]
+        return " ".join(out)
+    return [(i, text()) for i in range(n)]
+
+
+def test_crowded_passages_equal_brute_force_word_for_word(shipped, monkeypatch):
+    """In tasks and, of grams with many suffixes, by the windows."""
+    rows = overlapping(1, 120)
+    df = shipped.createDataFrame(rows, "doc_id long, text string")
+    want = {i: sorted(w) for i, w in repeated(rows).items()}
+    for crowd, chunk in ((4096, 20_000), (4096, 7), (5, 7)):
+        monkeypatch.setattr(suffix, "CROWD", crowd)
+        monkeypatch.setattr(suffix, "SORTED_ROWS", chunk)
+        got = {}
+        for r in suffix.repeated_passages(df).collect():
+            got.setdefault(r["doc_id"], set()).update(range(r["start_word"], r["end_word"]))
+        assert {i: sorted(w) for i, w in got.items()} == want
