@@ -51,8 +51,10 @@ from .components import components
 from .substring import RANGE_ANCHORS, repeated_windows
 
 LEAST = 50
-CROWD = 4096                # suffixes of one gram that a task takes together
-SORTED_ROWS = 20_000        # crowded suffixes that are sorted at a time
+CROWD = 2048                # suffixes of one gram that a task takes together
+SORTED_ROWS = 6000          # crowded suffixes that are sorted at a time
+PAIRS = 20_000              # pairs of suffixes that are compared at a time
+MOST_HOT = 100_000          # grams of more suffixes that are broadcast; beyond, they are joined
 _SUFFIX = "text_no long, doc_order long, start int, after binary, before binary"
 _PAIR = _SUFFIX + ", border int, place int, partition int, from_word int, to_word int, " \
                  "content binary"
@@ -137,19 +139,38 @@ def _spans(rows: pd.DataFrame, least: int, reach: int) -> pd.DataFrame:
 def _crowded(batches: Iterator[pd.DataFrame], least: int, reach: int, gram: int
              ) -> Iterator[pd.DataFrame]:
     """Spans of suffixes in order of their first gram: sorted for every number of words before."""
-    def compare(rows: pd.DataFrame) -> pd.DataFrame:
+    def compare(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        # suffixes whose gram has more than two of them, of more than one text
+        grams = np.array([a[:4 * gram] for a in rows["after"]], object)
+        edges = _runs(grams)
         texts = rows["text_no"].to_numpy(np.int64)
-        after, before = list(rows["after"]), list(rows["before"])
-        first = [a[:4 * gram] for a in after]
+        many = np.zeros(len(rows), bool)
+        for lo, hi in zip(edges, edges[1:]):
+            many[lo:hi] = hi - lo > 2 and (texts[lo:hi] != texts[lo]).any()
+        rows = rows[many].reset_index(drop=True)
+        if not len(rows):
+            return
+        texts, n = texts[many], len(rows)
+        # equal prefixes before the suffix have equal numbers; within one, the order by what follows
+        same = np.cumsum(np.r_[False, grams[many][1:] != grams[many][:-1]])
+        after = rows["after"].to_numpy(object)
+        rank = np.empty(n, np.int64)
+        rank[sorted(range(n), key=after.__getitem__)] = np.arange(n)
+        before, _ = _grid(list(rows["before"]), reach)
         pairs = []
         for words in range(1, least - gram + 1):
-            keys = [g + b[:4 * words].ljust(4 * words, b"\0") + a
-                    for g, b, a in zip(first, before, after)]
-            order = np.array(sorted(range(len(keys)), key=keys.__getitem__))
+            column = before[:, words - 1].astype(np.int64)
+            finer = np.unique(same << 32 | column, return_inverse=True)[1]
+            if words > 1 and finer.max() == same.max():
+                continue        # the same order as for a word less
+            same = finer
+            order = np.lexsort((texts, rank, same))
             i, j = (order[x] for x in _adjacent(texts[order]))
-            pairs.append(np.unique(np.minimum(i, j) * len(keys) + np.maximum(i, j)))
+            pairs.append(np.unique(np.minimum(i, j) * n + np.maximum(i, j)))
         pairs = np.unique(np.concatenate(pairs))
-        return _matches(rows, pairs // len(texts), pairs % len(texts), least, reach)
+        for lo in range(0, len(pairs), PAIRS):
+            part = pairs[lo:lo + PAIRS]
+            yield _matches(rows, part // n, part % n, least, reach)
 
     held, size = [], 0
     for batch in batches:
@@ -164,27 +185,33 @@ def _crowded(batches: Iterator[pd.DataFrame], least: int, reach: int, gram: int
         while begin and rows["after"].iat[begin - 1][:4 * gram] == last:
             begin -= 1
         if begin:       # the last gram's suffixes may go on
-            yield compare(rows.iloc[:begin])
+            yield from compare(rows.iloc[:begin].reset_index(drop=True))
         held, size = [rows.iloc[begin:]], len(rows) - begin
     if size:
-        yield compare(pd.concat(held, ignore_index=True))
+        yield from compare(pd.concat(held, ignore_index=True))
 
 
 def crowded_spans(suffixes: DataFrame, least: int, reach: int, gram: int) -> DataFrame:
     """Matches among suffixes of which more than two begin with the same gram."""
     spark = suffixes.sparkSession
-    key = F.substring("after", 1, 4 * gram)
-    crowds = materialize(suffixes.groupBy(key.alias("gram")).agg(
-        F.count(F.lit(1)).alias("n"), F.min("text_no").alias("lo"), F.max("text_no").alias("hi"))
-        .where("n > 2 and lo < hi").select("gram", "n"), "crowds")
-    rows = suffixes.withColumn("key", key).join(crowds, F.col("key") == F.col("gram"))
-    few = rows.where(F.col("n") <= CROWD).select("gram", *_NAMES).repartition(
-        partitions(spark), "gram").sortWithinPartitions("gram").select(*_NAMES).mapInPandas(
+    # grams that share a hash count together, which may put them among the hot ones for nothing
+    key = F.xxhash64(F.substring("after", 1, 4 * gram))
+    hot = materialize(suffixes.groupBy(key.alias("hot")).agg(F.count(F.lit(1)).alias("n"))
+                      .where(F.col("n") > CROWD).select("hot"), "hot-grams")
+    n_hot = hot.count()
+    if n_hot <= MOST_HOT:
+        hot = F.broadcast(hot)
+    rows = suffixes.withColumn("key", key)
+    is_hot = F.col("key") == F.col("hot")
+    few = rows.join(hot, is_hot, "left_anti").repartition(
+        partitions(spark), "key").sortWithinPartitions("key", "after").select(*_NAMES).mapInPandas(
         partial(_crowded, least=least, reach=reach, gram=gram), _FOUND)
+    if not n_hot:
+        return few
     # of a gram with many suffixes: the windows around each, l words before and the rest after
     l, before = F.col("l"), F.expr("substring(before, 1, 4 * l)")
     window = F.sha2(F.concat(before, F.expr(f"substring(after, 1, 4 * ({least} - l))")), 256)
-    many = rows.where(F.col("n") > CROWD).select(
+    many = rows.join(hot, is_hot, "left_semi").select(
         "text_no", "doc_order", "start", "before", "after",
         F.explode(F.sequence(F.lit(0), F.lit(least - gram))).alias("l")).where(
         (F.length("before") >= 4 * l) & (F.length("after") >= 4 * (least - l))).select(
