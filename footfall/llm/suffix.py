@@ -19,7 +19,9 @@ share some l words before the anchor's suffix and the rest of the passage after
 suffixes begin with the same gram they are neighbours.  Where there are more, others that
 share more on one side and less on the other may stand between two owners.  Such crowded
 suffixes are therefore sorted once more for every l, by the l words before, then by what
-follows: whatever stands between two owners now shares the passage with both.  Up to
+follows: whatever stands between two owners now shares the passage with both.  (Of these
+neighbours, those that share just l words before are compared; those that share more are
+met again for a greater l.)  Up to
 ``CROWD`` suffixes of one gram meet in one task for this; of a gram with more, the
 windows of ``least`` words around each suffix are grouped by content instead, so that no group of
 equal suffixes has to meet in one task.
@@ -51,7 +53,7 @@ from .components import components
 from .substring import RANGE_ANCHORS, repeated_windows
 
 LEAST = 50
-CROWD = 2048                # suffixes of one gram that a task takes together
+CROWD = 1 << 16             # suffixes of one gram that a task takes together
 SORTED_ROWS = 6000          # crowded suffixes that are sorted at a time
 PAIRS = 20_000              # pairs of suffixes that are compared at a time
 MOST_HOT = 100_000          # grams of more suffixes that are broadcast; beyond, they are joined
@@ -161,12 +163,18 @@ def _crowded(batches: Iterator[pd.DataFrame], least: int, reach: int, gram: int
         for words in range(1, least - gram + 1):
             column = before[:, words - 1].astype(np.int64)
             finer = np.unique(same << 32 | column, return_inverse=True)[1]
-            if words > 1 and finer.max() == same.max():
-                continue        # the same order as for a word less
-            same = finer
-            order = np.lexsort((texts, rank, same))
-            i, j = (order[x] for x in _adjacent(texts[order]))
-            pairs.append(np.unique(np.minimum(i, j) * n + np.maximum(i, j)))
+            if words == 1 or finer.max() > same.max():     # else the order is as before
+                same = finer
+                order = np.lexsort((texts, rank, same))
+                i, j = (order[x] for x in _adjacent(texts[order]))
+                i, j = i[same[i] == same[j]], j[same[i] == same[j]]
+            a, b = i, j
+            if words < least - gram:
+                # pairs that share more words before are neighbours, or linked, in that order
+                x, y = before[i, words], before[j, words]
+                apart = (x != y) | (x == 0)
+                a, b = i[apart], j[apart]
+            pairs.append(np.unique(np.minimum(a, b) * n + np.maximum(a, b)))
         pairs = np.unique(np.concatenate(pairs))
         for lo in range(0, len(pairs), PAIRS):
             part = pairs[lo:lo + PAIRS]
