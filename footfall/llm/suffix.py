@@ -155,9 +155,11 @@ def _crowded(batches: Iterator[pd.DataFrame], least: int, reach: int, gram: int
         texts, n = texts[many], len(rows)
         # equal prefixes before the suffix have equal numbers; within one, the order by what follows
         same = np.cumsum(np.r_[False, grams[many][1:] != grams[many][:-1]])
-        after = rows["after"].to_numpy(object)
+        # the order of the global sort, whose neighbours are compared there
+        keys = list(zip(rows["after"], rows["before"], rows["doc_order"].tolist(), texts.tolist(),
+                        rows["start"].tolist()))
         rank = np.empty(n, np.int64)
-        rank[sorted(range(n), key=after.__getitem__)] = np.arange(n)
+        rank[sorted(range(n), key=keys.__getitem__)] = np.arange(n)
         before, _ = _grid(list(rows["before"]), reach)
         pairs = []
         for words in range(1, least - gram + 1):
@@ -165,9 +167,10 @@ def _crowded(batches: Iterator[pd.DataFrame], least: int, reach: int, gram: int
             finer = np.unique(same << 32 | column, return_inverse=True)[1]
             if words == 1 or finer.max() > same.max():     # else the order is as before
                 same = finer
-                order = np.lexsort((texts, rank, same))
+                order = np.lexsort((rank, same))
                 i, j = (order[x] for x in _adjacent(texts[order]))
-                i, j = i[same[i] == same[j]], j[same[i] == same[j]]
+                new = (same[i] == same[j]) & (np.abs(rank[i] - rank[j]) > 1)
+                i, j = i[new], j[new]
             a, b = i, j
             if words < least - gram:
                 # pairs that share more words before are neighbours, or linked, in that order
