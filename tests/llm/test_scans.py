@@ -193,6 +193,20 @@ def test_licence_held_out_windows(shipped, model):
     assert sum(got.get(i) == f for i, (f, _) in enumerate(rows)) >= 5
 
 
+def test_licence_model_learns_from_all_documents(shipped):
+    """Every distinct paragraph of a table of any size, once; those of a licence are left out."""
+    rows = [(i, f"line {i} of prose\nthe same line\n\n{licenses.TEMPLATES[0][1]}"
+                f"\nsome software and {i}") for i in range(1500)] + [(None, None), (1, "")]
+    df = shipped.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    prose = licenses._prose(licenses.marked(df)).collect()
+    assert sum(r["n"] for r in prose) == 2 * 1500 + 1
+    assert sum(r["n"] for r in prose if r["grams"] == ["software and"]) == 1500
+    assert len(prose) == 5 and {r["half"] for r in prose} == {0, 1}
+    m = licenses.train(df)
+    found = licenses.scan(df, m).collect()
+    assert {(r["paragraph"], r["family"]) for r in found} == {(3, "MIT")} and len(found) == 1500
+
+
 def test_licence_edges(edge, empty, model):
     assert licenses.scan(edge, model).count() == 0
     assert licenses.scan(empty, model).count() == 0
