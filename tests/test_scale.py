@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from footfall import catalog, session
 from footfall.plans import lasso, models, newton, ordered_cv, qr, search, stacking
+from footfall.sources import standin
 
 from conftest import SF001
 
@@ -82,3 +83,10 @@ def test_model_frames_are_columnar(spark):
     train, test = catalog._model_frames(spark, SF001)
     for df in (train, test):
         assert df.inputFiles() and all(f.endswith(".parquet") for f in df.inputFiles())
+
+
+def test_tasks_of_the_panel_grow_with_the_input(spark, monkeypatch):
+    monkeypatch.setattr(session, "FRAME_ROWS", 250)
+    want = -(-standin.rows(spark, SF001) // 250)
+    assert want > 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert catalog._x1_rows(spark, SF001).rdd.getNumPartitions() == want
