@@ -90,3 +90,11 @@ def test_tasks_of_the_panel_grow_with_the_input(spark, monkeypatch):
     want = -(-standin.rows(spark, SF001) // 250)
     assert want > 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert catalog._x1_rows(spark, SF001).rdd.getNumPartitions() == want
+
+
+def test_tasks_of_the_fold_statistics_grow_with_the_input(spark, monkeypatch):
+    before = {tuple(r) for r in catalog.QUERIES["store_dow_stats_by_fold"](spark, SF001).collect()}
+    monkeypatch.setattr(session, "FRAME_ROWS", 250)
+    out = catalog.QUERIES["store_dow_stats_by_fold"](spark, SF001)
+    assert out.rdd.getNumPartitions() == -(-standin.rows(spark, SF001) // 250)
+    assert {tuple(r) for r in out.collect()} == before
