@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from footfall import catalog, session
-from footfall.plans import lasso, models, newton, ordered_cv, qr, search, stacking
+from footfall.plans import cluster, lasso, models, newton, ordered_cv, qr, search, stacking
 from footfall.sources import standin
 
 from conftest import SF001
@@ -98,3 +98,27 @@ def test_tasks_of_the_fold_statistics_grow_with_the_input(spark, monkeypatch):
     out = catalog.QUERIES["store_dow_stats_by_fold"](spark, SF001)
     assert out.rdd.getNumPartitions() == -(-standin.rows(spark, SF001) // 250)
     assert {tuple(r) for r in out.collect()} == before
+
+
+def test_passes_of_kmeans_run_a_task_per_share_of_points(spark, monkeypatch):
+    r = np.random.RandomState(5)
+    stores = spark.createDataFrame(
+        [(f"s{i}", float(x), float(y)) for i, (x, y) in enumerate(r.normal(size=(400, 2)))],
+        "air_store_id string, longitude double, latitude double")
+    seen, step = [], cluster.kmeans_step
+
+    def kept(points, centres):
+        seen.append(points.rdd.getNumPartitions())
+        return step(points, centres)
+
+    monkeypatch.setattr(cluster, "kmeans_step", kept)
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        cluster.fit_location_clusters(stores, k=3, restarts=2)
+        assert set(seen) == {1}
+        seen.clear()
+        monkeypatch.setattr(cluster, "POINTS", 100)
+        cluster.fit_location_clusters(stores, k=3, restarts=2)
+        assert set(seen) == {4}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
