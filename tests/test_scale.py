@@ -85,6 +85,28 @@ def test_model_frames_are_columnar(spark):
         assert df.inputFiles() and all(f.endswith(".parquet") for f in df.inputFiles())
 
 
+def _lineitem(spark, path, rows):
+    spark.createDataFrame(rows, "l_suppkey long, l_shipdate string, l_quantity double").withColumn(
+        "l_shipdate", F.to_timestamp_ntz("l_shipdate")).write.parquet(str(path / "lineitem.parquet"))
+    return str(path)
+
+
+def test_store_ids_are_grouped_as_their_numbers(spark, tmp_path):
+    keys = [None, 0, 7, -1, 99_999_999, 100_000_000, 100_000_001, 10_000_000, 123_456_789_012,
+            -9_999_999, -10_000_000, -12_345_678, -1_234_567, 2 ** 63 - 1, -(2 ** 63)]
+    d = _lineitem(spark, tmp_path, [(k, day, 1.0 + i) for i, k in enumerate(keys)
+                                    for day in ("2001-01-01 05:00:00", "2001-01-01 00:00:00", None)])
+    li = spark.read.parquet(f"{d}/lineitem.parquet")
+    want = li.groupBy(standin._padded("air_", F.col("l_suppkey")).alias("s"),
+                      F.to_date("l_shipdate").alias("d")).agg(
+        F.sum("l_quantity").cast("bigint").alias("v"))
+    got = standin.visits_all(spark, d)
+    assert sorted(map(str, got.collect())) == sorted(
+        map(str, want.toDF("air_store_id", "visit_date", "visitors").collect()))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(air_store_id" not in plan and "lpad" not in plan.split("Exchange")[1]
+
+
 def test_tasks_of_the_panel_grow_with_the_input(spark, monkeypatch):
     monkeypatch.setattr(session, "FRAME_ROWS", 250)
     want = -(-standin.rows(spark, SF001) // 250)
