@@ -7,9 +7,9 @@ none).  A retained suffix is held by the words after its start and, reversed, th
 words before it, as 32-bit word hashes, as far as a match of ``least`` words
 needs: further words belong to the next anchors.
 
-The suffixes are sorted over the whole cluster by range partitioning, by
-what follows, then what precedes.  Each suffix is compared with its nearest neighbours of other
-texts on both sides (also across partition borders), the match is extended right and left,
+The suffixes are sorted over the whole cluster by range partitioning, those of one
+gram (the first words) in one task.  Suffixes are compared with their nearest neighbours of
+other texts on both sides, the match is extended right and left,
 and matches of ``least`` words or more become spans.  Spans of a text that touch are
 joined.  The spans of a passage are linked over texts, and the components tell
 the smallest of its documents.
@@ -17,13 +17,18 @@ the smallest of its documents.
 A shared passage of ``least`` words holds an anchor among its first words: two owners
 share some l words before the anchor's suffix and the rest of the passage after it.  Where only two
 suffixes begin with the same gram they are neighbours.  Where there are more, others that
-share more on one side and less on the other may stand between two owners.  Such crowded
-suffixes are therefore sorted once more for every l, by the l words before, then by what
+share more on one side and less on the other may stand between two owners.  The suffixes of a gram
+are therefore sorted for every l, by the l words before, then by what
 follows: whatever stands between two owners now shares the passage with both.  (Of these
 neighbours, those that share just l words before are compared; those that share more are
-met again for a greater l.)  Up to
-``CROWD`` suffixes of one gram meet in one task for this; of a gram with more, the
-windows of ``least`` words around each suffix are grouped by content instead, so that no group of
+met again for a greater l.)  Of the spans at a suffix those inside others are left out, and the
+matches among one gram's suffixes are linked where they are found: a row per
+span, not per match, leaves the task.
+
+Up to ``CROWD`` suffixes of one gram meet in one task for this.  Those of a gram with more
+are sorted by what follows, then what precedes, over any number of tasks, and compared with their
+neighbours, also across partition borders; and the
+windows of ``least`` words around each suffix are grouped by content, so that no group of
 equal suffixes has to meet in one task.
 
 Documents with the same words are one text here, listed as whole-document spans.
@@ -44,7 +49,7 @@ import numpy as np
 import pandas as pd
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import anchors
@@ -54,7 +59,8 @@ from .substring import RANGE_ANCHORS, repeated_windows
 
 LEAST = 50
 CROWD = 1 << 16             # suffixes of one gram that a task takes together
-SORTED_ROWS = 6000          # crowded suffixes that are sorted at a time
+SORTED_ROWS = 6000          # suffixes of whole grams that are sorted at a time
+HELD_SUFFIXES = 1 << 14     # suffixes that are written together
 PAIRS = 20_000              # pairs of suffixes that are compared at a time
 MOST_HOT = 100_000          # grams of more suffixes that are broadcast; beyond, they are joined
 _SUFFIX = "text_no long, doc_order long, start int, after binary, before binary"
@@ -62,10 +68,19 @@ _PAIR = _SUFFIX + ", border int, place int, partition int, from_word int, to_wor
                  "content binary"
 _NAMES = ["text_no", "doc_order", "start", "after", "before"]
 _FOUND = "text_no long, doc_order long, from_word int, to_word int, content binary"
+_SPAN = ["text_no", "doc_order", "from_word", "to_word", "content"]
 
 
 def _suffixes(batches: Iterator[pd.DataFrame], least: int, reach: int) -> Iterator[pd.DataFrame]:
     """The retained suffixes of each text, with ``least`` words after and ``reach`` before."""
+    def packed() -> pd.DataFrame:
+        numbers, orders, starts = zip(*heads)
+        sizes = [len(x) for x in starts]
+        return pd.DataFrame({
+            "text_no": np.repeat(numbers, sizes), "doc_order": np.repeat(orders, sizes),
+            "start": np.concatenate(starts).astype(np.int32), "after": after, "before": before})
+
+    heads, after, before = [], [], []
     for batch in batches:
         for text_no, order, sha, text, starts in zip(
                 batch["text_no"], batch["first_order"], batch["words_sha"], batch["text"],
@@ -77,15 +92,21 @@ def _suffixes(batches: Iterator[pd.DataFrame], least: int, reach: int) -> Iterat
             back, n = codes[::-1].tobytes(), len(codes)
             ahead = codes.tobytes()
             at = np.unique(np.asarray(starts, np.int64))
-            yield pd.DataFrame({
-                "text_no": text_no, "doc_order": order, "start": at.astype(np.int32),
-                "after": [ahead[4 * p:4 * (p + least)] for p in at.tolist()],
-                "before": [back[4 * (n - p):4 * (n - p + reach)] for p in at.tolist()]})
+            heads.append((text_no, order, at))
+            for p in at.tolist():
+                after.append(ahead[4 * p:4 * (p + least)])
+                before.append(back[4 * (n - p):4 * (n - p + reach)])
+            if len(after) >= HELD_SUFFIXES:
+                yield packed()
+                heads, after, before = [], [], []
+    if heads:
+        yield packed()
 
 
 def _grid(words: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Word hashes in rows of ``width``, and how many each row really has."""
-    grid = np.frombuffer(b"".join(x.ljust(4 * width, b"\0") for x in words), ">u4")
+    """Word hashes in rows of ``width``, and how many each row really has; hashes are
+    compared, not ordered."""
+    grid = np.frombuffer(b"".join(x.ljust(4 * width, b"\0") for x in words), np.uint32)
     return grid.reshape(len(words), width), np.array([len(x) // 4 for x in words])
 
 
@@ -127,8 +148,7 @@ def _matches(rows: pd.DataFrame, i: np.ndarray, j: np.ndarray, least: int, reach
             content = xxhash.xxh3_128_digest(before[a][:4 * k] + b"|" + after[a][:4 * r])
             for y in (a, int(j[x])):
                 out.append((texts[y], orders[y], starts[y] - k, starts[y] + r, content))
-    return pd.DataFrame(out, columns=["text_no", "doc_order", "from_word", "to_word",
-                                      "content"]).drop_duplicates()
+    return pd.DataFrame(out, columns=_SPAN).drop_duplicates()
 
 
 def _spans(rows: pd.DataFrame, least: int, reach: int) -> pd.DataFrame:
@@ -138,47 +158,91 @@ def _spans(rows: pd.DataFrame, least: int, reach: int) -> pd.DataFrame:
     return _matches(rows, i, j, least, reach)
 
 
+def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The least node that each of ``n`` nodes reaches over the edges ``a``-``b``."""
+    root = np.arange(n)
+    while True:
+        x, y = root[a], root[b]
+        apart = x != y
+        if not apart.any():
+            return root
+        a, b, x, y = a[apart], b[apart], x[apart], y[apart]
+        np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
+        while (root != (above := root[root])).any():
+            root = above
+
+
+def _linked(rows: pd.DataFrame, before: tuple[np.ndarray, np.ndarray], pairs: np.ndarray,
+            least: int, reach: int) -> pd.DataFrame:
+    """The spans of the suffixes whose pairs (i * n + j) match in ``least`` words, but those
+    inside another span of the same suffix; spans that matches link have the same content.
+
+    A span inside another shares ``least`` words with it, so its links are the other's.
+    """
+    n, after = len(rows), _grid(list(rows["after"]), least)
+    met = []
+    for lo in range(0, len(pairs), PAIRS):
+        i, j = pairs[lo:lo + PAIRS] // n, pairs[lo:lo + PAIRS] % n
+        right, left = _common(after, i, j), _common(before, i, j)
+        far = right + left >= least
+        # by suffix, then the longest before, then the longest after
+        rest = (reach - left[far]) * (least + 1) + least - right[far]
+        width = (reach + 1) * (least + 1)
+        met.append(np.stack([i[far] * width + rest, j[far] * width + rest]))
+    ends, of = np.unique(np.concatenate(met, axis=1), return_inverse=True)
+    if not len(ends):
+        return pd.DataFrame({c: [] for c in _SPAN})
+    right = least - ends % (least + 1)
+    at, left = np.divmod(ends // (least + 1), reach + 1)
+    left = reach - left
+    reached = at * (least + 1) + right
+    whole = np.r_[True, reached[1:] > np.maximum.accumulate(reached)[:-1]]
+    a, b = (np.cumsum(whole) - 1)[of.reshape(2, -1)]
+    at, left, right = at[whole], left[whole], right[whole]
+    texts, orders, starts = (rows[c].to_numpy(np.int64)[at]
+                             for c in ("text_no", "doc_order", "start"))
+    # the first span of the linked ones stands for them
+    names = np.stack([texts, starts - left, starts + right, starts], axis=1).astype(">i8")
+    packed, size = names.tobytes(), names.itemsize * names.shape[1]
+    return pd.DataFrame({
+        "text_no": texts, "doc_order": orders, "from_word": starts - left,
+        "to_word": starts + right,
+        "content": [packed[size * x:size * (x + 1)] for x in _roots(len(at), a, b).tolist()]})
+
+
 def _crowded(batches: Iterator[pd.DataFrame], least: int, reach: int, gram: int
              ) -> Iterator[pd.DataFrame]:
-    """Spans of suffixes in order of their first gram: sorted for every number of words before."""
+    """Spans of suffixes in order of what follows: sorted for every number of words before."""
     def compare(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
-        # suffixes whose gram has more than two of them, of more than one text
         grams = np.array([a[:4 * gram] for a in rows["after"]], object)
-        edges = _runs(grams)
-        texts = rows["text_no"].to_numpy(np.int64)
-        many = np.zeros(len(rows), bool)
-        for lo, hi in zip(edges, edges[1:]):
-            many[lo:hi] = hi - lo > 2 and (texts[lo:hi] != texts[lo]).any()
-        rows = rows[many].reset_index(drop=True)
-        if not len(rows):
-            return
-        texts, n = texts[many], len(rows)
-        # equal prefixes before the suffix have equal numbers; within one, the order by what follows
-        same = np.cumsum(np.r_[False, grams[many][1:] != grams[many][:-1]])
-        after = rows["after"].to_numpy(object)
-        rank = np.empty(n, np.int64)
-        rank[sorted(range(n), key=after.__getitem__)] = np.arange(n)
-        before, _ = _grid(list(rows["before"]), reach)
-        pairs = []
-        for words in range(1, least - gram + 1):
-            column = before[:, words - 1].astype(np.int64)
-            finer = np.unique(same << 32 | column, return_inverse=True)[1]
-            if words == 1 or finer.max() > same.max():     # else the order is as before
-                same = finer
-                order = np.lexsort((texts, rank, same))
-                i, j = (order[x] for x in _adjacent(texts[order]))
-                i, j = i[same[i] == same[j]], j[same[i] == same[j]]
-            a, b = i, j
+        same = np.cumsum(np.r_[False, grams[1:] != grams[:-1]])
+        texts, before = rows["text_no"].to_numpy(np.int64), _grid(list(rows["before"]), reach)
+        n, live, pairs = len(rows), np.arange(len(rows)), []
+        for words in range(least - gram + 1):
+            if words:
+                # equal words before the suffix; within these, the order by what follows
+                key = same << 32 | before[0][live, words - 1].astype(np.int64)
+                order = np.argsort(key, kind="stable")
+                live, key = live[order], key[order]
+                same = np.cumsum(np.r_[False, key[1:] != key[:-1]])
+            first = _runs(same)[:-1]
+            of = texts[live]
+            several = (np.minimum.reduceat(of, first) != np.maximum.reduceat(of, first))
+            several = np.repeat(several, np.diff(np.r_[first, len(of)]))
+            live, same = live[several], same[several]       # others have no partner left
+            if not len(live):
+                break
+            i, j = _adjacent(texts[live])
+            met = same[i] == same[j]
+            i, j = live[i[met]], live[j[met]]
             if words < least - gram:
                 # pairs that share more words before are neighbours, or linked, in that order
-                x, y = before[i, words], before[j, words]
+                x, y = before[0][i, words], before[0][j, words]
                 apart = (x != y) | (x == 0)
-                a, b = i[apart], j[apart]
-            pairs.append(np.unique(np.minimum(a, b) * n + np.maximum(a, b)))
-        pairs = np.unique(np.concatenate(pairs))
-        for lo in range(0, len(pairs), PAIRS):
-            part = pairs[lo:lo + PAIRS]
-            yield _matches(rows, part // n, part % n, least, reach)
+                i, j = i[apart], j[apart]
+            pairs.append(np.unique(np.minimum(i, j) * n + np.maximum(i, j)))
+        if pairs and len(pairs := np.unique(np.concatenate(pairs))):
+            yield _linked(rows, before, pairs, least, reach)
 
     held, size = [], 0
     for batch in batches:
@@ -199,8 +263,8 @@ def _crowded(batches: Iterator[pd.DataFrame], least: int, reach: int, gram: int
         yield from compare(pd.concat(held, ignore_index=True))
 
 
-def crowded_spans(suffixes: DataFrame, least: int, reach: int, gram: int) -> DataFrame:
-    """Matches among suffixes of which more than two begin with the same gram."""
+def suffix_spans(suffixes: DataFrame, least: int, reach: int, gram: int) -> DataFrame:
+    """Sort ``suffixes`` over the cluster and compare neighbours."""
     spark = suffixes.sparkSession
     # grams that share a hash count together, which may put them among the hot ones for nothing
     key = F.xxhash64(F.substring("after", 1, 4 * gram))
@@ -209,17 +273,19 @@ def crowded_spans(suffixes: DataFrame, least: int, reach: int, gram: int) -> Dat
     n_hot = hot.count()
     if n_hot <= MOST_HOT:
         hot = F.broadcast(hot)
-    rows = suffixes.withColumn("key", key)
-    is_hot = F.col("key") == F.col("hot")
-    few = rows.join(hot, is_hot, "left_anti").repartition(
-        partitions(spark), "key").sortWithinPartitions("key", "after").select(*_NAMES).mapInPandas(
+    is_hot = key == F.col("hot")
+    few = suffixes.join(hot, is_hot, "left_anti") if n_hot else suffixes
+    found = few.repartitionByRange(partitions(spark), F.substring("after", 1, 4 * gram)
+                                   ).sortWithinPartitions("after").select(*_NAMES).mapInPandas(
         partial(_crowded, least=least, reach=reach, gram=gram), _FOUND)
     if not n_hot:
-        return few
-    # of a gram with many suffixes: the windows around each, l words before and the rest after
+        return found
+    rows = suffixes.join(hot, is_hot, "left_semi")
+    found = found.union(neighbour_spans(rows, ["after", "before"], least, reach, "by-after"))
+    # the windows around each, l words before and the rest after
     l, before = F.col("l"), F.expr("substring(before, 1, 4 * l)")
     window = F.sha2(F.concat(before, F.expr(f"substring(after, 1, 4 * ({least} - l))")), 256)
-    many = rows.join(hot, is_hot, "left_semi").select(
+    many = rows.select(
         "text_no", "doc_order", "start", "before", "after",
         F.explode(F.sequence(F.lit(0), F.lit(least - gram))).alias("l")).where(
         (F.length("before") >= 4 * l) & (F.length("after") >= 4 * (least - l))).select(
@@ -229,7 +295,8 @@ def crowded_spans(suffixes: DataFrame, least: int, reach: int, gram: int) -> Dat
     shared = materialize(many.groupBy("content").agg(
         F.min("text_no").alias("lo"), F.max("text_no").alias("hi")).where("lo < hi").select(
         F.col("content").alias("same")), "crowd-windows")
-    return few.union(many.join(shared, F.col("content") == F.col("same"), "left_semi"))
+    return found.union(many.join(shared, F.col("content") == F.col("same"), "left_semi")
+                       ).distinct()
 
 
 def _neighbours(batches: Iterator[pd.DataFrame], least: int, reach: int
@@ -290,19 +357,16 @@ def neighbour_spans(suffixes: DataFrame, order: list[str], least: int, reach: in
     return inside.union(across)
 
 
-def _joined(spans: Column) -> Column:
-    """Sorted (from, to, least) of one text: spans that overlap or touch become one."""
-    def put(done: Column, x: Column) -> Column:
-        last = F.element_at(done, -1)
-        longer = F.struct(last["from_word"].alias("from_word"),
-                          F.greatest(last["to_word"], x["to_word"]).alias("to_word"),
-                          F.least(last["least"], x["least"]).alias("least"))
-        return F.when(F.size(done) == 0, F.array(x)).when(
-            x["from_word"] <= last["to_word"],
-            F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(longer))).otherwise(
-            F.concat(done, F.array(x)))
-    return F.aggregate(spans, F.array().cast(
-        "array<struct<from_word: int, to_word: int, least: long>>"), put)
+def _joined(spans: DataFrame) -> DataFrame:
+    """Spans (text_no, from_word, to_word, least) of a text that overlap or touch become one."""
+    order = Window.partitionBy("text_no").orderBy("from_word", "to_word")
+    before = F.max("to_word").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    begins = F.when(before.isNull() | (F.col("from_word") > before), F.col("from_word"))
+    first = F.last("begins", ignorenulls=True).over(
+        order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return (spans.withColumn("begins", begins).withColumn("first", first)
+                 .groupBy("text_no", F.col("first").alias("from_word"))
+                 .agg(F.max("to_word").alias("to_word"), F.min("least").alias("least")))
 
 
 def _with_first(spans: DataFrame, least: int) -> DataFrame:
@@ -355,15 +419,7 @@ def repeated_passages(docs: DataFrame, least: int = LEAST) -> DataFrame:
         anchors.texts_of(docs, wanted)
         .select("text_no", "first_order", "words_sha", "text", "starts")
         .mapInPandas(partial(_suffixes, least=least, reach=reach), _SUFFIX), "suffixes")
-    spans = neighbour_spans(suffixes, ["after", "before"], least, reach, "by-after").union(
-        crowded_spans(suffixes, least, reach, gram))
-    spans = spans.distinct()
-    passages = (_with_first(spans, least)
-                     .groupBy("text_no")      # at most the anchors of one text
-                     .agg(F.array_sort(F.collect_set(F.struct(
-                         "from_word", "to_word", "least"))).alias("spans"))
-                     .select("text_no", F.explode(_joined(F.col("spans"))).alias("s"))
-                     .select("text_no", "s.*"))
+    passages = _joined(_with_first(suffix_spans(suffixes, least, reach, gram), least))
     shared = texts.select("text_no", "words_sha", "first_order").join(passages, "text_no").select(
         F.col("words_sha").alias("sha"), F.col("first_order").alias("owner"),
         "from_word", "to_word", "least")
