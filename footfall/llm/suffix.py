@@ -218,7 +218,7 @@ def _crowded(batches: Iterator[pd.DataFrame], least: int, reach: int, gram: int
         same = np.cumsum(np.r_[False, grams[1:] != grams[:-1]])
         texts, before = rows["text_no"].to_numpy(np.int64), _grid(list(rows["before"]), reach)
         n, live, pairs = len(rows), np.arange(len(rows)), []
-        for words in range(least - gram + 1):
+        for words in range(reach + 1):
             if words:
                 # equal words before the suffix; within these, the order by what follows
                 key = same << 32 | before[0][live, words - 1].astype(np.int64)
@@ -235,7 +235,7 @@ def _crowded(batches: Iterator[pd.DataFrame], least: int, reach: int, gram: int
             i, j = _adjacent(texts[live])
             met = same[i] == same[j]
             i, j = live[i[met]], live[j[met]]
-            if words < least - gram:
+            if words < reach:
                 # pairs that share more words before are neighbours, or linked, in that order
                 x, y = before[0][i, words], before[0][j, words]
                 apart = (x != y) | (x == 0)
@@ -282,21 +282,44 @@ def suffix_spans(suffixes: DataFrame, least: int, reach: int, gram: int) -> Data
         return found
     rows = suffixes.join(hot, is_hot, "left_semi")
     found = found.union(neighbour_spans(rows, ["after", "before"], least, reach, "by-after"))
-    # the windows around each, l words before and the rest after
+    return found.union(window_spans(rows, least, gram)).distinct()
+
+
+def window_spans(rows: DataFrame, least: int, gram: int) -> DataFrame:
+    """Matches of suffixes with one that shares a window: the windows of ``least`` words around each
+    suffix are grouped by content and place, and those in a row with the same chosen suffix are
+    one match with it.  The one of the least hash is chosen, as that is the same one for
+    most windows also where a text repeats few words for long."""
     l, before = F.col("l"), F.expr("substring(before, 1, 4 * l)")
     window = F.sha2(F.concat(before, F.expr(f"substring(after, 1, 4 * ({least} - l))")), 256)
     many = rows.select(
         "text_no", "doc_order", "start", "before", "after",
         F.explode(F.sequence(F.lit(0), F.lit(least - gram))).alias("l")).where(
         (F.length("before") >= 4 * l) & (F.length("after") >= 4 * (least - l))).select(
-        "text_no", "doc_order", (F.col("start") - l).cast("int").alias("from_word"),
-        (F.col("start") - l + least).cast("int").alias("to_word"),
+        "text_no", "doc_order", "start", "l",
         F.unhex(F.substring(window, 1, 32)).alias("content"))
-    shared = materialize(many.groupBy("content").agg(
-        F.min("text_no").alias("lo"), F.max("text_no").alias("hi")).where("lo < hi").select(
-        F.col("content").alias("same")), "crowd-windows")
-    return found.union(many.join(shared, F.col("content") == F.col("same"), "left_semi")
-                       ).distinct()
+    shared = materialize(many.groupBy("content", "l").agg(
+        F.min(F.struct(F.xxhash64("text_no", "start").alias("by"), "text_no", "start",
+                       "doc_order")).alias("first"),
+        F.min("text_no").alias("least_text"), F.max("text_no").alias("last_text"))
+        .where("least_text < last_text").select(
+        F.col("content").alias("same"), F.col("l").alias("words"), "first"), "crowd-windows")
+    met = many.join(shared, (F.col("content") == F.col("same")) & (l == F.col("words"))).where(
+        (F.col("text_no") != F.col("first.text_no")) | (F.col("start") != F.col("first.start")))
+    # of one text with the chosen: window by window, as others may share just one of them
+    place = F.dense_rank().over(Window.partitionBy("text_no", "start", "first").orderBy("l"))
+    runs = materialize(
+        met.withColumn("run", F.when(F.col("text_no") == F.col("first.text_no"), l)
+                               .otherwise(l - place))
+           .groupBy("text_no", "doc_order", "start", "first", "run")
+           .agg(F.min("l").alias("lo"), F.max("l").alias("hi")), "crowd-runs")
+    match = F.concat_ws(",", "first.text_no", "first.start", "lo", "hi")
+    side = ["lo", "hi", F.unhex(F.substring(F.sha2(match, 256), 1, 32)).alias("content")]
+    sides = runs.select("text_no", "doc_order", "start", *side).union(
+        runs.select("first.text_no", "first.doc_order", "first.start", *side).distinct())
+    return sides.select(
+        "text_no", "doc_order", (F.col("start") - F.col("hi")).cast("int").alias("from_word"),
+        (F.col("start") - F.col("lo") + least).cast("int").alias("to_word"), "content")
 
 
 def _neighbours(batches: Iterator[pd.DataFrame], least: int, reach: int
@@ -388,8 +411,8 @@ def _with_first(spans: DataFrame, least: int) -> DataFrame:
                      F.struct("doc_order", "text_no", "core").alias("span_node")), "span-nodes")
     # written, so that the spans of a passage of very many documents can be split in the join
     hubs = materialize(nodes.groupBy("content").agg(F.min("span_node").alias("hub")), "passages")
-    edges = nodes.join(hubs, "content").select(F.col("span_node").alias("a"),
-                                               F.col("hub").alias("b"))
+    edges = (nodes.select("content", "span_node").distinct().join(hubs, "content")
+                  .select(F.col("span_node").alias("a"), F.col("hub").alias("b")))
     # written for the same reason; a span has a partner, so every node has an edge
     roots = materialize(components(edges), "span-roots")
     return nodes.join(roots, F.col("span_node") == F.col("node")).select(

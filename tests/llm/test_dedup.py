@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 from .brute import (fingerprint, order, repeated, simhash as brute_simhash, simhash_roots,
                    substring as brute_substring)
 from pyspark.sql import functions as F
@@ -267,3 +268,94 @@ def test_crowded_passages_equal_brute_force_word_for_word(shipped, monkeypatch):
         for r in suffix.repeated_passages(df).collect():
             got.setdefault(r["doc_id"], set()).update(range(r["start_word"], r["end_word"]))
         assert {i: sorted(w) for i, w in got.items()} == want
+
+
+def suffix_rows(seed, n, least, gram, reach):
+    """Suffixes of few grams with chance words before and after what they share."""
+    r = random.Random(seed)
+    rows = []
+    for i in range(n):
+        name = r.choice("abc")
+        before = [f"{name}-{k}" for k in range(r.randint(0, reach))]
+        after = [f"{name}{k}" for k in range(r.randint(gram, least))]
+        before += [f"x{r.random()}" for _ in range(r.randint(0, reach - len(before)))]
+        after += [f"y{r.random()}" for _ in range(r.randint(0, least - len(after)))]
+        rows.append((i // 2, i // 2 + 100, 1000 * (i % 2 + 1), *(
+            word_hashes([w.encode() for w in side])[:, 0].astype(">u4").tobytes()
+            for side in (after, before))))
+    return pd.DataFrame(rows, columns=suffix._NAMES).sort_values("after", ignore_index=True)
+
+
+def shared_words(x, y):
+    n = 0
+    while n < min(len(x), len(y)) and x[n:n + 4] == y[n:n + 4]:
+        n += 4
+    return n // 4
+
+
+def test_crowded_suffixes_give_a_row_per_widest_span_linked_as_all_pairs():
+    least, gram, reach = 50, 25, 26
+    for seed in range(3):
+        rows = suffix_rows(seed, 160, least, gram, reach)
+        spans, pairs = {}, []
+        for i in range(len(rows)):
+            for j in range(i):
+                a, b = rows.iloc[i], rows.iloc[j]
+                k, m = shared_words(a.before, b.before), shared_words(a.after, b.after)
+                if a.text_no != b.text_no and m >= gram and k + m >= least:
+                    spans.setdefault(i, set()).add((k, m))
+                    spans.setdefault(j, set()).add((k, m))
+                    pairs.append((i, j, k, m))
+        widest = {i: {s for s in of if not any(
+            t != s and t[0] >= s[0] and t[1] >= s[1] for t in of)} for i, of in spans.items()}
+        root = {(i, s): (i, s) for i, of in widest.items() for s in of}
+
+        def find(x):
+            while root[x] != x:
+                x = root[x]
+            return x
+        for i, j, k, m in pairs:
+            held = [(x, s) for x in (i, j) for s in widest[x] if s[0] >= k and s[1] >= m]
+            for x in held:
+                root[find(x)] = find(held[0])
+        for i, of in widest.items():        # spans of a text with ``least`` words in common
+            for s in of:
+                for t in of:
+                    if min(s[0], t[0]) + min(s[1], t[1]) >= least:
+                        root[find((i, s))] = find((i, t))
+        want = {}
+        for i, (k, m) in root:
+            a = rows.iloc[i]
+            want.setdefault(find((i, (k, m))), set()).add(
+                (a.text_no, a.start - k, a.start + m))
+        for size in (1000, 7):
+            out = pd.concat(suffix._crowded((rows[i:i + size] for i in range(0, len(rows), size)),
+                                            least, reach, gram))
+            # a row per widest span (before: one per match)
+            assert len(out) == len(root) and len(pairs) > 2 * len(out)
+            # contents of spans that share ``least`` words are linked later, by their text
+            linked = list(map(set, out.groupby("content").apply(
+                lambda g: set(zip(g.text_no, g.from_word, g.to_word)), include_groups=False)))
+            done = []
+            for group in linked:
+                near = [d for d in done if any(
+                    t == u and min(q, w) - max(p, v) >= least
+                    for t, p, q in group for u, v, w in d)]
+                done = [d for d in done if d not in near] + [group.union(*near)]
+            assert sorted(map(sorted, done)) == sorted(map(sorted, want.values()))
+
+
+def test_hot_gram_of_repeated_words_gives_few_rows(shipped, monkeypatch):
+    """Of a gram with many suffixes, also: a row for windows in a row, not one for each."""
+    monkeypatch.setattr(suffix, "CROWD", 50)
+    rows = [(i, " ".join([f"d{i}"] * 3 + ["to", "and"] * 120 + [f"e{i}"] * 3)) for i in range(12)]
+    spans, counted = suffix._with_first, []
+
+    def count(found, least):
+        counted.append(found.count())
+        return spans(found, least)
+    monkeypatch.setattr(suffix, "_with_first", count)
+    got = suffix.repeated_passages(shipped.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(tuple, got.collect())) == [(i, 3, 243, 240, 0) for i in range(12)]
+    # 12 texts of some 110 suffixes with 26 windows each
+    assert counted[0] < 12 * 110 * 8
