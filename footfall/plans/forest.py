@@ -1,0 +1,261 @@
+"""Ordered cross-validation of a bagged forest on histograms (M8 + M11).
+
+A forest of MLlib's settings (trees, depth, bins, square root of the features at each node, Poisson
+counts of the training rows), with the trees of all folds grown a level at a time.  MLlib keeps
+the counts of all trees beside every row and goes through all trees row by row, so that each step
+is in the histograms of another tree.  Here a task goes through its rows tree by tree: it draws the
+tree's counts anew from the seed, the fold, the block and the tree, and adds up one tree's
+histograms, which stay in the cache.  The histograms of a group of trees are added up by a shuffle
+and their best splits are found where they meet; only splits and leaf values reach the driver.
+"""
+
+from __future__ import annotations
+
+import math
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
+
+import numpy as np
+import pandas as pd
+from pyspark import RDD, StorageLevel
+from pyspark.ml.regression import RandomForestRegressor
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from footfall.plans.boosting import bin_borders
+from footfall.session import cut_lineage, ensure_checkpoint_dir, ship_package
+
+BLOCK_ROWS = 1 << 16        # rows of a block at most
+LEAST_ROWS = 1 << 12        # rows of a block where there are fewer blocks than cores
+TREE_GROUP = 25             # trees whose histograms travel together
+
+
+@dataclass
+class Settings:
+    trees: int
+    depth: int
+    bins: int
+    least: int              # rows of a child
+    rate: float             # mean of a row's count
+    seed: int
+
+
+def settings(estimator, df: DataFrame, features: list[str]) -> Settings | None:
+    """What ``fold_scores`` needs of an MLlib forest; None if it asks for more than that."""
+    if not (isinstance(estimator, RandomForestRegressor) and estimator.getBootstrap()
+            and estimator.getFeatureSubsetStrategy() == "sqrt"
+            and estimator.getMinInfoGain() == 0 and estimator.getMinWeightFractionPerNode() == 0
+            and not estimator.isDefined("weightCol") and 1 <= estimator.getMaxDepth() <= 8
+            and estimator.getMaxBins() <= 256):
+        return None
+    if any("ml_attr" in df.schema[c].metadata for c in features):       # factors
+        return None
+    return Settings(estimator.getNumTrees(), estimator.getMaxDepth(), estimator.getMaxBins(),
+                    estimator.getMinInstancesPerNode(), estimator.getSubsamplingRate(),
+                    estimator.getSeed())
+
+
+@dataclass
+class Sample:
+    """A block's rows of one fold: those its model learns from, or those it is scored on."""
+    codes: np.ndarray       # features x rows
+    label: np.ndarray
+
+
+def _codes(values: np.ndarray, borders: list[np.ndarray]) -> np.ndarray:
+    """Bytes, features x rows; a missing value is in the last bin, as MLlib sends it right."""
+    out = np.empty(values.shape[::-1], np.uint8)
+    for j, b in enumerate(borders):
+        out[j] = np.searchsorted(b, values[:, j], side="left")
+    return out
+
+
+def _blocks(folds: DataFrame, features: list[str], label: str,
+            borders: list[list[np.ndarray]]) -> RDD:
+    """(block number, training and test sample of every fold), one block a partition."""
+    p = len(features)
+    rows = folds.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(features)],
+                        F.col(label).cast("double").alias("y"), F.col("fold").cast("int")
+                        ).where("y is not null")
+
+    def to_bytes(batches):
+        values, labels, of = [], [], []
+        for b in batches:
+            values.append(b.iloc[:, :p].to_numpy(dtype=float))
+            labels.append(b["y"].to_numpy(dtype=float))
+            of.append(b["fold"].to_numpy(dtype=np.int32))
+        if labels:
+            yield pd.DataFrame({"x": [np.vstack(values).tobytes()],
+                                "y": [np.concatenate(labels).tobytes()],
+                                "f": [np.concatenate(of).tobytes()]})
+
+    n = rows.count()
+    cores = folds.sparkSession.sparkContext.defaultParallelism
+    parts = max(1, min(cores, n // LEAST_ROWS), -(-n // BLOCK_ROWS))
+    packed = cut_lineage(rows.repartition(parts).mapInPandas(to_bytes, "x binary, y binary, f binary")
+                             .withColumn("number", F.spark_partition_id()))
+
+    def block(row):
+        y, f = np.frombuffer(row["y"]), np.frombuffer(row["f"], np.int32)
+        x = np.frombuffer(row["x"]).reshape(len(y), p)
+        return row["number"], [(Sample(_codes(x[f < i], b), y[f < i]),
+                                Sample(_codes(x[f == i], b), y[f == i]))
+                               for i, b in enumerate(borders, 1)]
+    return packed.rdd.map(block).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def poisson_cuts(rate: float) -> np.ndarray:
+    """A uniform 32-bit number's count is the number of these it reaches."""
+    cuts, p, k = [], math.exp(-rate), 0
+    total = p
+    while total < 1 - 2 ** -32:
+        cuts.append(int(total * 2 ** 32))
+        k += 1
+        p *= rate / k
+        total += p
+    return np.array(cuts, np.uint32)
+
+
+def drawn(key: list[int], n: int, cuts: np.ndarray) -> np.ndarray:
+    """The Poisson counts of ``n`` rows."""
+    u = np.random.Generator(np.random.SFC64(key)).integers(0, 1 << 32, n, np.uint32)
+    out = (u >= cuts[0]).astype(np.uint8)
+    for c in cuts[1:]:
+        out += u >= c
+    return out
+
+
+def _parts(codes: np.ndarray, rows: np.ndarray, feature: np.ndarray, cut: np.ndarray,
+           level: int) -> dict[int, np.ndarray]:
+    """``rows`` by the node of ``level`` they reach; the nodes are numbered as in a heap, and a
+    node without a split has feature -1."""
+    at = {1: rows}
+    for _ in range(level):
+        below = {}
+        for node, some in at.items():
+            if feature[node] >= 0:
+                goes = codes[feature[node]].take(some) <= cut[node]
+                below[2 * node], below[2 * node + 1] = some[goes], some[~goes]
+        at = below
+    return at
+
+
+def _level_sums(number: int, m: int, sample: Sample, first: int, grown, picked: np.ndarray,
+                level: int, s: Settings, cuts: np.ndarray) -> np.ndarray:
+    """Counts and label sums of a group of trees: trees x nodes of the level x features x bins."""
+    feature, cut = grown
+    out = np.zeros((2, *picked.shape, s.bins))
+    for t in range(len(picked)):
+        count = drawn([s.seed & 0xFFFFFFFF, m, number, first + t], len(sample.label), cuts)
+        rows = np.flatnonzero(count)
+        for node, some in _parts(sample.codes, rows, feature[t], cut[t], level).items():
+            if not len(some):
+                continue
+            k, weight = node - (1 << level), count.take(some).astype(float)
+            value = weight * sample.label.take(some)
+            for j, f in enumerate(picked[t, k]):
+                code = sample.codes[f].take(some).astype(np.intp)
+                out[0, t, k, j] = np.bincount(code, weight, s.bins)
+                out[1, t, k, j] = np.bincount(code, value, s.bins)
+    return out
+
+
+def best_splits(sums: np.ndarray, least: int) -> tuple[np.ndarray, ...]:
+    """For each tree and node of a level: the place of the best feature (-1: none gains) and its
+    cut, the node's mean and those of the two sides."""
+    n, y = sums.cumsum(axis=-1)
+    total_n, total = n[..., :1, -1:], y[..., :1, -1:]
+    right_n, right = total_n - n, total - y
+    with np.errstate(divide="ignore", invalid="ignore"):
+        gain = y ** 2 / n + right ** 2 / right_n - total ** 2 / total_n
+        gain = np.where((n >= max(least, 1)) & (right_n >= max(least, 1)), gain, 0.0)
+        bins = gain.shape[-1]
+        flat = gain.reshape(*gain.shape[:-2], -1)
+        at = flat.argmax(axis=-1)
+        # what rounding alone leaves of a sum is no gain
+        gains = np.take_along_axis(flat, at[..., None], -1)[..., 0] > 1e-12 * np.abs(
+            total ** 2 / total_n)[..., 0, 0]
+
+        def side(a):
+            return np.take_along_axis(a.reshape(flat.shape), at[..., None], -1)[..., 0]
+        means = [np.nan_to_num(v) for v in (total[..., 0, 0] / total_n[..., 0, 0],
+                                            side(y) / side(n), side(right) / side(right_n))]
+    return np.where(gains, at // bins, -1), at % bins, *means
+
+
+def fold_scores(folds: DataFrame, features: list[str], label: str, s: Settings,
+                n_splits: int = 5) -> list[float]:
+    """RMSE of each test fold; its forest learns from all earlier folds."""
+    spark = folds.sparkSession
+    ensure_checkpoint_dir(spark)
+    ship_package(spark)
+    p = len(features)
+    k = math.ceil(math.sqrt(p))
+    with ThreadPoolExecutor(n_splits) as pool:
+        borders = list(pool.map(
+            lambda i: bin_borders(folds.where(F.col("fold") < i), features, s.bins),
+            range(1, n_splits + 1)))
+    blocks = _blocks(folds, features, label, borders)
+    cuts, size = poisson_cuts(s.rate), 1 << s.depth + 1
+    feature = np.full((n_splits, s.trees, size), -1, np.int16)
+    cut = np.zeros((n_splits, s.trees, size), np.uint8)
+    value = np.zeros((n_splits, s.trees, size))
+    groups = range(0, s.trees, TREE_GROUP)
+    try:
+        for level in range(s.depth):
+            lo, hi = 1 << level, 2 << level
+            order = np.random.default_rng([s.seed & 0xFFFFFFFF, level]).random(
+                (n_splits, s.trees, lo, p)).argpartition(k - 1, axis=-1)
+            picked = np.sort(order[..., :k], axis=-1).astype(np.int16)
+
+            def sums(block, grown=(feature, cut), picked=picked, level=level):
+                number, samples = block
+                for m, (train, _) in enumerate(samples):
+                    for g in groups:
+                        to = g + TREE_GROUP
+                        yield (m, g), _level_sums(
+                            number, m, train, g, (grown[0][m, g:to], grown[1][m, g:to]),
+                            picked[m, g:to], level, s, cuts)
+
+            least = s.least
+            found = blocks.flatMap(sums).reduceByKey(lambda a, b: a + b).mapValues(
+                lambda h: best_splits(h, least)).collect()
+            for (m, g), (place, at, mean, left, right) in found:
+                of = slice(g, g + TREE_GROUP)
+                names = np.take_along_axis(picked[m, of], np.maximum(place, 0)[..., None], -1)
+                here = feature[m, of, lo:hi] = np.where(place >= 0, names[..., 0], -1)
+                cut[m, of, lo:hi] = at
+                if level == 0:
+                    value[m, of, 1:2] = mean
+                below = np.stack([left, right], axis=-1)
+                value[m, of, 2 * lo:2 * hi] = np.where(here[..., None] >= 0, below, 0.0).reshape(
+                    len(place), -1)
+
+        def errors(block):
+            out = []
+            for m, (_, test) in enumerate(block[1]):
+                said, rows = np.zeros(len(test.label)), np.arange(len(test.label))
+                for t in range(s.trees):
+                    for node, some in _leaves(test.codes, rows, feature[m, t], cut[m, t]):
+                        said[some] += value[m, t, node]
+                out.append((float(((test.label - said / s.trees) ** 2).sum()), len(rows)))
+            return out
+
+        totals = blocks.map(errors).reduce(
+            lambda a, b: [(x[0] + y[0], x[1] + y[1]) for x, y in zip(a, b)])
+    finally:
+        blocks.unpersist()
+    return [(e / n) ** 0.5 if n else float("nan") for e, n in totals]
+
+
+def _leaves(codes: np.ndarray, rows: np.ndarray, feature: np.ndarray, cut: np.ndarray
+            ) -> list[tuple[int, np.ndarray]]:
+    """The leaves of a tree and the rows that reach them."""
+    todo, out = [(1, rows)], []
+    for node, some in todo:         # grows while it is read
+        if feature[node] < 0:
+            out.append((node, some))
+        else:
+            goes = codes[feature[node]].take(some) <= cut[node]
+            todo += [(2 * node, some[goes]), (2 * node + 1, some[~goes])]
+    return out

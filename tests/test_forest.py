@@ -1,0 +1,82 @@
+"""The forest's cross-validation against MLlib's forest and plain sums."""
+
+import numpy as np
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from footfall.operators.metrics import rmse_expr
+from footfall.plans import forest, ordered_cv
+from footfall.plans import models as mdl
+
+NAMES = ["a", "b", "c", "d"]
+
+
+@pytest.fixture(scope="module")
+def folds(spark):
+    r = np.random.RandomState(5)
+    n = 1200
+    x = np.column_stack([r.randint(0, 9, n), r.randint(0, 20, n), r.randint(0, 2, n), np.ones(n)])
+    y = np.sin(x[:, 0]) + 0.05 * x[:, 1] * x[:, 2] + 0.3 * r.randn(n)
+    return spark.createDataFrame(pd.DataFrame(x, columns=NAMES).assign(
+        y=y, fold=np.arange(n) * 4 // n)).repartition(3).cache()
+
+
+def _mllib(folds, estimator, i):
+    model = mdl.regression_pipeline(estimator, NAMES, "y").fit(folds.where(F.col("fold") < i))
+    return model.transform(folds.where(F.col("fold") == i)).agg(
+        rmse_expr("y", "prediction").alias("r")).first()["r"]
+
+
+def test_scores_are_those_of_mllib_but_for_the_draws(folds, monkeypatch):
+    """Several blocks and groups of trees; MLlib isn't fitted."""
+    monkeypatch.setattr(forest, "LEAST_ROWS", 200)
+    want = [_mllib(folds, mdl.random_forest(), i) for i in (1, 2, 3)]
+    monkeypatch.setattr(ordered_cv, "regression_pipeline", lambda *_: pytest.fail("one by one"))
+    got = ordered_cv.time_series_cv(None, mdl.random_forest(), NAMES, "y",
+                                    n_splits=3, folds=folds)
+    assert got == pytest.approx(want, rel=0.02)
+    assert got == ordered_cv.time_series_cv(None, mdl.random_forest(), NAMES, "y",
+                                            n_splits=3, folds=folds)
+
+
+def test_other_forests_stay_with_mllib(folds):
+    factor = folds.withColumn("a", F.col("a").alias("a", metadata={"ml_attr": {"type": "nominal"}}))
+    assert forest.settings(mdl.random_forest(), folds, NAMES).trees == 1000
+    for df, est in ((factor, mdl.random_forest()), (folds, mdl.linear_regression()),
+                    (folds, mdl.random_forest().setBootstrap(False)),
+                    (folds, mdl.random_forest().setFeatureSubsetStrategy("all"))):
+        assert forest.settings(est, df, NAMES) is None
+
+
+def test_counts_are_poisson():
+    cuts = forest.poisson_cuts(1.0)
+    got = np.bincount(forest.drawn([0, 1, 2, 3], 400_000, cuts), minlength=6)[:6] / 400_000
+    want = np.exp(-1) / np.array([1, 1, 2, 6, 24, 120])
+    assert np.abs(got - want).max() < 0.003
+    assert (forest.drawn([0, 1, 2, 4], 100, cuts) != forest.drawn([0, 1, 2, 3], 100, cuts)).any()
+
+
+def test_best_split_is_the_plain_one():
+    r = np.random.RandomState(1)
+    n, y = r.randint(1, 9, (3, 2, 1, 6)).astype(float), r.randn(3, 2, 1, 6)
+    n, y = (np.concatenate([v, v[..., ::-1]], axis=-2) for v in (n, y))     # the same rows
+    place, cut, mean, left, right = forest.best_splits(np.stack([n, y]), 5)
+    for t in range(3):
+        for k in range(2):
+            total, all_n = y[t, k, 0].sum(), n[t, k, 0].sum()
+            best = max((y[t, k, j, :c + 1].sum() ** 2 / n[t, k, j, :c + 1].sum()
+                        + y[t, k, j, c + 1:].sum() ** 2 / n[t, k, j, c + 1:].sum(), -j, -c)
+                       for j in range(2) for c in range(5)
+                       if min(n[t, k, j, :c + 1].sum(), n[t, k, j, c + 1:].sum()) >= 5)
+            j, c = place[t, k], cut[t, k]
+            low = n[t, k, j, :c + 1].sum()
+            assert mean[t, k] == pytest.approx(total / all_n)
+            assert left[t, k] == pytest.approx(y[t, k, j, :c + 1].sum() / low)
+            assert left[t, k] ** 2 * low + right[t, k] ** 2 * (all_n - low) == pytest.approx(best[0])
+
+
+def test_a_fold_without_rows_has_no_score(folds):
+    got = ordered_cv.time_series_cv(None, mdl.random_forest(num_trees=5), NAMES, "y",
+                                    n_splits=4, folds=folds)
+    assert np.isfinite(got[:3]).all() and np.isnan(got[3])
