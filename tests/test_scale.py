@@ -46,6 +46,17 @@ def test_packed_rows_give_the_same_factor(rows):
     assert np.allclose(plain.r.T @ plain.r, packed.r.T @ packed.r, rtol=1e-12)
 
 
+def test_packed_blocks_weigh_what_their_file_weighs(spark, monkeypatch):
+    """A partition's blocks are one Arrow batch: rows that pack well must be small in it."""
+    monkeypatch.setattr(qr, "BLOCK_ROWS", 500)
+    few = spark.range(0, 20_000, 1, 2).selectExpr("id % 7 as a", "id % 3 as b", "1 as c")
+    blocks = qr.packed_rows(few, ["a", "b", "c"])
+    assert blocks.agg(F.sum(F.length(qr.PACKED))).first()[0] < 20_000 * 3 * 8 / 10
+    by_file = blocks.groupBy(F.input_file_name()).count().collect()
+    assert max(r["count"] for r in by_file) <= qr.FILE_BLOCKS
+    assert qr.triangular_factor(blocks, ["a", "b", "c"]).n == 20_000
+
+
 def test_logit_reads_its_input_once(spark, rows):
     seen = spark.sparkContext.accumulator(0)
 
