@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from footfall.operators import assemble, reservations, series, store_dim
 from footfall.plans.cluster import add_location_cluster
-from footfall.session import (cut_lineage, keep_methods_compiled, materialize,
+from footfall.session import (cut_lineage, keep_methods_compiled, keep_store_layout, materialize,
                               materialize_bucketed, shuffle_partitions)
 from footfall.sources.tables import Tables
 
@@ -41,10 +41,11 @@ def import_data(t: Tables, test_value: float | None = 0.0, large_party_threshold
     #
     # Every store-keyed intermediate is written as a table bucketed by store
     # into the same number of buckets; with
-    # spark.sql.requireAllClusterKeysForCoPartition off (session default here)
+    # spark.sql.requireAllClusterKeysForCoPartition off (``keep_store_layout``)
     # the (store, dow) and (store, day) joins of the assembly then run without
     # shuffling the panel again.
     keep_methods_compiled(t.visits.sparkSession)
+    keep_store_layout(t.visits.sparkSession)
     parts = shuffle_partitions(t.visits.sparkSession)
     panel = materialize_bucketed(
         series.build_panel(t.visits, t.submission, test_value=test_value,

@@ -41,6 +41,22 @@ def test_wide_assembly_is_shuffle_free_without_broadcast(spark):
     assert "Exchange hashpartitioning" not in main.replace("\n", " ") and ") Exchange" not in main
 
 
+def test_wide_assembly_is_shuffle_free_in_a_plain_session(spark):
+    """The joins keep the store layout in a session without the library's settings too."""
+    keys = {"spark.sql.requireAllClusterKeysForCoPartition": "true",
+            "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        plan = plan_of(catalog.QUERIES["train_wide"](spark, SF001))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    main = plan.split("===== Subqueries =====")[0]
+    assert "SortMergeJoin" in main and ") Exchange" not in main
+
+
 def test_forecast_step_join_is_shuffle_free(spark):
     from footfall.plans import forecast
     from footfall.session import materialize_bucketed
