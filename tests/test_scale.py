@@ -69,6 +69,26 @@ def test_logit_reads_its_input_once(spark, rows):
     assert seen.value == 601
 
 
+def test_large_stored_frames_are_not_kept_again(spark, rows, monkeypatch, tmp_path):
+    rows.dropna().write.parquet(str(tmp_path / "frame"))
+    frame = spark.read.parquet(str(tmp_path / "frame"))
+    cands = [("linear", models.linear_regression(True), [{}]),
+             ("lasso", models.lasso(0.05), [{"regParam": 0.05}])]
+    kept = ordered_cv.with_folds(frame, stored=True)
+    want, _ = search.model_search(frame, ["a", "b"], candidates=cands)
+    assert kept.is_cached
+    monkeypatch.setattr(ordered_cv, "KEPT_BYTES", 0)
+    folds = ordered_cv.with_folds(frame, stored=True)
+    assert not folds.is_cached
+    assert sorted(folds.collect()) == sorted(kept.collect())
+    kept.unpersist()
+    board, leader = search.model_search(frame, ["a", "b"], candidates=cands, stored=True)
+    assert [r[:2] for r in board.collect()] == [r[:2] for r in want.collect()]
+    for a, b in zip(board.collect(), want.collect()):
+        assert a["mean_rmsle"] == pytest.approx(b["mean_rmsle"], rel=1e-9)
+    assert leader.transform(frame).count() == 600
+
+
 def test_lasso_candidates_are_solved_from_one_pass(spark, rows, monkeypatch, tmp_path):
     """The exact optimum on every split, without a row-level fit."""
     full = rows.dropna()
